@@ -104,3 +104,139 @@ entries AS (
          ts + to_seconds(CAST(round(value * 60) AS BIGINT)) AS end_ts
   FROM events)
 """
+
+
+def sheet_cells(spark: SparkSession, directory: str) -> DataFrame:
+    """Order lines as sheets: the order is the sheet, the line number the row, five columns.
+
+    Column 3 has planted error tokens. ``(order, line number)`` is not unique in the table, so
+    lines are added up first.
+    """
+    return cells_of(order_lines(spark, directory))
+
+
+def order_lines(spark: SparkSession, directory: str) -> DataFrame:
+    """One row per (order, line number)."""
+    return (
+        read_table(spark, directory, "lineitem")
+        .groupBy(
+            F.col("l_orderkey").alias("sheet_id"),
+            (F.col("l_linenumber") - 1).cast("bigint").alias("row"),
+        )
+        .agg(
+            F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
+            F.max("l_extendedprice").alias("price"),
+            F.max("l_discount").alias("discount"),
+            F.min("l_returnflag").alias("flag"),
+            F.max("l_shipdate").alias("ship"),
+        )
+    )
+
+
+def line_values() -> list:
+    """The five cell values of an order line, as text."""
+    sheet, row = F.col("sheet_id"), F.col("row")
+    return [
+        F.col("quantity").cast("string"),
+        F.col("price").cast("decimal(12,2)").cast("string"),
+        F.col("discount").cast("decimal(4,2)").cast("string"),
+        F.when((sheet + row) % 97 == 0, "#REF!")
+        .when((sheet + row) % 89 == 0, " #n/a ")
+        .when((sheet + row) % 83 == 0, "#")
+        .otherwise(F.col("flag")),
+        F.col("ship").cast("date").cast("string"),
+    ]
+
+
+def cells_of(lines: DataFrame) -> DataFrame:
+    return lines.select("sheet_id", "row", F.posexplode(F.array(*line_values())).alias("col", "value"))
+
+
+CELLS_SQL = """
+order_lines AS (
+  SELECT l_orderkey AS sheet_id, CAST(l_linenumber - 1 AS BIGINT) AS row,
+         CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity, max(l_extendedprice) AS price,
+         max(l_discount) AS discount, min(l_returnflag) AS flag, max(l_shipdate) AS ship
+  FROM lineitem GROUP BY 1, 2),
+cells AS (
+  SELECT sheet_id, row, CAST(unnest([0, 1, 2, 3, 4]) AS INTEGER) AS col, unnest([
+    CAST(quantity AS VARCHAR), CAST(CAST(price AS DECIMAL(12,2)) AS VARCHAR),
+    CAST(CAST(discount AS DECIMAL(4,2)) AS VARCHAR),
+    CASE WHEN (sheet_id + row) % 97 = 0 THEN '#REF!' WHEN (sheet_id + row) % 89 = 0 THEN ' #n/a '
+         WHEN (sheet_id + row) % 83 = 0 THEN '#' ELSE flag END,
+    CAST(CAST(ship AS DATE) AS VARCHAR)]) AS value
+  FROM order_lines)
+"""
+
+
+def share_requests(spark: SparkSession, directory: str) -> DataFrame:
+    """Customers as share requests, with gaps and wrong values planted by key."""
+    k = F.col("c_custkey")
+    return read_table(spark, directory, "customer").select(
+        F.col("c_nationkey").cast("bigint").alias("batch_id"),
+        k.alias("request_id"),
+        F.when(k % 7 != 0, F.concat(F.lower("c_mktsegment"), F.lit("@example.com"))).alias("email"),
+        F.when(k % 5 != 0, F.lit("example.com")).alias("domain"),
+        F.when(k % 11 == 0, F.lit("owner")).when(k % 3 == 0, F.lit("writer")).alias("role"),
+        F.when(k % 4 == 0, F.lit("domain")).when(k % 13 == 0, F.lit("team")).alias("share_type"),
+        F.when(k % 17 == 0, F.lit("2025-01-15"))
+        .when(k % 6 == 0, F.lit("2025-01-15T00:00:00Z"))
+        .when(k % 19 == 0, F.lit(""))
+        .alias("expiration_time"),
+    )
+
+
+SHARES_SQL = """
+requests AS (
+  SELECT CAST(c_nationkey AS BIGINT) AS batch_id, c_custkey AS request_id,
+    CASE WHEN c_custkey % 7 <> 0 THEN lower(c_mktsegment) || '@example.com' END AS email,
+    CASE WHEN c_custkey % 5 <> 0 THEN 'example.com' END AS domain,
+    CASE WHEN c_custkey % 11 = 0 THEN 'owner' WHEN c_custkey % 3 = 0 THEN 'writer' ELSE 'reader' END AS role,
+    CASE WHEN c_custkey % 4 = 0 THEN 'domain' WHEN c_custkey % 13 = 0 THEN 'team' ELSE 'user' END AS share_type,
+    CASE WHEN c_custkey % 17 = 0 THEN '2025-01-15' WHEN c_custkey % 6 = 0 THEN '2025-01-15T00:00:00Z'
+         WHEN c_custkey % 19 = 0 THEN '' END AS expiration_time
+  FROM customer),
+checked AS (
+  SELECT *, CASE
+    WHEN share_type = 'domain' AND coalesce(domain, '') = '' THEN 'missing domain'
+    WHEN share_type <> 'domain' AND coalesce(email, '') = '' THEN 'missing email'
+    WHEN role NOT IN ('reader', 'commenter', 'writer') THEN 'invalid role'
+    WHEN share_type NOT IN ('user', 'group', 'domain', 'anyone') THEN 'invalid share_type'
+    WHEN coalesce(expiration_time, '') <> '' AND NOT regexp_matches(expiration_time,
+         '^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}(\\.\\d+)?(Z|[+-]\\d{2}:\\d{2})$')
+      THEN 'invalid expiration_time' END AS reason
+  FROM requests)
+"""
+
+
+def shared_files(spark: SparkSession, directory: str) -> DataFrame:
+    """Customers as files with a permission list: some open to anyone, some to a domain."""
+    k = F.col("c_custkey")
+
+    def permission(kind: str, role, email=None, domain=None, expires=None, inherited=None):
+        text = lambda v: (F.lit(v) if not hasattr(v, "cast") else v).cast("string")
+        details = F.array(
+            F.struct(F.lit(inherited is not None).alias("inherited"), text(inherited).alias("inheritedFrom"))
+        )
+        return F.struct(
+            F.concat(F.lit(kind[0]), k.cast("string")).alias("id"),
+            F.lit(kind).alias("type"),
+            text(role).alias("role"),
+            text(email).alias("emailAddress"),
+            text(domain).alias("domain"),
+            text(expires).alias("expirationTime"),
+            details.alias("permissionDetails"),
+        )
+
+    role = F.when(k % 3 == 0, "writer").when(k % 3 == 1, "reader").otherwise("owner")
+    user = permission("user", "writer", email=F.lower("c_name"), inherited="root")
+    return read_table(spark, directory, "customer").select(
+        k.alias("id"),
+        F.col("c_mktsegment").alias("mime_type"),
+        F.col("c_nationkey").alias("owner"),
+        F.col("c_acctbal").alias("balance"),
+        F.when(k % 4 == 0, F.array(user, permission("anyone", role)))
+        .when(k % 4 == 1, F.array(permission("domain", role, domain="example.com", expires="2030-01-01")))
+        .when(k % 4 == 2, F.array(user))
+        .alias("permissions"),
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("ordered",)
+MODULES = ("flat", "ordered")
 
 
 def _collect(attribute: str) -> dict:

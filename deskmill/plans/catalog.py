@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("flat", "ordered")
+MODULES = ("flat", "joined", "ordered")
 
 
 def _collect(attribute: str) -> dict:

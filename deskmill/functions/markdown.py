@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from deskmill.functions.text import stripped
+
 # Heading prefix per paragraph style, and the fonts that mean code.
 HEADINGS = {
     "TITLE": "#",
@@ -23,11 +25,6 @@ RUN_TYPE = (
 )
 
 
-def stripped(text: Column) -> Column:
-    """Without white space at both ends, line breaks included."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
-
-
 def _wrapped(text: Column, mark: str) -> Column:
     return F.concat(F.lit(mark), text, F.lit(mark))
 

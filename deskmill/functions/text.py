@@ -20,6 +20,9 @@ ENTITIES = [
     ("&amp;", "&"),
 ]
 
+# Fixed value: white space as a character class, Unicode blanks included.
+WHITE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
+
 # What is dropped from a page before its text is read.
 HIDDEN_PATTERNS = [
     r"(?is)<script\b.*?</script\s*>",
@@ -34,6 +37,11 @@ def shortened(text: Column, limit: int) -> Column:
     return F.when(F.length(text) > limit, F.concat(F.substring(text, 1, limit), F.lit("..."))).otherwise(text)
 
 
+def stripped(text: Column) -> Column:
+    """Without white space at both ends, line breaks included."""
+    return F.regexp_replace(text, f"^{WHITE}+|{WHITE}+$", "")
+
+
 def without_prefix(name: Column, prefix: str) -> Column:
     """``people/c1`` to ``c1``; names without the prefix are kept."""
     cut = F.substr(name, F.lit(len(prefix) + 1))
@@ -70,7 +78,7 @@ def visible_text(html: Column) -> Column:
         text = F.regexp_replace(text, pattern, "")
     for entity, character in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(character))
-    return F.trim(F.regexp_replace(text, r"[ \t\r\n\x{0B}\f]+", " "))
+    return F.trim(F.regexp_replace(text, f"{WHITE}+", " "))
 
 
 def host(url: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,8 +41,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def durable_cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that lost executors do not replay its plan."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    The plan starts anew at the table, with its true size known to the optimizer, and an executor
+    that is lost takes nothing with it.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

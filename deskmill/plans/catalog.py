@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("flat", "joined", "ordered", "summaries")
+MODULES = ("shapes", "flat", "joined", "summaries", "ordered")
 
 
 def _collect(attribute: str) -> dict:

@@ -20,8 +20,12 @@ ENTITIES = [
     ("&amp;", "&"),
 ]
 
-# Fixed value: white space as a character class, Unicode blanks included.
+# White space, Unicode blanks included, as a character class and as characters.
 WHITE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
+WHITE_CHARACTERS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # What is dropped from a page before its text is read.
 HIDDEN_PATTERNS = [
@@ -39,7 +43,7 @@ def shortened(text: Column, limit: int) -> Column:
 
 def stripped(text: Column) -> Column:
     """Without white space at both ends, line breaks included."""
-    return F.regexp_replace(text, f"^{WHITE}+|{WHITE}+$", "")
+    return F.btrim(text, F.lit(WHITE_CHARACTERS))
 
 
 def without_prefix(name: Column, prefix: str) -> Column:
@@ -67,8 +71,7 @@ def decode_base64url(data: Column) -> Column:
 
 def encode_base64url(text: Column) -> Column:
     """Text to unpadded URL-safe base64."""
-    one_line = F.regexp_replace(F.base64(F.encode(text, "UTF-8")), r"\s", "")
-    return F.rtrim(F.translate(one_line, "+/", "-_"), F.lit("="))
+    return F.rtrim(F.translate(F.base64(F.encode(text, "UTF-8")), "+/", "-_"), F.lit("="))
 
 
 def visible_text(html: Column) -> Column:

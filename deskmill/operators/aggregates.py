@@ -256,25 +256,21 @@ def gradient_points(cells: DataFrame, rules: DataFrame, sheet: str = "sheet_id")
         .when(F.col("type") == "PERCENT", F.col("lo") + share * (F.col("hi") - F.col("lo")))
         .otherwise(F.col("point"))
     )
-    scale = placed.groupBy("rule_idx").pivot("k", [0, 1, 2]).agg(
-        F.first(at).alias("at"), F.first("color").alias("color")
-    )
+    stop = F.struct(at.alias("at"), *[channel(F.col("color"), i).alias(f"c{i}") for i in range(3)])
+    stops = [F.max(F.when(F.col("k") == k, stop)).alias(f"p{k}") for k in range(3)]
     # Two points: the second one is the last.
-    last_at = F.coalesce("2_at", "1_at")
-    last_color = F.coalesce("2_color", "1_color")
+    scale = placed.groupBy("rule_idx").agg(*stops).withColumn("last", F.coalesce("p2", "p1"))
 
     def between(v: Column, i: int) -> Column:
-        def ramp(a0: Column, c0: Column, a1: Column, c1: Column) -> Column:
-            part = (v - a0) / F.nullif(a1 - a0, F.lit(0.0))
-            return channel(c0, i) + F.coalesce(part, F.lit(0.0)) * (channel(c1, i) - channel(c0, i))
+        def ramp(a: str, b: str) -> Column:
+            part = (v - F.col(f"{a}.at")) / F.nullif(F.col(f"{b}.at") - F.col(f"{a}.at"), F.lit(0.0))
+            return F.col(f"{a}.c{i}") + F.coalesce(part, F.lit(0.0)) * (F.col(f"{b}.c{i}") - F.col(f"{a}.c{i}"))
 
-        first_half = ramp(F.col("0_at"), F.col("0_color"), F.col("1_at"), F.col("1_color"))
-        second_half = ramp(F.col("1_at"), F.col("1_color"), F.col("2_at"), F.col("2_color"))
         return (
-            F.when(v <= F.col("0_at"), channel(F.col("0_color"), i))
-            .when(v >= last_at, channel(last_color, i))
-            .when(v <= F.col("1_at"), first_half)
-            .otherwise(second_half)
+            F.when(v <= F.col("p0.at"), F.col(f"p0.c{i}"))
+            .when(v >= F.col("last.at"), F.col(f"last.c{i}"))
+            .when(v <= F.col("p1.at"), ramp("p0", "p1"))
+            .otherwise(ramp("p1", "p2"))
         )
 
     value = F.col("v")

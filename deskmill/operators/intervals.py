@@ -20,20 +20,15 @@ def _level(length: Column) -> Column:
     return level
 
 
-def cells_in_ranges(
-    cells: DataFrame,
-    ranges: DataFrame,
-    sheet: str = "sheet_id",
-    carry: Sequence[str] = ("rule_idx",),
-) -> DataFrame:
-    """Cells inside half-open rectangles ``[r0, r1) x [c0, c1)``; a null bound is open.
+def _bucket(row: Column, level: int) -> Column:
+    return F.lit(0) if level == OPEN_LEVEL else F.floor(row / WIDTHS[level]).cast("int")
 
-    One row per (cell, range that holds it), with the ``carry`` columns of the range. Both sides
-    are joined on (sheet, level, bucket of the row); only the levels that occur are used.
-    """
+
+def _filed(ranges: DataFrame, sheet: str, carry: Sequence[str]) -> tuple[DataFrame, list[int]]:
+    """Ranges filed under (sheet, level, bucket), and the levels that occur (at most four)."""
     bounded = F.col("r1").isNotNull()
     low = F.coalesce("r0", F.lit(0))
-    filed = ranges.filter(~bounded | (F.col("r1") > low)).select(
+    levelled = ranges.filter(~bounded | (F.col("r1") > low)).select(
         F.col(sheet).alias("_sheet"),
         "r0",
         "r1",
@@ -42,44 +37,72 @@ def cells_in_ranges(
         *carry,
         F.when(bounded, _level(F.col("r1") - low)).otherwise(F.lit(OPEN_LEVEL)).alias("_level"),
     )
-    used = [r[0] for r in filed.select("_level").distinct().collect()]  # at most four values
-    if not used:
-        used = [OPEN_LEVEL]
-
-    def bucket(row: Column, level: int) -> Column:
-        return F.lit(0) if level == OPEN_LEVEL else F.floor(row / WIDTHS[level]).cast("int")
-
+    used = [r[0] for r in levelled.select("_level").distinct().collect()] or [OPEN_LEVEL]
     spans = F.lit(None).cast("array<int>")
     for level in used:
-        first, last = bucket(low, level), bucket(F.col("r1") - 1, level)
+        first, last = _bucket(low, level), _bucket(F.col("r1") - 1, level)
         spans = F.when(F.col("_level") == level, F.sequence(first, last)).otherwise(spans)
-    placed_ranges = filed.withColumn("_bucket", F.explode(spans))
-    keys = [
-        F.struct(F.lit(level).alias("_level"), bucket(F.col("row"), level).alias("_bucket"))
-        for level in used
-    ]
-    if len(keys) == 1:
-        placed_cells = cells.withColumns({"_level": keys[0]["_level"], "_bucket": keys[0]["_bucket"]})
+    return levelled.withColumn("_bucket", F.explode(spans)), sorted(used)
+
+
+def _inside(sheet: str) -> Column:
+    """A cell of ``cells`` lies in a range of ``rules``."""
+    row, col = F.col("cells.row"), F.col("cells.col")
+    return (
+        (F.col(f"cells.{sheet}") == F.col("rules._sheet"))
+        & (F.col("rules.r0").isNull() | (row >= F.col("rules.r0")))
+        & (F.col("rules.r1").isNull() | (row < F.col("rules.r1")))
+        & (F.col("rules.c0").isNull() | (col >= F.col("rules.c0")))
+        & (F.col("rules.c1").isNull() | (col < F.col("rules.c1")))
+    )
+
+
+def cells_in_ranges(
+    cells: DataFrame,
+    ranges: DataFrame,
+    sheet: str = "sheet_id",
+    carry: Sequence[str] = ("rule_idx",),
+) -> DataFrame:
+    """Cells inside half-open rectangles ``[r0, r1) x [c0, c1)``; a null bound is open.
+
+    One row per (cell, range that holds it), with the ``carry`` columns of the range. Both sides
+    are joined on (sheet, level, bucket of the row); only the levels that occur are used.
+    """
+    rules, used = _filed(ranges, sheet, carry)
+    row = F.col("row")
+    if len(used) == 1:
+        placed = cells.withColumns({"_level": F.lit(used[0]), "_bucket": _bucket(row, used[0])})
     else:
-        placed_cells = cells.withColumn("_key", F.explode(F.array(*keys))).select(
+        keys = [F.struct(F.lit(v).alias("_level"), _bucket(row, v).alias("_bucket")) for v in used]
+        placed = cells.withColumn("_key", F.explode(F.array(*keys))).select(
             *cells.columns, "_key._level", "_key._bucket"
         )
-    rules = placed_ranges.alias("rules")
-    held = placed_cells.alias("cells")
-    inside = (
-        (F.col(f"cells.{sheet}") == F.col("rules._sheet"))
-        & (F.col("cells._level") == F.col("rules._level"))
-        & (F.col("cells._bucket") == F.col("rules._bucket"))
-        & (F.col("r0").isNull() | (F.col("row") >= F.col("r0")))
-        & (F.col("r1").isNull() | (F.col("row") < F.col("r1")))
-        & (F.col("c0").isNull() | (F.col("col") >= F.col("c0")))
-        & (F.col("c1").isNull() | (F.col("col") < F.col("c1")))
+    same_place = (F.col("cells._level") == F.col("rules._level")) & (
+        F.col("cells._bucket") == F.col("rules._bucket")
     )
-    return held.join(rules, inside, "inner").select(
-        *[F.col(f"cells.{c}") for c in cells.columns], *[F.col(f"rules.{c}") for c in carry]
+    return (
+        placed.alias("cells")
+        .join(rules.alias("rules"), same_place & _inside(sheet), "inner")
+        .select(*[F.col(f"cells.{c}") for c in cells.columns], *[F.col(f"rules.{c}") for c in carry])
     )
 
 
+def split_by_ranges(cells: DataFrame, ranges: DataFrame, sheet: str = "sheet_id") -> tuple[DataFrame, DataFrame]:
+    """Cells inside at least one rectangle, and the others; every cell once.
+
+    One semi and one anti join per level that occurs, so no cell is multiplied.
+    """
+    rules, used = _filed(ranges, sheet, ())
+    inside, rest = None, cells
+    for level in used:
+        at_level = rules.filter(F.col("_level") == level).alias("rules")
+        on = _inside(sheet) & (_bucket(F.col("cells.row"), level) == F.col("rules._bucket"))
+        hit = rest.alias("cells").join(at_level, on, "left_semi")
+        inside = hit if inside is None else inside.unionByName(hit)
+        rest = rest.alias("cells").join(at_level, on, "left_anti")
+    return inside, rest
+
+
 def overlap_pairs(
     left: DataFrame,
     right: DataFrame,

@@ -195,7 +195,7 @@ def apply_label_changes(items: DataFrame, changes: DataFrame, key: str = "id") -
     labels = F.array_except(
         F.array_union(F.coalesce("labels", none), F.coalesce("add", none)), F.coalesce("remove", none)
     )
-    return joined.withColumn("labels", F.array_sort(labels)).select(*items.columns)
+    return joined.withColumn("labels", F.sort_array(labels)).select(*items.columns)
 
 
 def element_at_index(
@@ -303,7 +303,7 @@ def annotate_documents(
     else:
         line = F.concat(F.lit("- **"), F.col("author"), F.lit("**: "), F.col("content"))
         listed = replies.groupBy(doc, "comment_no").agg(
-            F.array_sort(F.collect_list(F.struct("reply_no", line.alias("line")))).alias("_said")
+            F.sort_array(F.collect_list(F.struct("reply_no", line.alias("line")))).alias("_said")
         )
         talked = placed.join(listed, [doc, "comment_no"], "left")
 
@@ -320,7 +320,7 @@ def annotate_documents(
         F.when(~found, F.concat(with_replies(rest_line, "  "), F.lit("\n"))).alias("rest"),
     )
     gathered = lined.groupBy(doc).agg(
-        F.array_sort(F.collect_list("mark")).alias("marks"),
+        F.sort_array(F.collect_list("mark")).alias("marks"),
         F.expr("listagg(foot, '\\n') WITHIN GROUP (ORDER BY comment_no)").alias("feet"),
         F.expr("listagg(rest, '\\n') WITHIN GROUP (ORDER BY comment_no)").alias("rests"),
     )
@@ -361,18 +361,23 @@ RULE_COLUMNS = (
 )
 
 
-def rule_holds(rule: dict[str, Column]) -> Column:
+def _with_folded_text(messages: DataFrame) -> DataFrame:
+    """Lower-case copies of the text columns, made once for all rules."""
+    return messages.withColumns({f"_{c}": F.lower(c) for c in ("sender", "recipients", "subject", "text")})
+
+
+def _rule_holds(rule: dict[str, Column]) -> Column:
     """All criteria of a rule against the message columns ``sender, recipients, subject, text,
     has_attachment, is_chat, size``. Text criteria match whatever the case."""
 
     def mentions(column: str, wanted: Column) -> Column:
-        return F.coalesce(F.contains(F.lower(column), F.lower(wanted)), F.lit(False))
+        return F.coalesce(F.contains(F.col(f"m._{column}"), F.lower(wanted)), F.lit(False))
 
     def asked(name: str) -> Column:
         return F.coalesce(rule[name].cast("string"), F.lit("")) != ""
 
     def anywhere(wanted: Column) -> Column:
-        return mentions("m.subject", wanted) | mentions("text", wanted)
+        return mentions("subject", wanted) | mentions("text", wanted)
 
     size_ok = (
         F.when(F.lower(rule["size_comparison"]) == "smaller", F.col("m.size") < rule["size"])
@@ -381,11 +386,11 @@ def rule_holds(rule: dict[str, Column]) -> Column:
     return (
         (~asked("from") | mentions("sender", rule["from"]))
         & (~asked("to") | mentions("recipients", rule["to"]))
-        & (~asked("subject") | mentions("m.subject", rule["subject"]))
+        & (~asked("subject") | mentions("subject", rule["subject"]))
         & (~asked("query") | anywhere(rule["query"]))
         & (~asked("negated_query") | ~anywhere(rule["negated_query"]))
         & (~F.coalesce(rule["has_attachment"], F.lit(False)) | F.col("m.has_attachment"))
-        & (~F.coalesce(rule["exclude_chats"], F.lit(False)) | ~F.col("is_chat"))
+        & (~F.coalesce(rule["exclude_chats"], F.lit(False)) | ~F.col("m.is_chat"))
         & (rule["size"].isNull() | F.coalesce(size_ok, F.lit(False)))
     )
 
@@ -407,19 +412,21 @@ def apply_filter_rules(messages: DataFrame, rules: Sequence[dict[str, Any]]) ->
             F.array(*[F.lit(x) for x in rule.get("remove_labels", [])]).cast("array<string>").alias("remove"),
             literals["forward"].alias("forward"),
         )
-        hits.append(F.when(rule_holds(literals), effect))
-    found = messages.alias("m").withColumn("_hits", F.array_compact(F.array(*hits)))
+        hits.append(F.when(_rule_holds(literals), effect))
+    found = _with_folded_text(messages).alias("m").select(
+        *[F.col(f"m.{c}") for c in messages.columns], F.array_compact(F.array(*hits)).alias("_hits")
+    )
 
     def union(field: str) -> Column:
         lists = F.transform(F.col("_hits"), lambda h: h[field])
-        return F.array_sort(F.array_distinct(F.flatten(lists)))
+        return F.sort_array(F.array_distinct(F.flatten(lists)))
 
     return found.withColumns(
         {
-            "rule_ids": F.array_sort(F.transform("_hits", lambda h: h["rule_id"])),
+            "rule_ids": F.sort_array(F.transform("_hits", lambda h: h["rule_id"])),
             "add_labels": union("add"),
             "remove_labels": union("remove"),
-            "forwards": F.array_sort(F.array_distinct(F.array_compact(F.transform("_hits", lambda h: h["forward"])))),
+            "forwards": F.sort_array(F.array_distinct(F.array_compact(F.transform("_hits", lambda h: h["forward"])))),
         }
     ).drop("_hits")
 
@@ -430,9 +437,9 @@ def apply_rule_table(messages: DataFrame, rules: DataFrame, mailbox: str = "mail
     Every mailbox has its own rules, so the join is on the mailbox and the criteria filter it.
     """
     own = rules.select(mailbox, F.struct(*RULE_COLUMNS).alias("rule"))
-    joined = messages.join(own, mailbox).alias("m")
+    joined = _with_folded_text(messages).join(own, mailbox).alias("m")
     criteria = {c: F.col(f"rule.{c}") for c in RULE_COLUMNS}
-    return joined.filter(rule_holds(criteria)).select(
+    return joined.filter(_rule_holds(criteria)).select(
         *[F.col(f"m.{c}") for c in messages.columns], "rule.rule_id", "rule.add_labels", "rule.remove_labels", "rule.forward"
     )
 

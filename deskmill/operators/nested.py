@@ -70,21 +70,26 @@ def choose_body(bodies: DataFrame) -> DataFrame:
     HTML is used when the plain text is blank, holds an HTML comment, or is more than 50 times
     shorter.
     """
-    text = stripped(F.coalesce("text", F.lit("")))
-    html = stripped(F.coalesce("html", F.lit("")))
+    text, html = F.col("_t"), F.col("_h")
     use_html = (html != "") & (
         (text == "") | F.contains(text, F.lit("<!--")) | (F.length(html) > F.length(text) * 50)
     )
-    shown = visible_text(html)
+    choice = F.when(use_html, "html").when(text != "", "text").otherwise("none")
+    shown = F.col("_shown")
     cut = F.when(
         F.length(shown) > BODY_LIMIT, F.concat(F.substring(shown, 1, BODY_LIMIT), F.lit(CUT_MARK))
     ).otherwise(shown)
-    choice = F.when(use_html, "html").when(text != "", "text").otherwise("none")
-    return bodies.withColumn("choice", choice).withColumn(
-        "content",
-        F.when(F.col("choice") == "html", cut)
-        .when(F.col("choice") == "text", F.col("text"))
-        .otherwise(NOTHING_READABLE),
+    return (
+        bodies.withColumns({f"_{c[0]}": stripped(F.coalesce(c, F.lit(""))) for c in ("text", "html")})
+        .withColumn("choice", choice)
+        .withColumn("_shown", F.when(F.col("choice") == "html", visible_text(html)))
+        .withColumn(
+            "content",
+            F.when(F.col("choice") == "html", cut)
+            .when(F.col("choice") == "text", F.col("text"))
+            .otherwise(NOTHING_READABLE),
+        )
+        .drop("_t", "_h", "_shown")
     )
 
 
@@ -360,7 +365,7 @@ def slide_text(slides: DataFrame) -> DataFrame:
                 F.coalesce(t["startIndex"], F.lit(0)).alias("at"), i.alias("i"), t["textRun"]["content"].alias("text")
             ),
         )
-        return F.array_join(F.transform(F.array_sort(keyed), lambda t: t["text"]), "")
+        return F.array_join(F.transform(F.sort_array(keyed), lambda t: t["text"]), "")
 
     texts = F.filter(F.transform("pageElements", shape_text), lambda t: _given(t))
     lines = F.filter(F.split(F.array_join(texts, "\n"), "\n"), lambda line: stripped(line) != "")

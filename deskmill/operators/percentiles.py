@@ -1,8 +1,8 @@
 """Exact percentiles of groups of any size.
 
 The built-in exact aggregate keeps all distinct values of a group in one buffer. Here equal
-values are counted first, the counts are added up along the values in chunks, and only the
-two values around each wanted rank are kept.
+values are counted first and the counts written once, then added up along the values in
+chunks, and only the two values around each wanted rank are kept.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskmill.operators.running import CHUNK, Running, running
+from deskmill.session import durable_cut
 
 VALUE_CHUNKS = 1024
 
@@ -23,7 +24,13 @@ def percentile_points(df: DataFrame, keys: Sequence[str], value: str, wanted: Da
     ``wanted`` has the keys and a ``fraction`` between 0 and 1; ``value`` is a double, nulls are
     left out.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    asked = wanted.select(*keys).distinct()
+    counts = durable_cut(
+        df.filter(F.col(value).isNotNull())
+        .join(asked, list(keys), "left_semi")
+        .groupBy(*keys, value)
+        .agg(F.count("*").alias("_n"))
+    )
     bounds = counts.groupBy(*keys).agg(
         F.min(value).alias("_min"), F.max(value).alias("_max"), F.sum("_n").alias("_total")
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from deskmill.functions.markdown import heading_prefix, paragraph_markdown, table_markdown
 from deskmill.operators.running import CHUNK, Running, by_position, by_time, running
+from deskmill.session import durable_cut
 
 
 def _one() -> Column:
@@ -46,45 +47,44 @@ def list_numbering(elements: DataFrame, doc: str = "doc_id", pos: str = "pos") -
     Counts run per (list, nesting) and start again after a non-blank, non-list paragraph or a
     table that directly follows a list item. A blank paragraph, bulleted or not, ends the list
     without starting the counts again; other element kinds are passed over.
+
+    The three ordered passes run over a narrow table of flags that is written once; the elements
+    themselves are joined with the outcome at the end.
     """
     blank = (F.col("type") == "paragraph") & (F.trim(F.coalesce("text", F.lit(""))) == "")
     listed = (F.col("type") == "paragraph") & ~blank & F.col("list_id").isNotNull()
-    flagged = (
-        elements.filter(F.col("type").isin("paragraph", "table"))
-        .withColumns(
-            {
-                "is_blank": blank,
-                "is_item": listed,
-                "nesting": F.coalesce("nesting", F.lit(0)),
-                CHUNK: by_position(pos),
-            }
-        )
+    flagged = elements.filter(F.col("type").isin("paragraph", "table")).withColumns(
+        {"is_blank": blank, "is_item": listed, "nesting": F.coalesce("nesting", F.lit(0))}
     )
-    after = running(
-        flagged, [doc], [pos], F.col(CHUNK), {"prev_item": Running("lag", F.col("is_item"))}
-    ).withColumn(
-        "resets",
-        ~F.col("is_blank") & ~F.col("is_item") & F.coalesce("prev_item", F.lit(False)),
+    narrow = durable_cut(
+        flagged.select(
+            doc,
+            pos,
+            by_position(pos).alias(CHUNK),
+            "is_item",
+            (~F.col("is_blank") & ~F.col("is_item")).alias("is_break"),
+            (F.col("is_item") & F.coalesce("ordered", F.lit(False))).alias("counts"),
+            F.coalesce("list_id", F.lit("")).alias("list_key"),
+            "nesting",
+        )
     )
+    chunk = F.col(CHUNK)
+    after = running(narrow, [doc], [pos], chunk, {"prev_item": Running("lag", F.col("is_item"))})
+    marked = after.withColumn("resets", F.col("is_break") & F.coalesce("prev_item", F.lit(False)))
     sections = running(
-        after,
-        [doc],
-        [pos],
-        F.col(CHUNK),
-        {"section": Running("sum", F.col("resets").cast("bigint"))},
+        marked, [doc], [pos], chunk, {"section": Running("sum", F.col("resets").cast("bigint"))}
     )
-    counted = F.col("is_item") & F.coalesce("ordered", F.lit(False))
-    keyed = sections.withColumn("list_key", F.coalesce("list_id", F.lit("")))
     numbered = running(
-        keyed,
+        sections,
         [doc, "section", "list_key", "nesting"],
         [pos],
-        F.col(CHUNK),
-        {"running_no": Running("sum", counted.cast("bigint"))},
+        chunk,
+        {"running_no": Running("sum", F.col("counts").cast("bigint"))},
     )
-    return numbered.withColumn("item_no", F.when(counted, F.col("running_no"))).drop(
-        "running_no", "list_key", "prev_item", CHUNK
+    found = numbered.filter("resets OR counts").select(
+        doc, pos, "resets", F.when(F.col("counts"), F.col("running_no")).alias("item_no")
     )
+    return flagged.join(found, [doc, pos], "left").withColumn("resets", F.coalesce("resets", F.lit(False)))
 
 
 def markdown_blocks(elements: DataFrame, doc: str = "doc_id", pos: str = "pos") -> DataFrame:
@@ -144,27 +144,36 @@ def free_busy(
         F.greatest(F.col("start_ts"), tmin).alias("start_ts"),
         F.least(F.col("end_ts"), tmax).alias("end_ts"),
     ).filter(F.col("start_ts") < F.col("end_ts"))
-    chunked = clipped.withColumn(CHUNK, by_time("start_ts"))
-    order = ["start_ts", event]
-    reach = running(
-        chunked,
+    merged = running(
+        clipped,
         [calendar],
-        order,
-        F.col(CHUNK),
-        {"reach": Running("max", F.col("end_ts"), before=True)},
-    )
-    opens = F.coalesce(F.col("start_ts") > F.col("reach"), F.lit(True))
-    islands = running(
-        reach, [calendar], order, F.col(CHUNK), {"island": Running("sum", opens.cast("bigint"))}
-    )
-    busy = (
-        islands.groupBy(calendar, "island")
-        .agg(
-            F.min("start_ts").alias("start_ts"),
-            F.max("end_ts").alias("end_ts"),
-            F.count("*").alias("n_events"),
+        ["start_ts", event],
+        by_time("start_ts"),
+        {
+            "reach": Running("max", F.col("end_ts"), before=True),
+            "earlier": Running("sum", _one(), before=True),
+        },
+    )
+    # An interval opens where nothing before it reaches it. All that came before the next opening
+    # belongs to it, so its end and its count are read off there.
+    opening = durable_cut(
+        merged.filter(F.col("reach").isNull() | (F.col("start_ts") > F.col("reach"))).select(
+            calendar, "start_ts", "reach", F.coalesce("earlier", F.lit(0)).alias("earlier")
         )
-        .drop("island")
+    )
+    ends = running(
+        opening,
+        [calendar],
+        ["start_ts"],
+        by_time("start_ts", "month"),
+        {"next_reach": Running("lead", F.col("reach")), "next_earlier": Running("lead", F.col("earlier"))},
+    )
+    totals = clipped.groupBy(calendar).agg(F.max("end_ts").alias("last"), F.count("*").alias("all"))
+    busy = ends.join(totals, calendar).select(
+        calendar,
+        "start_ts",
+        F.coalesce("next_reach", "last").alias("end_ts"),
+        (F.coalesce("next_earlier", "all") - F.col("earlier")).alias("n_events"),
     )
     if calendars is None:
         return busy

@@ -369,8 +369,10 @@ def slides(spark, d):
             ),
         )
     )
+    documents = read_table(spark, d, "documents").select("doc_id", runs.alias("runs"))
+    runs = F.col("runs")
     shape = lambda text: F.struct(F.struct(text.alias("textElements")).alias("text"))
-    blank = F.filter(runs, lambda r: F.lit(False))
+    blank = F.slice(runs, 1, 0)
 
     def element(shape_, table=None, line=None):
         return F.struct(
@@ -384,7 +386,7 @@ def slides(spark, d):
         F.array(element(shape(runs)), element(shape(blank)), element(no_shape, table=3), element(no_shape, line="STRAIGHT")),
         F.when(F.col("doc_id") % 2 == 0, F.array(element(no_shape))).otherwise(F.array(element(shape(F.slice(runs, 1, 1))))),
     )
-    return read_table(spark, d, "documents").select(F.col("doc_id").alias("objectId"), elements.alias("pageElements"))
+    return documents.select(F.col("doc_id").alias("objectId"), elements.alias("pageElements"))
 
 
 # ---- forms, pages, files ----------------------------------------------------------------------

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from deskmill.functions.addresses import cell_address
 from deskmill.functions.text import stripped
-from deskmill.operators.intervals import cells_in_ranges
+from deskmill.operators.intervals import split_by_ranges
 
 
 def read_delimited_tables(df: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -59,22 +59,19 @@ def write_range(
 ) -> tuple[DataFrame, DataFrame]:
     """Write a new snapshot of ``cells`` in which rectangles are replaced or cleared.
 
-    ``ranges`` has ``rule_idx, sheet_id, r0, r1, c0, c1``. With mode ``update`` the cells of ``updates``
+    ``ranges`` has ``sheet_id, r0, r1, c0, c1``. With mode ``update`` the cells of ``updates``
     inside the ranges take the place of the old ones, with ``clear`` nothing does. Returns the
     snapshot as read back, and per sheet the cells, rows and columns updated. The old cells stay as
     they were.
     """
     if mode not in ("update", "clear"):
         raise ValueError(f"unknown mode {mode!r}")
-    place = ["sheet_id", "row", "col"]
-    old = cells_in_ranges(cells, ranges).select(*place).distinct()
-    kept = cells.join(old, place, "left_anti")
-    if mode == "clear" or updates is None:
-        changed = old
-    else:
-        fresh = cells_in_ranges(updates, ranges).select(*updates.columns).distinct()
-        kept = kept.unionByName(fresh.select(*cells.columns))
-        changed = fresh
+    if (mode == "update") != (updates is not None):
+        raise ValueError("updates are given with mode 'update' and only then")
+    changed, kept = split_by_ranges(cells, ranges)
+    if mode == "update":
+        changed, _ = split_by_ranges(updates, ranges)
+        kept = kept.unionByName(changed.select(*cells.columns))
     kept.write.mode("errorifexists").parquet(path)
     snapshot = cells.sparkSession.read.schema(cells.schema).parquet(path)
     counts = changed.groupBy("sheet_id").agg(

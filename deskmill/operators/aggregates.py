@@ -169,15 +169,16 @@ def facet_counts(hits: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted.select(facet.alias("facet"), value.alias("value"), "n_hits")
 
 
-# Bucket length per grain; weeks start on Monday, four days after the epoch's Thursday.
-GRAINS = {"DAILY": ("1 day", "0 days"), "WEEKLY": ("7 days", "4 days")}
+# Bucket length per grain, its offset and the calendar unit it equals; weeks start on
+# Monday, four days after the epoch's Thursday.
+GRAINS = {"DAILY": ("1 day", "0 days", "day"), "WEEKLY": ("7 days", "4 days", "week")}
 
 
 def metric_window(ts: str, grain: str) -> Column:
     """The bucket of a run, for batch and streaming use."""
     if grain not in GRAINS:
         raise ValueError(f"unknown grain {grain!r}")
-    length, offset = GRAINS[grain]
+    length, offset, _ = GRAINS[grain]
     return F.window(F.col(ts), length, startTime=offset)
 
 
@@ -195,8 +196,10 @@ def execution_metrics(runs: DataFrame, grain: str = "DAILY") -> DataFrame:
         )
         .select("w.start", "active_users", "total_executions", "failed_executions")
     )
-    step = F.expr(f"INTERVAL {GRAINS[grain][0]}")
-    span = counts.agg(F.min("start").alias("lo"), F.max("start").alias("hi"))
+    step, unit = F.expr(f"INTERVAL {GRAINS[grain][0]}"), GRAINS[grain][2]
+    span = runs.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).select(
+        *[F.date_trunc(unit, c).cast(runs.schema["ts"].dataType).alias(c) for c in ("lo", "hi")]
+    )
     buckets = span.select(F.explode(F.sequence("lo", "hi", step)).alias("start"))
     names = ("active_users", "total_executions", "failed_executions")
     return buckets.join(counts, "start", "left").select(

@@ -13,15 +13,18 @@ SEPARATOR = " "
 def resolve_paths(nodes: DataFrame) -> DataFrame:
     """``id, root, depth, path`` for nodes ``id, parent, segment``; unreached nodes get nulls.
 
+    Without a column ``segment`` there is no path, which keeps the rows short in deep trees.
+
     Every round doubles the part of the path a node knows: it takes over the path of the ancestor
     where its own path ends. A tree of depth ``d`` is done in about ``log2(d)`` joins, and nodes
     that are done are joined no more. When a round finishes no node, the rest lies on or below a
     cycle. Segments must not hold blanks, which separate them in ``path``.
     """
+    path = "segment" in nodes.columns
     state = nodes.select(
         "id",
         F.col("parent").alias("up"),
-        F.col("segment").alias("path"),
+        *([F.col("segment").alias("path")] if path else []),
         F.lit(0).alias("depth"),
         F.when(F.col("parent").isNull(), F.col("id")).alias("root"),
     )
@@ -33,7 +36,7 @@ def resolve_paths(nodes: DataFrame) -> DataFrame:
         known = done.unionByName(open_).select(
             F.col("id").alias("up"),
             F.col("up").alias("_up"),
-            F.col("path").alias("_path"),
+            *([F.col("path").alias("_path")] if path else []),
             F.col("depth").alias("_depth"),
             F.col("root").alias("_root"),
         )
@@ -41,7 +44,7 @@ def resolve_paths(nodes: DataFrame) -> DataFrame:
             open_.join(known, "up").select(
                 "id",
                 F.col("_up").alias("up"),
-                F.concat("_path", F.lit(SEPARATOR), "path").alias("path"),
+                *([F.concat("_path", F.lit(SEPARATOR), "path").alias("path")] if path else []),
                 (F.col("depth") + F.col("_depth") + 1).alias("depth"),
                 F.col("_root").alias("root"),
             )
@@ -54,7 +57,7 @@ def resolve_paths(nodes: DataFrame) -> DataFrame:
             break
         open_, left = rest, still
     lost = nodes.select("id").join(done.select("id"), "id", "left_anti") if left else None
-    answer = done.select("id", "root", "depth", "path")
+    answer = done.drop("up")
     return answer if lost is None else answer.unionByName(lost, allowMissingColumns=True)
 
 
@@ -79,9 +82,12 @@ def task_tree(tasks: DataFrame) -> DataFrame:
     top level; they have a null path and ``in_cycle``.
     """
     full = with_placeholders(tasks)
-    keyed = full.withColumn("segment", _sibling_key(F.col("position"), F.col("id").cast("string")))
-    paths = resolve_paths(keyed.select("id", "parent", "segment"))
-    return full.join(paths, "id").withColumn("in_cycle", F.col("path").isNull())
+    segment = _sibling_key(F.col("position"), F.col("id").cast("string"))
+    return _with_roots(full, full.select("id", "parent", segment.alias("segment")))
+
+
+def _with_roots(full: DataFrame, nodes: DataFrame) -> DataFrame:
+    return full.join(resolve_paths(nodes), "id").withColumn("in_cycle", F.col("root").isNull())
 
 
 def ordered_tree(tasks: DataFrame) -> DataFrame:
@@ -94,7 +100,8 @@ def task_rollup(tasks: DataFrame) -> DataFrame:
 
     ``tasks`` also has ``status`` and ``due``. A placeholder is no task and is not counted.
     """
-    tree = task_tree(tasks).filter(~F.col("in_cycle"))
+    full = with_placeholders(tasks)
+    tree = _with_roots(full, full.select("id", "parent")).filter(~F.col("in_cycle"))
     real, top = ~F.col("is_placeholder"), F.col("id") == F.col("root")
     return tree.groupBy("root").agg(
         F.count_if(real & ~top).alias("n_subtasks"),

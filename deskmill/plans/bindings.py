@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskmill.operators.running import Running, by_position, running
+from deskmill.session import durable_cut
 from deskmill.sources.tables import read_table
 
 
@@ -58,6 +59,16 @@ def flagged_elements(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def landed_elements(spark: SparkSession, directory: str) -> DataFrame:
+    """Kinds and positions of ``flagged_elements`` as a table of its own, without the text.
+
+    For queries that read the elements several times.
+    """
+    return durable_cut(
+        flagged_elements(spark, directory).select("doc_id", "pos", "type", "start_index", "end_index")
+    )
+
+
 ELEMENTS_SQL = (
     LINES_SQL
     + """,

@@ -147,7 +147,7 @@ def _points(spark, d):
 
 
 def _element_at(spark, d):
-    elements = b.flagged_elements(spark, d)
+    elements = b.landed_elements(spark, d)
     middle = F.col("start_index") + F.floor((F.col("end_index") - F.col("start_index")) / 2)
     halves = F.array(
         F.struct(F.lit(0).alias("row"), F.lit(0).alias("col"), F.col("start_index"), middle.alias("end_index")),
@@ -158,7 +158,7 @@ def _element_at(spark, d):
 
 
 def _next_paragraph(spark, d):
-    return joins.next_paragraph(b.flagged_elements(spark, d), _points(spark, d))
+    return joins.next_paragraph(b.landed_elements(spark, d), _points(spark, d))
 
 
 def _paragraph_ranges(spark, d):
@@ -174,7 +174,7 @@ def _paragraph_ranges(spark, d):
     ranges = read_table(spark, d, "documents").select(
         "doc_id", F.posexplode(spans).alias("range_id", "s")
     ).select("doc_id", "range_id", "s.*")
-    return joins.paragraphs_in_ranges(b.flagged_elements(spark, d), ranges)
+    return joins.paragraphs_in_ranges(b.landed_elements(spark, d), ranges)
 
 
 def _comments(spark, d):

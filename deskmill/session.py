@@ -30,14 +30,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a temporary folder of its own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="deskmill-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="deskmill-"))
+    return sc.getCheckpointDir()
 
 
 def durable_cut(df: DataFrame) -> DataFrame:

@@ -132,10 +132,11 @@ def read_export(
     schema = entity_schema(entity)
     path = f"{directory.rstrip('/')}/{entity}"
     if file_format == "json":
-        read = spark.read.schema(schema.add(CORRUPT, "string")).option("columnNameOfCorruptRecord", CORRUPT)
-        df = read.json(path)
-        if not keep_corrupt:
-            df = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        if keep_corrupt:
+            wide = schema.add(CORRUPT, "string")
+            df = spark.read.schema(wide).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+        else:
+            df = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
     elif file_format == "parquet":
         df = spark.read.schema(schema).parquet(path)
     else:

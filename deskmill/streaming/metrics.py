@@ -11,9 +11,12 @@ from deskmill.operators.aggregates import metric_window
 
 def stream_execution_metrics(runs: DataFrame, grain: str = "DAILY", late: str = "1 hour") -> DataFrame:
     """``execution_metrics`` for a streaming table: users are counted approximately, buckets close
-    once the watermark has passed them, and empty buckets are not filled in."""
+    once the watermark has passed them, and empty buckets are not filled in. Event time must have a
+    zone on a stream, so a timestamp without one is read in the session's, UTC."""
+    kind = runs.schema["ts"].dataType
     return (
-        runs.withWatermark("ts", late)
+        runs.withColumn("ts", F.col("ts").cast("timestamp"))
+        .withWatermark("ts", late)
         .groupBy(metric_window("ts", grain).alias("w"))
         .agg(
             F.approx_count_distinct("user_id").alias("active_users"),
@@ -21,8 +24,8 @@ def stream_execution_metrics(runs: DataFrame, grain: str = "DAILY", late: str =
             F.count_if("failed").alias("failed_executions"),
         )
         .select(
-            F.col("w.start").alias("start_time"),
-            F.col("w.end").alias("end_time"),
+            F.col("w.start").cast(kind).alias("start_time"),
+            F.col("w.end").cast(kind).alias("end_time"),
             "active_users",
             "total_executions",
             "failed_executions",

@@ -18,6 +18,7 @@ UNWANTED = (
 
 
 def plan_of(spark, name):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     return entry.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
 
 

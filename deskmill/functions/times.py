@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,5 +26,8 @@ def start_instant(when: Column) -> Column:
 
 
 def literal_instant(text: str) -> Column:
-    """A bound given as text (timestamp or date) as a literal, so that it is pushed to the scan."""
-    return F.lit(text).cast("timestamp").cast("timestamp_ntz")
+    """A bound given as text (timestamp or date) as a literal in UTC, whatever the session's zone."""
+    when = dt.datetime.fromisoformat(text)
+    if when.tzinfo is not None:
+        when = when.astimezone(dt.UTC).replace(tzinfo=None)
+    return F.lit(when.isoformat(" ")).cast("timestamp_ntz")

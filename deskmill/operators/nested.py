@@ -330,6 +330,64 @@ def flatten_document(docs: DataFrame, doc: str = "doc_id") -> DataFrame:
     )
 
 
+def _plain_runs(paragraph: Column) -> Column:
+    """Text runs with the marks Markdown knows, one flat record each."""
+
+    def plain(e: Column) -> Column:
+        style = e["textRun"]["textStyle"]
+        return F.struct(
+            e["textRun"]["content"].alias("content"),
+            style["bold"].alias("bold"),
+            style["italic"].alias("italic"),
+            style["strikethrough"].alias("strikethrough"),
+            style["weightedFontFamily"]["fontFamily"].alias("font"),
+            style["link"]["url"].alias("url"),
+        )
+
+    return F.transform(F.filter(paragraph["elements"], lambda e: e["textRun"].isNotNull()), plain)
+
+
+def markdown_elements(docs: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """Nested documents as the elements ``render_markdown`` takes. No shuffle.
+
+    A list item is ordered when its list gives its nesting level a glyph type.
+    """
+    e = F.col("e")
+    bullet = e["paragraph"]["bullet"]
+    nesting = F.coalesce(bullet["nestingLevel"], F.lit(0))
+    levels = F.try_element_at("lists", bullet["listId"])["listProperties"]["nestingLevels"]
+    glyph = F.coalesce(F.try_element_at(levels, nesting + 1)["glyphType"], F.lit(""))
+    cells = F.transform(
+        e["table"]["tableRows"],
+        lambda row: F.transform(
+            row["tableCells"],
+            lambda cell: F.transform(
+                F.filter(cell["content"], lambda c: c["paragraph"].isNotNull()), lambda c: _plain_runs(c["paragraph"])
+            ),
+        ),
+    )
+    return docs.select(doc, "lists", F.posexplode("content").alias("pos", "e")).select(
+        doc,
+        F.col("pos").cast("bigint").alias("pos"),
+        F.when(e["paragraph"].isNotNull(), "paragraph").when(e["table"].isNotNull(), "table").alias("type"),
+        e["paragraph"]["paragraphStyle"]["namedStyleType"].alias("style"),
+        bullet["listId"].alias("list_id"),
+        nesting.alias("nesting"),
+        (~glyph.isin("", "GLYPH_TYPE_UNSPECIFIED")).alias("ordered"),
+        _plain_runs(e["paragraph"]).alias("runs"),
+        cells.alias("table_rows"),
+    )
+
+
+def document_segments(docs: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """``doc, kind`` for every header and footer of nested documents."""
+
+    def of(kind: str) -> DataFrame:
+        return docs.select(doc, F.explode(F.map_keys(f"{kind}s"))).select(doc, F.lit(kind).alias("kind"))
+
+    return of("header").unionByName(of("footer"))
+
+
 def document_cells(docs: DataFrame, doc: str = "doc_id") -> DataFrame:
     """``doc, table_idx, row, col, text, start_index, end_index`` of all table cells."""
     tables = F.filter("content", lambda e: e["table"].isNotNull())

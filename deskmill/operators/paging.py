@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from deskmill.functions.text import shortened
 
 
+BROADCAST_ROWS = 10_000
+
+
 def latest_files(files: DataFrame, mime_type: str, n: int, id_column: str = "id") -> DataFrame:
     """The ``n`` files of a type that were changed last and are not in the bin; ties by id."""
     live = files.filter((F.col("mime_type") == mime_type) & ~F.coalesce(F.col("trashed"), F.lit(False)))
@@ -46,13 +49,15 @@ def top_per_group(
 ) -> DataFrame:
     """At most ``k`` messages with the phrase, newest first, in each of the first ``groups`` spaces.
 
-    The list of spaces is cut to ``groups`` rows before it is broadcast.
+    The list of spaces is cut to ``groups`` rows before it is broadcast, and a long one is not.
     """
     chosen = spaces.orderBy(space).limit(groups)
+    if groups <= BROADCAST_ROWS:
+        chosen = F.broadcast(chosen)
     hits = messages.filter(F.contains(F.lower("text"), F.lit(phrase.lower())))
     newest = Window.partitionBy(space).orderBy(F.col("create_time").desc(), F.col("message_id"))
     return (
-        hits.join(F.broadcast(chosen), space)
+        hits.join(chosen, space)
         .withColumn("place", F.row_number().over(newest))
         .filter(F.col("place") <= k)
         .withColumn("text", shortened(F.col("text"), 100))

@@ -1,8 +1,9 @@
 """Exact percentiles of groups of any size.
 
 The built-in exact aggregate keeps all distinct values of a group in one buffer. Here equal
-values are counted first and the counts written once, then added up along the values in
-chunks, and only the two values around each wanted rank are kept.
+values are counted first and the counts written once, then added up along the values, and only
+the two values around each wanted rank are kept. Large groups are added up in chunks between
+approximate quantiles, which holds however the values are distributed.
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ from pyspark.sql import functions as F
 from deskmill.operators.running import CHUNK, Running, running
 from deskmill.session import durable_cut
 
-VALUE_CHUNKS = 1024
+# Groups with more distinct values than this are cut into chunks of about equal size.
+LARGE_GROUP = 100_000
+CUTS = [i / 256 for i in range(1, 256)]
 
 
 def percentile_points(df: DataFrame, keys: Sequence[str], value: str, wanted: DataFrame) -> DataFrame:
@@ -31,12 +34,21 @@ def percentile_points(df: DataFrame, keys: Sequence[str], value: str, wanted: Da
         .groupBy(*keys, value)
         .agg(F.count("*").alias("_n"))
     )
-    bounds = counts.groupBy(*keys).agg(
-        F.min(value).alias("_min"), F.max(value).alias("_max"), F.sum("_n").alias("_total")
+    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"), F.count("*").alias("_distinct"))
+    large = sizes.filter(F.col("_distinct") > LARGE_GROUP).select(*keys)
+    steps = (
+        counts.join(large, list(keys), "left_semi")
+        .groupBy(*keys)
+        .agg(F.percentile_approx(value, CUTS, 10_000).alias("_steps"))
     )
-    share = (F.col(value) - F.col("_min")) / F.nullif(F.col("_max") - F.col("_min"), F.lit(0.0))
-    spread = counts.join(bounds, list(keys)).withColumn(
-        CHUNK, F.coalesce(F.floor(share * VALUE_CHUNKS), F.lit(0))
+    chunk = F.when(F.col("_steps").isNull(), F.lit(0)).otherwise(
+        F.size(F.filter("_steps", lambda step: step < F.col(value)))
+    )
+    spread = (
+        counts.join(sizes.drop("_distinct"), list(keys))
+        .join(steps, list(keys), "left")
+        .withColumn(CHUNK, chunk)
+        .drop("_steps")
     )
     ranked = running(spread, keys, [value], F.col(CHUNK), {"_upto": Running("sum", F.col("_n"))})
     rank = F.col("fraction") * (F.col("_total") - 1)

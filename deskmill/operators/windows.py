@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskmill.functions.markdown import heading_prefix, paragraph_markdown, table_markdown
+from deskmill.functions.text import stripped
 from deskmill.operators.running import CHUNK, Running, by_position, by_time, running
 from deskmill.session import durable_cut
 
@@ -51,7 +52,7 @@ def list_numbering(elements: DataFrame, doc: str = "doc_id", pos: str = "pos") -
     The three ordered passes run over a narrow table of flags that is written once; the elements
     themselves are joined with the outcome at the end.
     """
-    blank = (F.col("type") == "paragraph") & (F.trim(F.coalesce("text", F.lit(""))) == "")
+    blank = (F.col("type") == "paragraph") & (stripped(F.coalesce("text", F.lit(""))) == "")
     listed = (F.col("type") == "paragraph") & ~blank & F.col("list_id").isNotNull()
     flagged = elements.filter(F.col("type").isin("paragraph", "table")).withColumns(
         {"is_blank": blank, "is_item": listed, "nesting": F.coalesce("nesting", F.lit(0))}
@@ -165,7 +166,7 @@ def free_busy(
         opening,
         [calendar],
         ["start_ts"],
-        by_time("start_ts", "month"),
+        by_time("start_ts"),
         {"next_reach": Running("lead", F.col("reach")), "next_earlier": Running("lead", F.col("earlier"))},
     )
     totals = clipped.groupBy(calendar).agg(F.max("end_ts").alias("last"), F.count("*").alias("all"))
@@ -188,7 +189,7 @@ def free_gaps(busy: DataFrame, tmin: Column, tmax: Column, calendar: str = "cale
         taken,
         [calendar],
         ["start_ts"],
-        by_time("start_ts", "week"),
+        by_time("start_ts"),
         {"free_from": Running("lag", F.col("end_ts"))},
     ).select(
         calendar,

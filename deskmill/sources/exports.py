@@ -25,6 +25,7 @@ CONTENT = (
     "sectionBreak:struct<sectionStyle:map<string,string>>,"
     "tableOfContents:struct<content:array<struct<startIndex:int,endIndex:int>>>>>"
 )
+_SEGMENT = "struct<content:array<struct<startIndex:int,endIndex:int>>>"
 _PERMISSION = (
     "struct<id:string,type:string,role:string,emailAddress:string,domain:string,expirationTime:string,"
     "permissionDetails:array<struct<inherited:boolean,inheritedFrom:string>>>"
@@ -57,7 +58,11 @@ ENTITIES = {
         f"start {_INSTANT}, end {_INSTANT}, "
         "attendees array<struct<email:string,responseStatus:string,optional:boolean,organizer:boolean>>"
     ),
-    "document": f"doc_id string, title string, content {CONTENT}",
+    "document": (
+        "doc_id string, title string, "
+        "lists map<string,struct<listProperties:struct<nestingLevels:array<struct<glyphType:string,glyphSymbol:string>>>>>, "
+        f"headers map<string,{_SEGMENT}>, footers map<string,{_SEGMENT}>, content {CONTENT}"
+    ),
     "comment": (
         "file_id string, comment_id string, author string, content string, anchor string, created string, "
         "resolved boolean"

@@ -1,5 +1,7 @@
 """Documents: structure, numbering, Markdown, positions, comments, tables, slides, tabs."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,6 +91,40 @@ def test_numbering(spark):
     assert numbers(spark, item(), plain, plain, item(lst="m"), blank, item()) == [1, None, None, 1, None, 1]
 
 
+def test_nested_document_to_markdown(spark):
+    word = lambda t, **style: {"textRun": {"content": t, "textStyle": style}}
+    entry = lambda t, lst, level=0: {
+        "paragraph": {"elements": [word(t)], "bullet": {"listId": lst, **({"nestingLevel": level} if level else {})}}
+    }
+    cell = lambda *texts: {"content": [{"paragraph": {"elements": [word(t)]}} for t in texts]}
+    levels = lambda *glyphs: {"listProperties": {"nestingLevels": [{"glyphType": g} for g in glyphs]}}
+    docs = [
+        {
+            "doc_id": "d",
+            "lists": {"num": levels("DECIMAL", "GLYPH_TYPE_UNSPECIFIED"), "dot": levels("GLYPH_TYPE_UNSPECIFIED")},
+            "headers": {"h1": {}},
+            "content": [
+                {"sectionBreak": {}},
+                {"paragraph": {"elements": [word("Head\n")], "paragraphStyle": {"namedStyleType": "HEADING_3"}}},
+                {"paragraph": {"elements": [word("a "), word("b", bold=True, link={"url": "u"}), {"startIndex": 3}, word("\n")]}},
+                entry("one\n", "num"), entry("sub\n", "num", 1), entry("two\n", "num"), entry("deep\n", "num", 7), entry("dot\n", "dot"),
+                {"table": {"tableRows": [{"tableCells": [cell("x", " ", "y"), cell()]}]}},
+                {"table": {}},
+                entry("one again", "num"),
+            ],
+        },
+        {"doc_id": "empty", "content": []},
+    ]
+    df = spark.createDataFrame([(json.dumps(x),) for x in docs], "j string").select(
+        F.from_json("j", entity_schema("document")).alias("d")
+    ).select("d.*")
+    got = {r.doc_id: r.markdown for r in windows.render_markdown(nested.markdown_elements(df)).collect()}
+    assert got == {
+        "d": "### Head\n\na [**b**](u)\n\n1. one\n  - sub\n2. two\n" + " " * 14 + "- deep\n- dot\n\n| x y |  |\n| --- | --- |\n\n\n\n1. one again\n"
+    }
+    assert [tuple(r) for r in nested.document_segments(df).collect()] == [("d", "header")]
+
+
 def test_numbering_across_chunks(spark):
     rows = [("d", i * 3000, *(para(run("p")) if i % 7 == 6 else item())) for i in range(30)]
     df = spark.createDataFrame(rows, ELEMENT).withColumn("text", F.col("runs")[0]["content"])
@@ -204,8 +240,6 @@ def test_nested_document(spark):
         {"startIndex": 50, "endIndex": 51, "table": {"tableRows": []}},
         {"startIndex": 51, "endIndex": 60, "tableOfContents": {}},
     ]
-    import json
-
     raw = json.dumps({"doc_id": "d", "content": content})
     docs = spark.createDataFrame([(raw,)], "j string").select(F.from_json("j", schema).alias("d")).select("d.*")
     flat = [(r.pos, r.type, r.start_index, r.text, r.n_rows, r.n_cols) for r in nested.flatten_document(docs).collect()]
@@ -230,8 +264,6 @@ def test_slides(spark):
     schema = entity_schema("slide")
     piece = lambda at, t: {"startIndex": at, "textRun": {"content": t} if t is not None else None}
     shape = lambda *p: {"shape": {"text": {"textElements": list(p)}}}
-    import json
-
     slide = {
         "objectId": "s",
         "pageElements": [

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from deskmill.operators import percentiles
 from deskmill.operators.percentiles import percentile_points
 from deskmill.operators.running import Running, by_position, running
 
@@ -75,9 +76,11 @@ def test_unknown_kind(spark, rows):
         running(df, ["g"], ["pos"], by_position("pos"), {"x": Running("median", F.col("v"))})
 
 
-def test_percentiles_are_exact(spark):
+@pytest.mark.parametrize("large", [10, 100_000])
+def test_percentiles_are_exact(spark, monkeypatch, large):
+    monkeypatch.setattr(percentiles, "LARGE_GROUP", large)
     rng = random.Random(3)
-    data = {"hot": [rng.choice([1.0, 2.5, rng.random() * 1e6]) for _ in range(900)], "one": [4.0], "flat": [3.0] * 50}
+    data = {"hot": [rng.choice([1.0, 2.5, rng.random(), rng.random() * 1e9]) for _ in range(900)], "one": [4.0], "flat": [3.0] * 50}
     df = spark.createDataFrame([(k, v) for k, vs in data.items() for v in [*vs, None]], "k string, v double")
     fractions = [0.0, 0.25, 0.5, 0.95, 1.0]
     wanted = spark.createDataFrame([(k, f) for k in data for f in fractions], "k string, fraction double")

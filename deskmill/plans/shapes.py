@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from deskmill.functions.addresses import column_index, column_letters
 from deskmill.functions.text import encode_base64url
 from deskmill.operators import nested
+from deskmill.operators.windows import render_markdown
 from deskmill.plans import bindings as b
 from deskmill.plans.summaries import form_responses
 from deskmill.session import configure, shared_dir
@@ -303,20 +304,33 @@ def _rectangular(spark, d):
 
 
 def nested_documents(spark, d):
-    """Documents with a nested body: each line an element; some lines as tables, breaks, unknown kinds."""
-    run = lambda text: F.struct(F.struct(text.alias("content")).alias("textRun"))
-    none = lambda t: F.lit(None).cast(t)
+    """Documents with a nested body: each line an element, by its place a bold, listed or plain paragraph,
+    a table, a break, a table of contents or an unknown kind."""
+    style_type = (
+        "struct<bold:boolean,italic:boolean,strikethrough:boolean,link:struct<url:string>,"
+        "weightedFontFamily:struct<fontFamily:string>>"
+    )
     para_type = (
-        "struct<elements:array<struct<textRun:struct<content:string>>>,paragraphStyle:struct<namedStyleType:string>,"
-        "bullet:struct<listId:string,nestingLevel:int>>"
+        f"struct<elements:array<struct<textRun:struct<content:string,textStyle:{style_type}>>>,"
+        "paragraphStyle:struct<namedStyleType:string>,bullet:struct<listId:string,nestingLevel:int>>"
     )
     cell_type = f"struct<startIndex:int,endIndex:int,content:array<struct<paragraph:{para_type}>>>"
+    no = F.lit(None).cast("boolean")
+
+    def run(text, bold=no):
+        style = F.struct(
+            bold.alias("bold"), no.alias("italic"), no.alias("strikethrough"),
+            F.lit(None).cast("struct<url:string>").alias("link"),
+            F.lit(None).cast("struct<fontFamily:string>").alias("weightedFontFamily"),
+        )
+        return F.struct(F.struct(text.alias("content"), style.alias("textStyle")).alias("textRun"))
 
-    def paragraph(texts, style=None):
+    def paragraph(runs, style=None, list_id=None):
+        bullet = F.struct(list_id.alias("listId"), F.lit(None).cast("int").alias("nestingLevel")) if list_id is not None else None
         return F.struct(
-            F.transform(texts, run).alias("elements"),
+            runs.alias("elements"),
             F.struct(F.lit(style).cast("string").alias("namedStyleType")).alias("paragraphStyle"),
-            none("struct<listId:string,nestingLevel:int>").alias("bullet"),
+            (F.when(list_id.isNotNull(), bullet) if bullet is not None else F.lit(None)).alias("bullet"),
         ).cast(para_type)
 
     def table(line, i):
@@ -330,7 +344,7 @@ def nested_documents(spark, d):
                         lambda c, m: F.struct(
                             (i * 1000 + j * 10 + m).alias("startIndex"),
                             (i * 1000 + j * 10 + m + 1).alias("endIndex"),
-                            F.array(F.struct(paragraph(F.array(c)).alias("paragraph"))).alias("content"),
+                            F.array(F.struct(paragraph(F.array(run(c))).alias("paragraph"))).alias("content"),
                         ).cast(cell_type),
                     ).alias("tableCells")
                 ),
@@ -342,14 +356,21 @@ def nested_documents(spark, d):
         return F.struct(
             F.when(i > 0, i * 1000).alias("startIndex"),
             (i * 1000 + 999).alias("endIndex"),
-            F.when(kind < 5, paragraph(F.array(line, F.lit("\n")), "NORMAL_TEXT")).alias("paragraph"),
+            F.when(
+                kind < 5,
+                paragraph(
+                    F.array(run(line, kind == 0), run(F.lit("\n"))), "NORMAL_TEXT", F.when(kind.isin(1, 2), F.lit("num"))
+                ),
+            ).alias("paragraph"),
             F.when(kind == 5, table(line, i)).alias("table"),
             F.when(kind == 6, F.struct(F.lit("x").alias("sectionStyle"))).alias("sectionBreak"),
             F.when(kind == 7, F.struct(F.lit("x").alias("content"))).alias("tableOfContents"),
         )
 
+    levels = F.array(F.struct(F.lit("DECIMAL").alias("glyphType")))
+    lists = F.create_map(F.lit("num"), F.struct(F.struct(levels.alias("nestingLevels")).alias("listProperties")))
     return read_table(spark, d, "documents").select(
-        "doc_id", F.transform(F.split("text", "\n"), element).alias("content")
+        "doc_id", lists.alias("lists"), F.transform(F.split("text", "\n"), element).alias("content")
     )
 
 
@@ -437,6 +458,7 @@ QUERIES = {
     "p11_rectangularise": _rectangular,
     "p12_flatten_document": _flat_documents,
     "p13_document_cells": lambda s, d: nested.document_cells(nested_documents(s, d)),
+    "w3_render_nested_documents": lambda s, d: render_markdown(nested.markdown_elements(nested_documents(s, d))),
     "p15_slide_text": lambda s, d: nested.slide_text(slides(s, d)),
     "p15_slide_elements": lambda s, d: nested.slide_elements(slides(s, d)),
     "p16_form_answers_long": lambda s, d: nested.form_answers_long(form_responses(s, d)),
@@ -625,7 +647,7 @@ WITH {b.LINES_SQL}
 SELECT doc_id, pos, CASE WHEN pos % 9 < 5 THEN 'paragraph' WHEN pos % 9 = 5 THEN 'table' WHEN pos % 9 = 6 THEN 'section_break'
     ELSE 'table_of_contents' END AS type, pos * 1000 AS start_index, pos * 1000 + 999 AS end_index,
   CASE WHEN pos % 9 < 5 THEN text || chr(10) END AS text, CASE WHEN pos % 9 < 5 THEN 'NORMAL_TEXT' END AS style,
-  CAST(NULL AS VARCHAR) AS list_id, CAST(NULL AS INTEGER) AS nesting,
+  CASE WHEN pos % 9 IN (1, 2) THEN 'num' END AS list_id, CAST(NULL AS INTEGER) AS nesting,
   CASE WHEN pos % 9 = 5 THEN CAST(len(string_split(text, '. ')) AS INTEGER) END AS n_rows,
   CASE WHEN pos % 9 = 5 THEN CAST(len(string_split(string_split(text, '. ')[1], ',')) AS INTEGER) END AS n_cols
 FROM raw_lines WHERE pos % 9 < 8""",
@@ -636,6 +658,20 @@ t AS (SELECT doc_id, pos, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY p
 r AS (SELECT doc_id, pos, table_idx, CAST(unnest(range(len(rs))) AS INTEGER) AS row, string_split(unnest(rs), ',') AS cs FROM t)
 SELECT doc_id, table_idx, row, CAST(unnest(range(len(cs))) AS INTEGER) AS col, {_stripped_sql('unnest(cs)')} AS text,
   pos * 1000 + row * 10 + unnest(range(len(cs))) AS start_index, pos * 1000 + row * 10 + unnest(range(len(cs))) + 1 AS end_index FROM r""",
+    "w3_render_nested_documents": f"""
+WITH {b.LINES_SQL},
+cells AS (SELECT doc_id, pos, i, len(string_split(s, ',')) AS n,
+    array_to_string(list_transform(string_split(s, ','), lambda c: replace({_stripped_sql('c')}, '|', '\\|')), ' | ') AS line
+  FROM (SELECT doc_id, pos, unnest(string_split(text, '. ')) AS s, unnest(range(len(string_split(text, '. ')))) AS i
+        FROM raw_lines WHERE pos % 9 = 5)),
+tables AS (SELECT doc_id, pos, string_agg('| ' || line || ' |' || CASE WHEN i = 0 THEN chr(10) || '|' || repeat(' --- |', n) ELSE '' END,
+    chr(10) ORDER BY i) AS grid FROM cells GROUP BY doc_id, pos),
+blocks AS (SELECT doc_id, pos, CASE pos % 9 WHEN 0 THEN '**' || text || '**' || chr(10)
+    WHEN 1 THEN '1. ' || {_stripped_sql('text')} WHEN 2 THEN '2. ' || {_stripped_sql('text')}
+    WHEN 3 THEN chr(10) || {_stripped_sql('text')} || chr(10) WHEN 4 THEN {_stripped_sql('text')} || chr(10)
+    ELSE grid || chr(10) END AS block
+  FROM raw_lines LEFT JOIN tables USING (doc_id, pos) WHERE pos % 9 < 6)
+SELECT doc_id, rtrim(string_agg(block, chr(10) ORDER BY pos), chr(10)) || chr(10) AS markdown FROM blocks GROUP BY doc_id""",
     "p15_slide_text": f"""
 WITH s AS (SELECT doc_id, text || ' ' || CASE WHEN doc_id % 2 = 1 THEN chr(10) || list_extract(string_split(text, ' '), -1) || ' ' ELSE '' END AS t FROM documents),
 l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: {_stripped_sql('x')} <> '') AS ls FROM s)

@@ -70,6 +70,19 @@ def test_all_kinds(spark, rows, chunk):
     assert len(got) == len(rows)
 
 
+def test_a_hot_group_is_spread(spark):
+    """One group of 400 000 rows ends up in many partitions, none with most of it."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(400_000).select(F.lit("hot").alias("g"), F.col("id").alias("pos"))
+        got = running(df, ["g"], ["pos"], by_position("pos"), {"n": Running("sum", F.lit(1))})
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert got.filter(F.col("n") != F.col("pos") + 1).count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) == 400_000 and len(sizes) >= 4 and max(sizes) < 200_000
+
+
 def test_unknown_kind(spark, rows):
     df = spark.createDataFrame(rows, "g string, pos long, v long")
     with pytest.raises(ValueError):

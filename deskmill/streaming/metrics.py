@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from deskmill.operators.aggregates import metric_window
+from deskmill.session import configure
 
 
 def stream_execution_metrics(runs: DataFrame, grain: str = "DAILY", late: str = "1 hour") -> DataFrame:
@@ -33,6 +34,12 @@ def stream_execution_metrics(runs: DataFrame, grain: str = "DAILY", late: str =
     )
 
 
+def read_run_stream(spark: SparkSession, directory: str, schema: str, files: str = "*.parquet") -> DataFrame:
+    """Files of runs as they arrive in a folder."""
+    configure(spark)
+    return spark.readStream.schema(schema).option("pathGlobFilter", files).parquet(directory)
+
+
 def write_metrics(metrics: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append closed buckets to a parquet table, with what has arrived so far."""
     return (

@@ -40,13 +40,22 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+# Deletes the shuffle files of an execution when it ends; nothing reads those of a finished write again.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def durable_cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     The plan starts anew at the table, with its true size known to the optimizer, and an executor
-    that is lost takes nothing with it.
+    that is lost takes nothing with it. The shuffle files of the write are deleted with its end.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

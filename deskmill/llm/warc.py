@@ -38,8 +38,10 @@ NO_ID = (1 << 128) - 1
 
 def train_dictionary(pages: DataFrame, key: str, html: str) -> bytes:
     """A dictionary from a bounded sample: the first 16384 characters of at most 256 pages, chosen by the hash of their key."""
-    sample = pages.filter(F.length(html) > 0).orderBy(F.xxhash64(key), key).select(F.substring(html, 1, SAMPLE_CHARS)).limit(SAMPLE_PAGES)
-    texts = [row[0].encode() for row in sample.collect()]
+    # The keys are drawn first, so that only the texts of those drawn are moved.
+    drawn = pages.filter(F.length(html) > 0).select(F.col(key).alias("drawn")).filter("drawn IS NOT NULL").orderBy(F.xxhash64("drawn"), "drawn").limit(SAMPLE_PAGES)
+    sample = pages.join(F.broadcast(drawn), F.col(key) == F.col("drawn")).select("drawn", F.substring(html, 1, SAMPLE_CHARS).alias("start")).distinct().orderBy(F.xxhash64("drawn"), "drawn", "start")
+    texts = [row["start"].encode() for row in sample.limit(SAMPLE_PAGES).collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, texts).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too few pages to train on: their bytes themselves
@@ -88,15 +90,14 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
     """
     spark = pages.sparkSession
     rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html"))
-    rows = rows.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
-    long_enough = rows.filter(F.octet_length("html") >= LEAST_BYTES).select("page_id", "digest")
+    # The page as text, with an empty one for null, so that pages meet on plain equality of two columns.
+    rows = rows.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256)).withColumn("page", F.coalesce(F.col("page_id").cast("string"), F.lit("")))
+    long_enough = rows.filter(F.octet_length("html") >= LEAST_BYTES).select("page", "page_id", "digest")
     first = long_enough.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1 AND refers_to IS NOT NULL")
     # Only ids and digests meet on the digest, whose groups may be large; the payloads move once, by page.
-    again = long_enough.join(first, "digest").filter("page_id IS NULL OR page_id <> refers_to").select("page_id", "digest", "refers_to").distinct()
+    again = long_enough.join(first, "digest").filter("page_id IS NULL OR page_id <> refers_to").select("page", "digest", "refers_to").distinct()
     files = max(1, -(-total_bytes(rows, "html") // archive_bytes))
-    by = (F.col("page_id"), F.col("digest"))
-    spread = rows.repartition(files, *by).alias("r")
-    joined = spread.join(again.alias("a"), F.col("r.page_id").eqNullSafe(F.col("a.page_id")) & (F.col("r.digest") == F.col("a.digest")), "left").select("r.*", "refers_to")
+    joined = rows.repartition(files, "page", "digest").join(again, ["page", "digest"], "left")
     dictionary = train_dictionary(rows, "page_id", "html")
     frames = joined.mapInArrow(lambda batches: _frames(batches, dictionary), "frame binary")
     frames.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", FILLER).text(path)

@@ -8,7 +8,6 @@ travel. The next pass reads the block again with the masks of the passes before.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -104,7 +103,7 @@ def pack(docs: DataFrame, key: str, text: str, block_bytes: int = BLOCK_BYTES) -
         made, keys, texts, held = TaskContext.get().partitionId() << 32, [], [], 0
 
         def row() -> pa.RecordBatch:
-            data = zstandard.ZstdCompressor(level=1).compress(b"".join(texts))
+            data = zstandard.ZstdCompressor(level=5).compress(b"".join(texts))
             columns = [[made], pa.array([keys], pa.list_(batch.schema.field("key").type)), pa.array([[len(x) for x in texts]], pa.list_(pa.int64())), [data]]
             return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=["block", "keys", "sizes", "data"])
 
@@ -191,7 +190,7 @@ def ask(blocks: DataFrame, name: str, cut: Cut, emit: Callable[[Block], tuple[np
     """One pass. ``emit`` gives the sorted distinct keys of a block, already cut, and perhaps a whole number for each.
 
     The answer for a key has ``SHARED`` if another block gave it too, and ``FIRST`` if this block is the first that did, or,
-    where there are numbers, if no other block gave a smaller one. Written, with the shuffle files of the pass given up.
+    where there are numbers, if no other block gave a smaller one. Written, after which the keys' shuffle files go.
     """
 
     def deal(block: Block) -> Iterator[pa.RecordBatch]:
@@ -230,12 +229,4 @@ def ask(blocks: DataFrame, name: str, cut: Cut, emit: Callable[[Block], tuple[np
         return pd.DataFrame({"name": name, "block": rows["block"], "bucket": key[0], "bits": [_put(x) for x in np.split(answers, np.cumsum(counts)[:-1])]})
 
     dealt = each_block(blocks, deal, "bucket long, block long, keys binary, numbers binary")
-    found = durable_cut(dealt.groupBy("bucket").applyInPandas(settle, "name string, block long, bucket long, bits binary"))
-    release(blocks)
-    return found
-
-
-def release(df: DataFrame) -> None:
-    """Let Spark delete the shuffle files of finished jobs now: it does so when the driver collects its garbage."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    return durable_cut(dealt.groupBy("bucket").applyInPandas(settle, "name string, block long, bucket long, bits binary"))

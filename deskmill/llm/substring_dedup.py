@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from deskmill.llm.blocks import FIRST, NO_KEY, SHARED, Block, Cut, Rolling, ask, cut_for, each_block, pack, release, rolling_bytes, with_masks, words_of
+from deskmill.llm.blocks import FIRST, NO_KEY, SHARED, Block, Cut, Rolling, ask, cut_for, each_block, pack, rolling_bytes, with_masks, words_of
 from deskmill.llm.common import total_bytes
 from deskmill.session import durable_cut
 
@@ -125,6 +125,4 @@ def remove_repeated_words(docs: DataFrame, key: str = "doc_id", text: str = "tex
         answers.append(ask(with_masks(blocks, answers), name, cut, partial(_emit, step=step, cuts=cuts, lengths=lengths)))
     schema = f"key {docs.schema[key].dataType.simpleString()}, n_words long, n_removed long, kept string"
     found = each_block(with_masks(blocks, answers), partial(_results, cuts=cuts, lengths=lengths, digests=digests), schema)
-    found = durable_cut(found.withColumnRenamed("key", key))
-    release(found)
-    return found
+    return durable_cut(found.withColumnRenamed("key", key))

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from deskmill.llm.blocks import FIRST, SHARED, Block, Cut, Rolling, ask, cut_for, each_block, pack, release, rolling_bytes, with_masks
+from deskmill.llm.blocks import FIRST, SHARED, Block, Cut, Rolling, ask, cut_for, each_block, pack, rolling_bytes, with_masks
 from deskmill.llm.common import total_bytes
 from deskmill.session import durable_cut
 
@@ -150,6 +150,4 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     kind = docs.schema[key].dataType.simpleString()
     schema = f"key {kind}, n_bytes long, n_removed long, n_spans long, kept {'string' if digests else 'binary'}"
     found = each_block(with_masks(blocks, answers), partial(_results, cuts=cuts, length=length, digests=digests), schema)
-    found = durable_cut(found.withColumnRenamed("key", key))
-    release(found)
-    return found
+    return durable_cut(found.withColumnRenamed("key", key))

@@ -10,22 +10,22 @@ def _letter(n: Column) -> Column:
     return F.char((n + 65).cast("bigint"))
 
 
+# Seven letters name more columns than a 32-bit number counts.
+MAX_LETTERS = 7
+
+
 def column_letters(index: Column) -> Column:
-    """Zero-based column number to letters (0 A, 25 Z, 26 AA), up to ZZZ, the widest sheet."""
-    two = index - 26
-    three = index - 702
-    return (
-        F.when((index >= 0) & (index < 26), _letter(index))
-        .when((index >= 26) & (index < 702), F.concat(_letter(F.floor(two / 26)), _letter(two % 26)))
-        .when(
-            (index >= 702) & (index < 18278),
-            F.concat(
-                _letter(F.floor(three / 676)),
-                _letter(F.floor(three / 26) % 26),
-                _letter(three % 26),
-            ),
-        )
-    )
+    """Zero-based column number to letters: 0 A, 25 Z, 26 AA, 18278 AAAA."""
+    letters, first = F.lit(None).cast("string"), 0
+    spans = []
+    for n in range(1, MAX_LETTERS + 1):
+        spans.append((n, first, first + 26**n))
+        first += 26**n
+    for n, low, high in reversed(spans):
+        rest = index.cast("bigint") - low
+        written = F.concat(*[_letter(F.floor(rest / 26 ** (n - 1 - i)) % 26) for i in range(n)])
+        letters = F.when((index >= low) & (index < high), written).otherwise(letters)
+    return letters
 
 
 def column_index(letters: Column) -> Column:

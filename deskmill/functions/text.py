@@ -2,23 +2,14 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The entities that are decoded, the ampersand last so that nothing is decoded twice.
-ENTITIES = [
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&hellip;", "…"),
-    ("&mdash;", "—"),
-    ("&ndash;", "–"),
-    ("&amp;", "&"),
-]
+# The named entities of HTML 4 with their characters, from the standard library; a fixed space reads as a space.
+ENTITIES = {name: chr(code) for name, code in name2codepoint.items()} | {"nbsp": " ", "apos": "'"}
+ENTITY = "&(?:[A-Za-z][A-Za-z0-9]*|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
 
 # White space, Unicode blanks included, as a character class and as characters.
 WHITE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
@@ -74,13 +65,31 @@ def encode_base64url(text: Column) -> Column:
     return F.rtrim(F.translate(F.base64(F.encode(text, "UTF-8")), "+/", "-_"), F.lit("="))
 
 
+def _character(entity: Column) -> Column:
+    """What one entity stands for; itself if that is no character."""
+    body = F.substring(entity, 2, 1 << 16)
+    body = F.left(body, F.length(body) - 1)
+    hexadecimal = F.lower(F.substring(body, 2, 1)) == "x"
+    number = F.when(hexadecimal, F.conv(F.substring(body, 3, 8), 16, 10)).otherwise(F.substring(body, 2, 8)).try_cast("bigint")
+    usable = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+    numbered = F.when(usable, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+    named = F.try_element_at(F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair]), body)
+    return F.coalesce(F.when(F.startswith(body, F.lit("#")), numbered).otherwise(named), entity)
+
+
+def without_entities(text: Column) -> Column:
+    """Named and numeric entities decoded, each once; unknown ones stay."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)), _character)
+    pieces = F.zip_with(F.split(text, ENTITY, -1), found, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
+
+
 def visible_text(html: Column) -> Column:
     """Text of a page: no scripts, styles, comments or tags; entities decoded; blanks collapsed."""
     text = html
     for pattern in HIDDEN_PATTERNS:
         text = F.regexp_replace(text, pattern, "")
-    for entity, character in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
+    text = without_entities(text)
     return F.trim(F.regexp_replace(text, f"{WHITE}+", " "))
 
 

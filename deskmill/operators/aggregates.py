@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskmill.functions.addresses import range_label
+from deskmill.functions.addresses import cell_label, range_label
 from deskmill.functions.colors import channel, hex_color
 from deskmill.operators.intervals import cells_in_ranges
 from deskmill.operators.percentiles import percentile_points
@@ -18,24 +18,31 @@ def _zero() -> Column:
     return F.lit(0).cast("bigint")
 
 
-def document_stats(elements: DataFrame, segments: DataFrame | None = None, doc: str = "doc_id") -> DataFrame:
+def document_stats(
+    elements: DataFrame, segments: DataFrame | None = None, doc: str = "doc_id", docs: DataFrame | None = None
+) -> DataFrame:
     """Per document: elements by kind, total length, table cells, largest table, header and footer.
 
     ``elements`` has ``pos, type, end_index`` and for tables ``n_rows, n_cols`` (columns of the first
-    row); ``segments`` has ``doc, kind`` with kind ``header`` or ``footer``.
+    row); ``segments`` has ``doc, kind`` with kind ``header`` or ``footer``. With ``docs`` a document without
+    any element has a row too, with counts of 0.
     """
-    known = elements.filter(F.col("type").isin("paragraph", "table", "section_break", "table_of_contents"))
+    known = F.col("type").isin("paragraph", "table", "section_break", "table_of_contents")
     kind, size = F.col("type"), F.col("n_rows") * F.col("n_cols")
     table = kind == "table"
-    stats = known.groupBy(doc).agg(
-        F.count("*").alias("n_elements"),
+    stats = elements.groupBy(doc).agg(
+        F.count_if(known).alias("n_elements"),
         F.count_if(table).alias("n_tables"),
         F.count_if(kind == "paragraph").alias("n_paragraphs"),
         F.count_if(kind == "section_break").alias("n_section_breaks"),
-        F.max_by("end_index", "pos").alias("total_length"),
+        F.max_by("end_index", F.when(known, F.col("pos"))).alias("total_length"),
         F.sum(F.when(table, size)).alias("n_table_cells"),
         F.max(F.when(table, size)).alias("largest_table"),
     )
+    if docs is not None:
+        stats = docs.select(doc).distinct().join(stats, doc, "left")
+        counts = ("n_elements", "n_tables", "n_paragraphs", "n_section_breaks")
+        stats = stats.withColumns({c: F.coalesce(c, F.lit(0).cast("bigint")) for c in counts})
     if segments is None:
         return stats
     flags = segments.groupBy(doc).agg(
@@ -48,7 +55,7 @@ def document_stats(elements: DataFrame, segments: DataFrame | None = None, doc:
 
 
 def used_range(cells: DataFrame, sheet: str = "sheet_id") -> DataFrame:
-    """Per sheet the tight rectangle of cells, its cell count and its label."""
+    """Per sheet the tight rectangle of cells, its cell count, its start cell and its label."""
     corners = cells.groupBy(sheet).agg(
         F.min("row").alias("r0"), F.min("col").alias("c0"), F.max("row").alias("r1"), F.max("col").alias("c1")
     )
@@ -56,6 +63,7 @@ def used_range(cells: DataFrame, sheet: str = "sheet_id") -> DataFrame:
     return corners.withColumns(
         {
             "n_cells": count.cast("bigint"),
+            "start": cell_label(F.col("r0"), F.col("c0")),
             "label": range_label(F.col("r0"), F.col("c0"), F.col("r1"), F.col("c1")),
         }
     )
@@ -96,7 +104,7 @@ def find_replace(
     docs: DataFrame, find: str, replacement: str, match_case: bool = False, text: str = "text"
 ) -> DataFrame:
     """Documents with the literal replaced and ``n_replaced``, the number of occurrences."""
-    pattern = ("" if match_case else "(?i)") + "".join(re.escape(ch) for ch in find)
+    pattern = ("" if match_case else "(?iu)") + "".join(re.escape(ch) for ch in find)
     safe = replacement.replace("\\", "\\\\").replace("$", "\\$")
     return docs.withColumns(
         {

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from deskmill.functions.addresses import cell_label
 from deskmill.functions.sharing import SHARE_ROLES, SHARE_TYPES, is_public
-from deskmill.functions.text import host
+from deskmill.functions.text import host, stripped
 from deskmill.functions.times import is_rfc3339, literal_instant
 from deskmill.operators.intervals import cells_in_ranges
 
@@ -137,7 +137,7 @@ def site_filter(df: DataFrame, url: str, sites: Sequence[str] | DataFrame, mode:
 
 def is_error_token(value: Column) -> Column:
     """``#REF!``, ``#NAME?``, ``#N/A`` and the like; a lone ``#`` is no error."""
-    t = F.upper(F.trim(value))
+    t = F.upper(stripped(value))
     marked = F.startswith(t, F.lit("#")) & (F.endswith(t, F.lit("!")) | F.endswith(t, F.lit("?")))
     return F.coalesce((t == "#N/A") | marked, F.lit(False))
 

@@ -156,9 +156,22 @@ def unresolved_refs(child: DataFrame, parent: DataFrame, key: str, parent_key: s
     return child.groupBy(key).agg(F.count("*").alias("n_refs")).join(known, key, "left_anti")
 
 
-def patch_merge(base: DataFrame, patch: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Sparse update: a new value that is not null wins, else the old one is kept."""
-    fresh = patch.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns])
+def _one_per_key(rows: DataFrame, key: str, columns: Sequence[str], version: str | None) -> DataFrame:
+    """One row per key: the latest given value of each column; without a ``version`` a repeated key is an error."""
+    if version:
+        picked = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(version))).alias(c) for c in columns]
+    else:
+        twice = F.raise_error(F.concat(F.lit(f"several updates of {key} "), F.col(key).cast("string")))
+        picked = [F.when(F.count("*") > 1, twice).otherwise(F.first(c)).alias(c) for c in columns]
+    return rows.groupBy(key).agg(*picked)
+
+
+def patch_merge(base: DataFrame, patch: DataFrame, key: str, columns: Sequence[str], version: str | None = None) -> DataFrame:
+    """Sparse update: a new value that is not null wins, else the old one is kept.
+
+    Of several patches to a key the latest by ``version`` counts, column by column; without that column they are an error.
+    """
+    fresh = _one_per_key(patch, key, columns, version).select(key, *[F.col(c).alias(f"_new_{c}") for c in columns])
     merged = base.join(fresh, key, "left")
     return merged.withColumns({c: F.coalesce(F.col(f"_new_{c}"), F.col(c)) for c in columns}).select(
         *base.columns
@@ -276,9 +289,9 @@ def anchor_comments(docs: DataFrame, comments: DataFrame, doc: str = "doc_id") -
     """Comments with the place of their anchor in the text: ``at`` (from 1), null for the appendix.
 
     ``comments`` has ``comment_no`` (from 1), ``anchor``, ``author``, ``content`` and ``resolved``. The
-    text leaves the job right after the join; only positions are kept.
+    text leaves the job right after the join; only positions are kept. Comments of an unknown document stay, without a place.
     """
-    joined = comments.join(docs.select(doc, "text"), doc)
+    joined = comments.join(docs.select(doc, "text"), doc, "left")
     at = F.when(~_blank("anchor"), F.nullif(F.position(F.col("anchor"), F.col("text")), F.lit(0)))
     return joined.withColumn("at", at).select(*comments.columns, "at").withColumn(
         "ref", F.concat(F.lit("[^c"), F.col("comment_no").cast("string"), F.lit("]"))
@@ -294,14 +307,16 @@ def annotate_documents(
     result, so what is gathered per document is a part of that text.
     """
     placed = anchor_comments(docs, comments, doc)
-    foot_line = F.concat(F.col("ref"), F.lit(": **"), F.col("author"), F.lit("**: "), F.col("content"))
+    # Fixed value: the name of an author who is not given.
+    said = F.concat(F.coalesce("author", F.lit("Unknown")), F.lit("**: "), F.coalesce("content", F.lit("")))
+    foot_line = F.concat(F.col("ref"), F.lit(": **"), said)
     done_mark = F.when(F.col("resolved"), F.lit(" *(Resolved)*")).otherwise("")
     quote = F.when(_blank("anchor"), "").otherwise(F.concat(F.lit("> "), F.col("anchor"), F.lit("\n\n")))
-    rest_line = F.concat(quote, F.lit("- **"), F.col("author"), F.lit("**: "), F.col("content"), done_mark)
+    rest_line = F.concat(quote, F.lit("- **"), said, done_mark)
     if replies is None:
         talked = placed.withColumn("_said", F.lit(None).cast("array<struct<reply_no:bigint,line:string>>"))
     else:
-        line = F.concat(F.lit("- **"), F.col("author"), F.lit("**: "), F.col("content"))
+        line = F.concat(F.lit("- **"), said)
         listed = replies.groupBy(doc, "comment_no").agg(
             F.sort_array(F.collect_list(F.struct("reply_no", line.alias("line")))).alias("_said")
         )
@@ -531,10 +546,13 @@ def change_report(
     )
 
 
-def change_counts(changes: DataFrame, requested: DataFrame, key: str) -> DataFrame:
-    """Changes per field; the field ``(none)`` counts the requested keys that change nothing."""
+def change_counts(changes: DataFrame, requested: DataFrame, key: str, current: DataFrame | None = None) -> DataFrame:
+    """Changes per field; the field ``(none)`` counts the requested keys that change nothing, of those in ``current`` if it is given."""
     per_field = changes.groupBy("field").agg(F.count("*").alias("n_changes"))
-    still = requested.select(key).distinct().join(changes.select(key).distinct(), key, "left_anti")
+    asked = requested.select(key).distinct()
+    if current is not None:
+        asked = asked.join(current.select(key), key, "left_semi")
+    still = asked.join(changes.select(key).distinct(), key, "left_anti")
     return per_field.unionByName(
         still.agg(F.count("*").alias("n_changes")).select(F.lit("(none)").alias("field"), "n_changes")
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,18 +46,16 @@ def select_bodies(parts: DataFrame) -> DataFrame:
     ``parts`` has ``msg_id, depth, pos, mime, data`` (base64url) for the parts a reader reaches. The
     outermost part (depth 0) of a message with several parts comes last.
     """
-    text = decode_base64url(F.col("data"))
+    text = F.when(F.col("mime").isin("text/plain", "text/html"), decode_base64url(F.col("data")))
     place = F.struct(F.col("depth") == 0, F.col("depth"), F.col("pos"))
-    readable = parts.filter(F.col("mime").isin("text/plain", "text/html")).withColumn("_text", text)
+    # A message without a readable part keeps its row, with two empty texts.
+    read = parts.withColumn("_text", text)
 
     def first(mime: str) -> Column:
         ranked = F.when((F.col("mime") == mime) & _given(F.col("_text")), place)
         return F.coalesce(F.min_by("_text", ranked), F.lit(""))
 
-    found = readable.groupBy("msg_id").agg(
-        first("text/plain").alias("text"), first("text/html").alias("html")
-    )
-    return found
+    return read.groupBy("msg_id").agg(first("text/plain").alias("text"), first("text/html").alias("html"))
 
 
 # Where a long page is cut, what is put there, and what an empty message says.
@@ -139,6 +139,11 @@ def attendee_rows(events: DataFrame) -> DataFrame:
     ``attendees`` is a list of ``email, responseStatus, optional, organizer``; ``guests``, if there is
     such a column, a list of bare addresses.
     """
+    return _attendees(events).filter(F.col("email").isNotNull())
+
+
+def _attendees(events: DataFrame) -> DataFrame:
+    """All attendees; an event without any keeps one row of nulls."""
     people = F.coalesce("attendees", F.expr("array()").cast(events.schema["attendees"].dataType))
     if "guests" in events.columns:
         bare = F.transform(
@@ -151,16 +156,13 @@ def attendee_rows(events: DataFrame) -> DataFrame:
             ),
         )
         people = F.concat(people, bare)
-    return (
-        events.select("event_id", F.explode(people).alias("a"))
-        .filter(F.col("a.email").isNotNull())
-        .select(
-            "event_id",
-            "a.email",
-            F.coalesce("a.responseStatus", F.lit("unknown")).alias("response"),
-            F.coalesce("a.optional", F.lit(False)).alias("optional"),
-            F.coalesce("a.organizer", F.lit(False)).alias("organizer"),
-        )
+    known = F.col("a.email").isNotNull()
+    return events.select("event_id", F.explode_outer(people).alias("a")).select(
+        "event_id",
+        "a.email",
+        F.when(known, F.coalesce("a.responseStatus", F.lit("unknown"))).alias("response"),
+        F.when(known, F.coalesce("a.optional", F.lit(False))).alias("optional"),
+        F.when(known, F.coalesce("a.organizer", F.lit(False))).alias("organizer"),
     )
 
 
@@ -169,10 +171,10 @@ RESPONSES = ("accepted", "declined", "tentative", "needsAction", "unknown")
 
 
 def attendee_responses(events: DataFrame) -> DataFrame:
-    """Per event the number of attendees by answer, of optional ones and of organizers."""
+    """Per event, also one without attendees, their number by answer, of optional ones and of organizers."""
     by_answer = [F.count_if(F.col("response") == r).alias(f"n_{r}") for r in RESPONSES]
-    return attendee_rows(events).groupBy("event_id").agg(
-        F.count("*").alias("n_attendees"),
+    return _attendees(events).groupBy("event_id").agg(
+        F.count("email").alias("n_attendees"),
         *by_answer,
         F.count_if("optional").alias("n_optional"),
         F.count_if("organizer").alias("n_organizers"),
@@ -473,18 +475,26 @@ def form_answers_wide(responses: DataFrame, questions: Sequence[str]) -> DataFra
 
 
 # The page properties a search hit shows, as patterns with one group.
-META_PATTERNS = {
-    "og_type": r'(?i)<meta[^>]*property="og:type"[^>]*content="([^"]*)"',
-    "published": r'(?i)<meta[^>]*property="article:published_time"[^>]*content="([^"]{0,10})',
-}
+META_PROPERTIES = {"og_type": ("og:type", ""), "published": ("article:published_time", "{0,10}")}
+
+
+def _meta_patterns(name: str, most: str) -> list[str]:
+    """The content of a property's tag, attributes in any order, in double quotes, single quotes or none."""
+    tag = rf"""(?i)<meta\b(?=[^>]*\sproperty\s*=\s*["']?{re.escape(name)}["'\s/>])[^>]*\scontent\s*=\s*"""
+    return [f"{tag}{quote}([^{ends}]{most or '*'})" for quote, ends in (('"', '"'), ("'", "'"), ("(?![\"'])", r"\s>"))]
+
+
+META_PATTERNS = {column: _meta_patterns(*rule) for column, rule in META_PROPERTIES.items()}
+
+
+def page_metadata(pages: DataFrame, patterns: dict[str, str | list[str]] | None = None) -> DataFrame:
+    """``page_id, host`` and one column per property, null where the page lacks it; of several patterns the first that finds some."""
 
+    def first(ways: str | list[str]) -> Column:
+        tried = [F.nullif(F.regexp_extract("html", p, 1), F.lit("")) for p in ([ways] if isinstance(ways, str) else ways)]
+        return F.coalesce(*tried)
 
-def page_metadata(pages: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
-    """``page_id, host`` and one column per property, null where the page lacks it."""
-    found = [
-        F.nullif(F.regexp_extract("html", pattern, 1), F.lit("")).alias(name)
-        for name, pattern in (META_PATTERNS if patterns is None else patterns).items()
-    ]
+    found = [first(ways).alias(name) for name, ways in (META_PATTERNS if patterns is None else patterns).items()]
     return pages.select("page_id", host(F.col("url")).alias("host"), *found)
 
 

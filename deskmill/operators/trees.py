@@ -18,7 +18,7 @@ def resolve_paths(nodes: DataFrame) -> DataFrame:
     Every round doubles the part of the path a node knows: it takes over the path of the ancestor
     where its own path ends. A tree of depth ``d`` is done in about ``log2(d)`` joins, and nodes
     that are done are joined no more. When a round finishes no node, the rest lies on or below a
-    cycle. Segments must not hold blanks, which separate them in ``path``.
+    cycle; it is unreached, as are nodes below a parent that is not among them. Segments must not hold blanks, which separate them in ``path``.
     """
     path = "segment" in nodes.columns
     state = nodes.select(
@@ -56,9 +56,12 @@ def resolve_paths(nodes: DataFrame) -> DataFrame:
         if still == left:
             break
         open_, left = rest, still
-    lost = nodes.select("id").join(done.select("id"), "id", "left_anti") if left else None
     answer = done.drop("up")
-    return answer if lost is None else answer.unionByName(lost, allowMissingColumns=True)
+    # Below a parent that is not there, or on a cycle. Both counts are those of written tables.
+    if done.count() == state.count():
+        return answer
+    lost = state.select("id").join(done.select("id"), "id", "left_anti")
+    return answer.unionByName(lost, allowMissingColumns=True)
 
 
 def with_placeholders(tasks: DataFrame) -> DataFrame:
@@ -129,12 +132,13 @@ def document_tabs_text(docs: DataFrame, tabs: DataFrame) -> DataFrame:
         F.repeat(F.lit("    "), F.col("depth")), F.col("title"), F.lit(" ( ID: "), F.col("tab_id").cast("string"), F.lit(")")
     )
     name = F.when(F.col("depth") > 0, deep).otherwise(F.col("title"))
+    # Tabs that no path reaches come last, without a depth.
+    place = F.coalesce(F.concat(F.lit("1"), "path"), F.concat(F.lit("2"), segment))
     parts = (
         keyed.join(paths, "id")
-        .filter(F.col("path").isNotNull())
         .select(
             "doc_id",
-            F.concat(F.lit("1"), "path").alias("place"),
+            place.alias("place"),
             F.concat(F.lit("\n--- TAB: "), name, F.lit(" ---\n"), F.coalesce("text", F.lit(""))).alias("part"),
         )
     )

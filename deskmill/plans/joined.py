@@ -74,8 +74,9 @@ def _group_members(spark, d):
 
 
 def _unresolved(spark, d):
-    lines = read_table(spark, d, "lineitem").select(F.col("l_orderkey").alias("order_id"))
-    orders = read_table(spark, d, "orders").filter("o_orderstatus <> 'F'")
+    k = F.col("l_orderkey")
+    lines = read_table(spark, d, "lineitem").select(F.when(k % 7 == 3, -k).otherwise(k).alias("order_id"))
+    orders = read_table(spark, d, "orders")
     return joins.unresolved_refs(lines, orders, "order_id", "o_orderkey")
 
 
@@ -426,8 +427,8 @@ WITH {GROUP_SQL} SELECT n_nationkey AS group_id, n_name AS name, n_regionkey + 6
   count(member) AS n_members, count(*) FILTER (WHERE resolved) AS n_resolved
 FROM nation LEFT JOIN members ON group_id = n_nationkey GROUP BY ALL""",
     "j4_unresolved_refs": """
-SELECT l_orderkey AS order_id, count(*) AS n_refs FROM lineitem
-WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F') GROUP BY 1""",
+WITH l AS (SELECT CASE WHEN l_orderkey % 7 = 3 THEN -l_orderkey ELSE l_orderkey END AS order_id FROM lineitem)
+SELECT order_id, count(*) AS n_refs FROM l WHERE order_id NOT IN (SELECT o_orderkey FROM orders) GROUP BY 1""",
     "j5_patch_merge": """
 SELECT c_custkey, CASE WHEN c_acctbal < 3000 AND c_custkey % 2 = 0 THEN upper(c_name) ELSE c_name END AS c_name, c_nationkey,
   CASE WHEN c_acctbal < 3000 AND c_custkey % 5 = 0 THEN 0.0 ELSE c_acctbal END AS c_acctbal,

@@ -610,9 +610,10 @@ SELECT CASE WHEN lang <> 'de' THEN 'x/' || lang ELSE 'application/octet-stream'
 FROM documents WHERE doc_id % 3 <> 0 AND doc_id % 5 <> 0 GROUP BY 1""",
     "p6_attendee_rows": f"WITH {ATTENDEES_SQL} SELECT * FROM rows_",
     "p6_attendee_responses": f"""
-WITH {ATTENDEES_SQL} SELECT event_id, count(*) AS n_attendees, """
+WITH {ATTENDEES_SQL} SELECT e.event_id, count(email) AS n_attendees, """
     + ", ".join(f"count(*) FILTER (WHERE response = '{r}') AS \"n_{r}\"" for r in nested.RESPONSES)
-    + """, count(*) FILTER (WHERE optional) AS n_optional, count(*) FILTER (WHERE organizer) AS n_organizers FROM rows_ GROUP BY 1""",
+    + """, count(*) FILTER (WHERE optional) AS n_optional, count(*) FILTER (WHERE organizer) AS n_organizers
+FROM events e LEFT JOIN rows_ USING (event_id) GROUP BY 1""",
     "p7_flatten_contacts": f"WITH {CONTACTS_SQL} SELECT * FROM contacts",
     "p7_contact_profile": f"WITH {CONTACTS_SQL} "
     + " UNION ALL ".join(

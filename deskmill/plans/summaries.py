@@ -30,8 +30,8 @@ def _document_stats(spark, d):
 
 
 def _used_range(spark, d):
-    cells = b.sheet_cells(spark, d).filter(F.contains("value", F.lit("5")))
-    return aggregates.used_range(cells)
+    cells = b.sheet_cells(spark, d)
+    return aggregates.used_range(cells.withColumn("row", (F.col("row") + F.col("sheet_id") % 3).cast("int")))
 
 
 def _table_rows(spark, d):
@@ -91,12 +91,12 @@ def _labels(spark, d):
 
 
 def task_rows(spark, d):
-    """Orders that are not finished as tasks; some parents are missing, a few point at themselves."""
+    """Orders as tasks; some parents are missing, a few point at themselves."""
     k = F.col("o_orderkey")
-    o = read_table(spark, d, "orders").filter("o_orderstatus <> 'F'")
+    o = read_table(spark, d, "orders")
     return o.select(
         k.alias("id"),
-        F.when(k % 500 == 499, k).when(k % 5 != 0, F.floor(k / 4)).alias("parent"),
+        F.when(k % 500 == 499, k).when(k % 13 == 6, -F.floor(k / 50) - 1).when(k % 5 != 0, F.floor(k / 4)).alias("parent"),
         F.when(k % 11 != 0, F.col("o_custkey")).cast("decimal(20,0)").alias("position"),
         F.when(F.col("o_orderstatus") == "O", "completed").otherwise("needsAction").alias("status"),
         F.col("o_orderdate").alias("due"),
@@ -249,9 +249,9 @@ QUERIES = {
 }
 
 TASKS_SQL = """
-tasks AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 500 = 499 THEN o_orderkey WHEN o_orderkey % 5 <> 0 THEN o_orderkey // 4 END AS parent,
+tasks AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 500 = 499 THEN o_orderkey WHEN o_orderkey % 13 = 6 THEN -(o_orderkey // 50) - 1 WHEN o_orderkey % 5 <> 0 THEN o_orderkey // 4 END AS parent,
   CASE WHEN o_orderkey % 11 <> 0 THEN o_custkey END AS position, o_orderstatus = 'O' AS completed, o_orderdate AS due
-  FROM orders WHERE o_orderstatus <> 'F'),
+  FROM orders),
 nodes AS (SELECT *, false AS is_placeholder FROM tasks
   UNION ALL SELECT DISTINCT parent, NULL, NULL, false, NULL, true FROM tasks
   WHERE parent IS NOT NULL AND parent NOT IN (SELECT id FROM tasks)),
@@ -288,8 +288,8 @@ SELECT e.doc_id, count(*) AS n_elements, count(*) FILTER (WHERE t = 'table') AS
 FROM e JOIN documents d ON d.doc_id = e.doc_id GROUP BY e.doc_id""",
     "g2_used_range": f"""
 WITH {b.CELLS_SQL},
-r AS (SELECT sheet_id, min(row) AS r0, min(col) AS c0, max(row) AS r1, max(col) AS c1 FROM cells WHERE contains(value, '5') GROUP BY 1)
-SELECT *, (r1 - r0 + 1) * (c1 - c0 + 1) AS n_cells, chr(65 + c0) || (r0 + 1) ||
+r AS (SELECT sheet_id, CAST(min(row + sheet_id % 3) AS INTEGER) AS r0, min(col) AS c0, CAST(max(row + sheet_id % 3) AS INTEGER) AS r1, max(col) AS c1 FROM cells GROUP BY 1)
+SELECT *, CAST((r1 - r0 + 1) * (c1 - c0 + 1) AS BIGINT) AS n_cells, chr(65 + c0) || (r0 + 1) AS start, chr(65 + c0) || (r0 + 1) ||
   CASE WHEN r0 = r1 AND c0 = c1 THEN '' ELSE ':' || chr(65 + c1) || (r1 + 1) END AS label FROM r""",
     "g3_profile_table": f"""
 WITH {b.LINES_SQL},

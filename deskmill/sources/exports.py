@@ -127,11 +127,12 @@ def entity_schema(entity: str) -> T.StructType:
 
 
 def read_export(
-    spark: SparkSession, directory: str, entity: str, file_format: str = "json", keep_corrupt: bool = False
+    spark: SparkSession, directory: str, entity: str, file_format: str = "json", keep_corrupt: bool = True
 ) -> DataFrame:
     """An exported entity, ``<directory>/<entity>``, with its declared schema and defaults.
 
-    JSON records that cannot be read are left out, or kept with their text in ``_corrupt_record``.
+    JSON records that cannot be read are kept as rows with their text in ``_corrupt_record``, null for all others; without
+    ``keep_corrupt`` there is no such column and they are left out.
     """
     configure(spark)
     schema = entity_schema(entity)

@@ -23,7 +23,7 @@ def test_all_entities_round_trip(spark, tmp_path):
         for file_format in ("json", "parquet"):
             empty = spark.createDataFrame([], entity_schema(entity))
             where = write_export(empty, str(tmp_path / file_format), entity, file_format)
-            back = read_export(spark, where, entity, file_format)
+            back = read_export(spark, where, entity, file_format, keep_corrupt=False)
             assert back.count() == 0 and back.columns == entity_schema(entity).fieldNames()
     with pytest.raises(ValueError):
         read_export(spark, str(tmp_path), "nonsense")
@@ -38,12 +38,13 @@ def test_defaults_and_bad_records(spark, tmp_path):
         "{not json",
     ]
     (folder / "part.json").write_text("\n".join(lines))
-    assert read_export(spark, str(tmp_path), "event").count() == 2
-    events = {r.event_id: r for r in read_export(spark, str(tmp_path), "event").collect()}
+    assert read_export(spark, str(tmp_path), "event").count() == 3
+    assert read_export(spark, str(tmp_path), "event", keep_corrupt=False).count() == 2
+    events = {r.event_id: r for r in read_export(spark, str(tmp_path), "event", keep_corrupt=False).collect()}
     assert sorted(events) == ["1", "2"]
     assert events["1"].summary == "No Title" and events["2"].summary == "Lunch"
     assert events["1"].attendees[0].email == "a@x" and events["1"].location == "No Location"
-    kept = read_export(spark, str(tmp_path), "event", keep_corrupt=True).collect()
+    kept = read_export(spark, str(tmp_path), "event").collect()
     assert [r["_corrupt_record"] for r in kept if r["_corrupt_record"]] == ["{not json"]
 
 

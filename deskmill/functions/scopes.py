@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The grants and what they include, without the prefix that all of them share.
 PREFIX = "https://www.googleapis.com/auth/"
 
 # Broad grant to the grants it covers, all below PREFIX.

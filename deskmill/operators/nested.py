@@ -246,6 +246,7 @@ def rich_link_counts(messages: DataFrame) -> DataFrame:
 
 def message_attachments(messages: DataFrame) -> DataFrame:
     """Attachments of chat messages with their index, name and type."""
+    # The name and the type of an attachment that has none.
     return messages.select("name", F.posexplode("attachment").alias("index", "a")).select(
         "name",
         "index",
@@ -450,6 +451,7 @@ def slide_elements(slides: DataFrame) -> DataFrame:
 
 # ---- forms, search hits, files ----------------------------------------------------------------
 
+# Fixed value: the text of a question that was not answered.
 NO_ANSWER = "No answer provided"
 
 

@@ -88,6 +88,7 @@ def _site_filter(spark, d):
 
 def _condition_rules(spark, d):
     """One rule per order, on the cells of that order."""
+    # The kinds of conditions.
     kinds = [
         "NUMBER_GREATER", "NUMBER_GREATER_THAN_EQ", "NUMBER_LESS", "NUMBER_LESS_THAN_EQ", "NUMBER_EQ",
         "NUMBER_NOT_EQ", "TEXT_CONTAINS", "TEXT_NOT_CONTAINS", "TEXT_STARTS_WITH", "TEXT_ENDS_WITH",

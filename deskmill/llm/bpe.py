@@ -22,7 +22,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,15 +30,22 @@ LEAF = 8192
 FIRST_WINDOW = 64
 SLICE = 256
 _LETTER, _DIGIT, _SPACE, _SIGN = "LNZS"
+_CLASSES = {_LETTER: r"\p{L}", _DIGIT: r"\p{N}", _SPACE: r"\s"}
+
+
+@lru_cache(maxsize=1)
+def _classes() -> dict[str, tiktoken.Encoding]:
+    """An encoding per class of characters, which gives tokens for no others.
+
+    The encoder's own engine is asked, as others know the classes of another version of Unicode.
+    """
+    ranks = {bytes([i]): i for i in range(256)}
+    return {kind: tiktoken.Encoding(kind, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}) for kind, pattern in _CLASSES.items()}
 
 
 @lru_cache(maxsize=65536)
 def _kind(char: str) -> str:
-    if regex.match(r"\p{L}", char):
-        return _LETTER
-    if regex.match(r"\p{N}", char):
-        return _DIGIT
-    return _SPACE if regex.match(r"\s", char) else _SIGN
+    return next((kind for kind, encoding in _classes().items() if encoding.encode_ordinary(char)), _SIGN)
 
 
 class Codec:

@@ -172,7 +172,8 @@ def train(docs: DataFrame, pieces: list[str], text: str = "text", lang: str = "l
     share = F.create_map(*[F.lit(x) for name, n in sizes.items() for x in (name, min(1.0, sample / n))])
     drawn = known.filter(F.pmod("draw", F.lit(1 << 31)) < share[F.col("lang")] * float(1 << 31))
     words = drawn.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(LETTERS), F.lit(0))).alias("word"))
-    counted = durable_cut(words.groupBy("lang", F.substring("word", 1, WORD_CHARS).alias("word")).agg(F.count("*").alias("n")).filter("word <> ''"))
+    parts = words.select("lang", F.explode(F.regexp_extract_all("word", F.lit(f"(?s).{{1,{WORD_CHARS}}}"), F.lit(0))).alias("word"))
+    counted = durable_cut(parts.groupBy("lang", "word").agg(F.count("*").alias("n")))
     languages, fixed = sorted(sizes), tuple(pieces)
     shares = np.full((len(pieces), len(languages)), 1.0 / max(1, len(pieces)))
     place = {name: i for i, name in enumerate(languages)}

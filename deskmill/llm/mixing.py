@@ -45,8 +45,8 @@ def targets(sizes: DataFrame, weights: Sequence[int] = (1, 2, 3), most: float =
     return levelled.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, key: str, size: Column, source: str, weights: Sequence[int] = (1, 2, 3), most: int = 3) -> DataFrame:
-    """How often the mix takes each document: all columns of ``docs`` plus ``mix_*``.
+def mix(docs: DataFrame, key: str, size: Column, source: str, weights: Sequence[int] = (1, 2, 3), most: int = 3, prefix: str = "mix") -> DataFrame:
+    """How often the mix takes each document: all columns of ``docs`` plus ``mix_*`` (no column of ``docs`` may begin with ``prefix``).
 
     ``mix_size``, ``mix_source_size``, ``mix_target`` (of the source) and ``mix_times``. Every document is taken
     ``floor(target / source size)`` times, and once more if its hash is below the source's threshold. The thresholds
@@ -78,10 +78,13 @@ def mix(docs: DataFrame, key: str, size: Column, source: str, weights: Sequence[
         first = over.groupBy("b.source").agg(F.min(F.struct("bucket", (F.col("up_to") - F.col("size")).alias("below"))).alias("hit"))
         refined = state.alias("s").join(first.alias("f"), _same("s", "f"), "left")
         # Without a bucket over the rest all of the prefix goes in: "g" is above every hex digit.
-        prefix = F.when(F.col("hit").isNull(), F.concat("prefix", F.lit("g"))).otherwise(F.col("hit.bucket"))
+        refined_prefix = F.when(F.col("hit").isNull(), F.concat("prefix", F.lit("g"))).otherwise(F.col("hit.bucket"))
         rest = F.when(F.col("hit").isNull(), 0.0).otherwise(F.col("rest") - F.col("hit.below"))
-        state = durable_cut(refined.select("s.source", "source_size", "target", "times", rest.alias("rest"), prefix.alias("prefix")))
-    plan = state.select(F.col("source").alias("mix_source"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), F.col("times").alias("mix_times"), F.col("prefix").alias("mix_threshold"))
-    taken = docs.withColumn("mix_size", size).join(plan, F.col(source).eqNullSafe(F.col("mix_source")), "left")
-    more = (_hash(F.col(key)) < F.col("mix_threshold")).cast("long")
-    return taken.withColumn("mix_times", F.least(F.col("mix_times") + more, F.lit(most)).cast("long")).drop("mix_source", "mix_threshold")
+        state = durable_cut(refined.select("s.source", "source_size", "target", "times", rest.alias("rest"), refined_prefix.alias("prefix")))
+    own = {c: f"{prefix}_{c}" for c in ("size", "source", "source_size", "target", "times", "threshold")}
+    named = state.withColumnRenamed("prefix", "threshold")
+    plan = named.select(*[F.col(c).alias(own[c]) for c in ("source", "source_size", "target", "times", "threshold")])
+    taken = docs.withColumn(own["size"], size).join(plan, F.col(source).eqNullSafe(F.col(own["source"])), "left")
+    more = (_hash(F.col(key)) < F.col(own["threshold"])).cast("long")
+    times = F.least(F.col(own["times"]) + more, F.lit(most)).cast("long")
+    return taken.withColumn(own["times"], times).drop(own["source"], own["threshold"])

@@ -70,7 +70,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(ready(spark), sf_dir, "documents"), "doc_id", word_count(F.col("text")), "source")
+    mixed = mixing.mix(table(ready(spark), sf_dir, "documents").select("doc_id", "text", "source"), "doc_id", word_count(F.col("text")), "source")
     taken = (F.col("mix_size") * F.col("mix_times")).alias("taken")
     return mixed.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), taken)
 

@@ -55,6 +55,14 @@ def test_the_mix_repeats_rows(spark, docs):
     assert found == taken and mixed.columns == docs.columns
 
 
+def test_clashing_columns_stay(spark, docs):
+    odd = docs.selectExpr("*", "1L AS mix_times", "source AS mix_source", "'x' AS found_lang", "0 AS mix", "2 AS new_text_0")
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        found = stage(spark, odd, SMALL)
+        assert found.columns == odd.columns and found.count() > 0, name
+        assert found.filter("mix_times <> 1 OR found_lang <> 'x' OR new_text_0 <> 2").count() == 0, name
+
+
 def test_all_stages(spark):
     rows = corpus_pipeline.run(spark, SMALL)
     assert rows.columns == ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]

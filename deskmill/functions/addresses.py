@@ -57,3 +57,40 @@ def range_label(row0: Column, col0: Column, row1: Column, col1: Column) -> Colum
     """``B3:D9`` with inclusive corners; a single cell has one label."""
     first, last = cell_label(row0, col0), cell_label(row1, col1)
     return F.when(first == last, first).otherwise(F.concat(first, F.lit(":"), last))
+
+
+# One corner of a range: letters, digits or both, each perhaps behind a dollar sign.
+_CORNER = r"^\$?([A-Za-z]*)\$?([0-9]*)$"
+
+
+def range_bounds(text: Column) -> Column:
+    """``'My sheet'!B3:D9`` as ``sheet, r0, r1, c0, c1, valid``: zero-based, half-open, null where open.
+
+    Without a title ``sheet`` is null. A text that is no range has null bounds and is not ``valid``.
+    """
+
+    def split(t: Column) -> Column:
+        inner = F.replace(F.regexp_extract(t, "^'(.*?)'!", 1), F.lit("''"), F.lit("'"))
+        plain = F.btrim(F.btrim(F.regexp_extract(t, "^([^!]*)!", 1)), F.lit("'"))
+        sheet = F.when(t.rlike("^'.*?'!"), inner).when(F.contains(t, F.lit("!")), plain)
+        area = F.regexp_replace(t, "^(?:'.*?'!|[^!]*!)", "")
+        corners = F.when(F.contains(area, F.lit(":")), F.split(area, ":", 2)).otherwise(F.array(area, area))
+        return F.struct(sheet.alias("sheet"), corners.alias("corners"))
+
+    def bounds(parts: Column) -> Column:
+        first, last = parts["corners"][0], parts["corners"][1]
+        valid = F.coalesce(F.forall(parts["corners"], lambda c: (c != "") & c.rlike(_CORNER)), F.lit(False))
+
+        def row(corner: Column) -> Column:
+            return F.regexp_extract(corner, _CORNER, 2).try_cast("bigint")
+
+        def col(corner: Column) -> Column:
+            return column_index(F.regexp_extract(corner, _CORNER, 1))
+
+        found = {"r0": row(first) - 1, "r1": row(last), "c0": col(first), "c1": col(last) + 1}
+        return F.struct(
+            parts["sheet"].alias("sheet"), *[F.when(valid, b).alias(n) for n, b in found.items()], valid.alias("valid")
+        )
+
+    # Inside a list of one, the text and its parts are computed once, however often they are used.
+    return F.transform(F.transform(F.array(text), split), bounds)[0]

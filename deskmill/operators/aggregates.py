@@ -5,13 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskmill.functions.addresses import cell_label, range_label
 from deskmill.functions.colors import channel, hex_color
 from deskmill.operators.intervals import cells_in_ranges
 from deskmill.operators.percentiles import percentile_points
+from deskmill.session import durable_cut
 
 
 def _zero() -> Column:
@@ -177,23 +178,24 @@ def facet_counts(hits: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted.select(facet.alias("facet"), value.alias("value"), "n_hits")
 
 
-# Bucket length per grain, its offset and the calendar unit it equals; weeks start on
-# Monday, four days after the epoch's Thursday.
-GRAINS = {"DAILY": ("1 day", "0 days", "day"), "WEEKLY": ("7 days", "4 days", "week")}
+# Bucket length per grain and its offset; weeks start on Monday, four days after the
+# epoch's Thursday.
+GRAINS = {"DAILY": ("1 day", "0 days"), "WEEKLY": ("7 days", "4 days")}
 
 
 def metric_window(ts: str, grain: str) -> Column:
     """The bucket of a run, for batch and streaming use."""
     if grain not in GRAINS:
         raise ValueError(f"unknown grain {grain!r}")
-    length, offset, _ = GRAINS[grain]
+    length, offset = GRAINS[grain]
     return F.window(F.col(ts), length, startTime=offset)
 
 
 def execution_metrics(runs: DataFrame, grain: str = "DAILY") -> DataFrame:
     """Active users, executions and failures per day or week; empty buckets in between are zero.
 
-    ``runs`` has ``ts, user_id, failed``.
+    ``runs`` has ``ts, user_id, failed`` and is read once: each bucket that has runs gives the empty
+    ones up to the next, over a window of one row per bucket.
     """
     counts = (
         runs.groupBy(metric_window("ts", grain).alias("w"))
@@ -204,16 +206,15 @@ def execution_metrics(runs: DataFrame, grain: str = "DAILY") -> DataFrame:
         )
         .select("w.start", "active_users", "total_executions", "failed_executions")
     )
-    step, unit = F.expr(f"INTERVAL {GRAINS[grain][0]}"), GRAINS[grain][2]
-    span = runs.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).select(
-        *[F.date_trunc(unit, c).cast(runs.schema["ts"].dataType).alias(c) for c in ("lo", "hi")]
-    )
-    buckets = span.select(F.explode(F.sequence("lo", "hi", step)).alias("start"))
+    step = F.expr(f"INTERVAL {GRAINS[grain][0]}")
+    following = F.coalesce(F.lead("start").over(Window.orderBy("start")), F.col("start") + step)
     names = ("active_users", "total_executions", "failed_executions")
-    return buckets.join(counts, "start", "left").select(
-        F.col("start").alias("start_time"),
-        (F.col("start") + step).alias("end_time"),
-        *[F.coalesce(c, _zero()).alias(c) for c in names],
+    last = counts.withColumn("_last", following - step)
+    filled = last.withColumn("start_time", F.explode(F.sequence("start", "_last", step)))
+    return filled.select(
+        "start_time",
+        (F.col("start_time") + step).alias("end_time"),
+        *[F.when(F.col("start_time") == F.col("start"), F.col(c)).otherwise(_zero()).alias(c) for c in names],
     )
 
 
@@ -249,7 +250,8 @@ def gradient_points(cells: DataFrame, rules: DataFrame, sheet: str = "sheet_id")
     resolved over the numbers in the range: MIN, MAX, NUMBER, PERCENT (of the span) and PERCENTILE.
     """
     inside = cells_in_ranges(cells, rules, sheet).withColumn("v", F.col("value").try_cast("double"))
-    numbers = inside.filter(F.col("v").isNotNull())
+    # Spans, percentiles and colors all need the numbers in the ranges, which are looked up once.
+    numbers = durable_cut(inside.filter(F.col("v").isNotNull()).select(*cells.columns, "rule_idx", "v"))
     spans = numbers.groupBy("rule_idx").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     points = rules.select("rule_idx", F.posexplode("points").alias("k", "p")).select("rule_idx", "k", "p.*")
     share = F.col("value").try_cast("double") / 100
@@ -311,6 +313,30 @@ def comment_threads(comments: DataFrame, replies: DataFrame, include_resolved: b
     )
 
 
+def comment_replies(comments: DataFrame, replies: DataFrame) -> DataFrame:
+    """Each comment with its replies, a row per reply; a comment without any keeps one row.
+
+    ``comments`` has ``file_id, comment_id, author, content, created, resolved``; ``replies`` has
+    ``comment_id, reply_id, author, content, created``.
+    """
+    said = replies.select(
+        "comment_id",
+        "reply_id",
+        F.coalesce("author", F.lit("Unknown")).alias("reply_author"),
+        F.coalesce("content", F.lit("")).alias("reply_content"),
+        F.col("created").alias("reply_created"),
+    )
+    named = comments.select(
+        "file_id",
+        "comment_id",
+        F.coalesce("author", F.lit("Unknown")).alias("author"),
+        F.coalesce("content", F.lit("")).alias("content"),
+        "created",
+        F.coalesce("resolved", F.lit(False)).alias("resolved"),
+    )
+    return named.join(said, "comment_id", "left")
+
+
 def comment_share(comments: DataFrame) -> DataFrame:
     """Per file: comments, open ones, and their share."""
     open_ = ~F.coalesce("resolved", F.lit(False))
@@ -325,24 +351,21 @@ def form_response_counts(responses: DataFrame, questions: DataFrame) -> DataFram
     """Per response: answers given, and required questions without an answer.
 
     ``responses`` has ``form_id, response_id`` and the map ``answers``; ``questions`` has
-    ``form_id, question_id, required``.
+    ``form_id, question_id, required``. A form's required questions are one list, so each response is
+    settled in its own row.
     """
-    required = questions.filter("required").select("form_id", "question_id")
-    asked = required.groupBy("form_id").agg(F.count("*").alias("_required"))
-    met = (
-        responses.select("form_id", "response_id", F.explode("answers").alias("question_id", "given"))
-        .filter(F.size("given") > 0)
-        .join(required, ["form_id", "question_id"], "left_semi")
-        .groupBy("form_id", "response_id")
-        .agg(F.count("*").alias("_met"))
+    required = questions.filter("required").groupBy("form_id").agg(F.collect_set("question_id").alias("_required"))
+    none = F.array().cast("array<string>")
+    answered = F.coalesce(F.map_keys(F.map_filter("answers", lambda _, given: F.size(given) > 0)), none)
+    narrow = responses.select(
+        "form_id",
+        "response_id",
+        F.size(F.coalesce(F.map_keys("answers"), none)).cast("bigint").alias("n_answers"),
+        answered.alias("_answered"),
     )
-    n_answers = F.size(F.coalesce(F.map_keys("answers"), F.array().cast("array<string>")))
-    missing = F.coalesce("_required", _zero()) - F.coalesce("_met", _zero())
-    return (
-        responses.select("form_id", "response_id", n_answers.cast("bigint").alias("n_answers"))
-        .join(asked, "form_id", "left")
-        .join(met, ["form_id", "response_id"], "left")
-        .select("form_id", "response_id", "n_answers", missing.alias("n_required_missing"))
+    missing = F.size(F.array_except(F.coalesce("_required", none), "_answered")).cast("bigint")
+    return narrow.join(required, "form_id", "left").select(
+        "form_id", "response_id", "n_answers", missing.alias("n_required_missing")
     )
 
 

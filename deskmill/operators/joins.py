@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from deskmill.functions.scopes import HIERARCHY, expanded
 from deskmill.functions.sharing import is_public
 from deskmill.operators.intervals import overlap_pairs
+from deskmill.operators.nested import hit_details
+from deskmill.operators.paging import top_per_group
 from deskmill.operators.running import Running, by_position, running
 
 # The kinds of a shortcut and of a folder, and the longest chain that is followed.
@@ -45,6 +47,16 @@ def resolve_senders(messages: DataFrame, people: DataFrame) -> DataFrame:
     return joined.select(*messages.columns, sender.alias("sender"))
 
 
+def search_hits(
+    messages: DataFrame, spaces: DataFrame, people: DataFrame, phrase: str, groups: int = 10, k: int = 5
+) -> DataFrame:
+    """The hits of ``top_per_group`` with ``sender``, and the lists ``links`` and ``attachments`` of each message.
+
+    Links are held against the whole text, before it is shortened; senders are looked up for the hits only.
+    """
+    return resolve_senders(top_per_group(hit_details(messages), spaces, phrase, groups, k), people)
+
+
 def resolve_shortcuts(files: DataFrame, max_hops: int = MAX_HOPS, folders_only: bool = False) -> DataFrame:
     """``id, resolved_id, hops, error`` for every file, following ``target_id`` of shortcuts.
 

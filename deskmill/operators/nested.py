@@ -182,7 +182,7 @@ def attendee_responses(events: DataFrame) -> DataFrame:
 
 
 def flatten_contacts(people: DataFrame) -> DataFrame:
-    """One flat row per contact: first name, organization and address; joined e-mails, phones, links."""
+    """One flat row per contact: first name, organization and address; joined e-mails, phones, links, sources."""
 
     def first(column: str, field: str) -> Column:
         return F.nullif(F.try_element_at(F.col(column), F.lit(1))[field], F.lit(""))
@@ -201,6 +201,8 @@ def flatten_contacts(people: DataFrame) -> DataFrame:
     birthday = F.when(
         born.isNotNull(), F.concat_ws("/", F.when(born["year"] > 0, born["year"].cast("string")), day)
     )
+    kinds = F.transform("metadata.sources", lambda s: F.coalesce(s["type"], F.lit("")))
+    sources = F.nullif(F.array_join(kinds, ", "), F.lit("")) if "metadata" in people.columns else F.lit(None).cast("string")
     return people.select(
         F.coalesce(without_prefix(F.col("resourceName"), "people/"), F.lit("Unknown")).alias("contact_id"),
         first("names", "displayName").alias("name"),
@@ -211,6 +213,7 @@ def flatten_contacts(people: DataFrame) -> DataFrame:
         birthday.alias("birthday"),
         joined("urls").alias("urls"),
         shortened(first("biographies", "value"), 200).alias("notes"),
+        sources.alias("sources"),
     )
 
 
@@ -239,6 +242,16 @@ def rich_links(messages: DataFrame) -> DataFrame:
     )
 
 
+def hit_details(messages: DataFrame) -> DataFrame:
+    """``messages`` with the lists ``links`` (those the text does not show) and ``attachments`` (their names)."""
+    uris = F.transform(F.filter("annotations", lambda a: a["type"] == "RICH_LINK"), lambda a: a["richLinkMetadata"]["uri"])
+    hidden = F.filter(uris, lambda u: _given(u) & ~F.contains(F.coalesce("text", F.lit("")), u))
+    # Fixed value: the name of an attachment that has none.
+    names = F.transform("attachment", lambda a: F.coalesce(a["contentName"], F.lit("unnamed")))
+    none = F.array().cast("array<string>")
+    return messages.withColumns({"links": F.coalesce(hidden, none), "attachments": F.coalesce(names, none)})
+
+
 def rich_link_counts(messages: DataFrame) -> DataFrame:
     """Hidden links per space."""
     return rich_links(messages).groupBy("space").agg(F.count("*").alias("n_links"))
@@ -413,6 +426,20 @@ def document_cells(docs: DataFrame, doc: str = "doc_id") -> DataFrame:
     )
 
 
+def table_inventory(docs: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """``doc, table_idx, start_index, end_index, n_rows, n_cols`` of all tables; columns are those of the first row."""
+    tables = F.filter("content", lambda e: e["table"].isNotNull())
+    rows = F.col("t")["table"]["tableRows"]
+    return docs.select(doc, F.posexplode(tables).alias("table_idx", "t")).select(
+        doc,
+        "table_idx",
+        F.coalesce(F.col("t")["startIndex"], F.lit(0)).cast("bigint").alias("start_index"),
+        F.coalesce(F.col("t")["endIndex"], F.lit(0)).cast("bigint").alias("end_index"),
+        F.coalesce(F.size(rows), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.size(F.try_element_at(rows, F.lit(1))["tableCells"]), F.lit(0)).alias("n_cols"),
+    )
+
+
 def slide_text(slides: DataFrame) -> DataFrame:
     """Per slide its text: runs of a shape by start index, shapes by line, blank lines dropped."""
 

@@ -1,9 +1,8 @@
 """Exact percentiles of groups of any size.
 
 The built-in exact aggregate keeps all distinct values of a group in one buffer. Here equal
-values are counted first and the counts written once, then added up along the values, and only
-the two values around each wanted rank are kept. Large groups are added up in chunks between
-approximate quantiles, which holds however the values are distributed.
+values are counted first and the counts written once, in ranges of about equal size, then added
+up along the values range by range, and only the two values around each wanted rank are kept.
 """
 
 from __future__ import annotations
@@ -13,12 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskmill.operators.running import CHUNK, Running, running
-from deskmill.session import durable_cut
-
-# Groups with more distinct values than this are cut into chunks of about equal size.
-LARGE_GROUP = 100_000
-CUTS = [i / 256 for i in range(1, 256)]
+from deskmill.operators.running import CHUNK, Running, ranged, running
 
 
 def percentile_points(df: DataFrame, keys: Sequence[str], value: str, wanted: DataFrame) -> DataFrame:
@@ -28,28 +22,15 @@ def percentile_points(df: DataFrame, keys: Sequence[str], value: str, wanted: Da
     left out.
     """
     asked = wanted.select(*keys).distinct()
-    counts = durable_cut(
+    counted = (
         df.filter(F.col(value).isNotNull())
         .join(asked, list(keys), "left_semi")
         .groupBy(*keys, value)
         .agg(F.count("*").alias("_n"))
     )
-    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"), F.count("*").alias("_distinct"))
-    large = sizes.filter(F.col("_distinct") > LARGE_GROUP).select(*keys)
-    steps = (
-        counts.join(large, list(keys), "left_semi")
-        .groupBy(*keys)
-        .agg(F.percentile_approx(value, CUTS, 10_000).alias("_steps"))
-    )
-    chunk = F.when(F.col("_steps").isNull(), F.lit(0)).otherwise(
-        F.size(F.filter("_steps", lambda step: step < F.col(value)))
-    )
-    spread = (
-        counts.join(sizes.drop("_distinct"), list(keys))
-        .join(steps, list(keys), "left")
-        .withColumn(CHUNK, chunk)
-        .drop("_steps")
-    )
+    counts = ranged(counted, keys, [value])
+    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    spread = counts.join(sizes, list(keys))
     ranked = running(spread, keys, [value], F.col(CHUNK), {"_upto": Running("sum", F.col("_n"))})
     rank = F.col("fraction") * (F.col("_total") - 1)
     low, high = F.floor(rank), F.ceil(rank)

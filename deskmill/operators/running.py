@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from deskmill.session import durable_cut
+
 CHUNK = "_chunk"
 CHUNK_ROWS = 8192
 
@@ -48,6 +50,15 @@ def by_time(column: str, unit: str = "day") -> Column:
     return F.date_trunc(unit, F.col(column))
 
 
+def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` written in ranges of about equal size along ``keys`` and ``order``, numbered in ``CHUNK``.
+
+    The borders come from a sample of the rows, so a group that is dense at one place is cut there
+    more finely. Written, so that every pass sees the same borders.
+    """
+    return durable_cut(df.repartitionByRange(*keys, *order).withColumn(CHUNK, F.spark_partition_id()))
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],

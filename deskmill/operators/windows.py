@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskmill.functions.markdown import heading_prefix, paragraph_markdown, table_markdown
 from deskmill.functions.text import stripped
-from deskmill.operators.running import CHUNK, Running, by_position, by_time, running
+from deskmill.operators.running import CHUNK, Running, by_position, by_time, ranged, running
 from deskmill.session import durable_cut
 
 
@@ -42,6 +42,23 @@ def assemble_threads(messages: DataFrame, thread: str = "thread_id", pos: str =
     return numbered.withColumn("subject", F.nullif("subject", "thread_subject"))
 
 
+def _flagged(elements: DataFrame) -> DataFrame:
+    """Paragraphs and tables with the flags that numbering and rendering go by."""
+    blank = (F.col("type") == "paragraph") & (stripped(F.coalesce("text", F.lit(""))) == "")
+    listed = (F.col("type") == "paragraph") & ~blank & F.col("list_id").isNotNull()
+    return elements.filter(F.col("type").isin("paragraph", "table")).withColumns(
+        {"is_blank": blank, "is_item": listed, "nesting": F.coalesce("nesting", F.lit(0))}
+    )
+
+
+def _is_break() -> Column:
+    return ~F.col("is_blank") & ~F.col("is_item")
+
+
+def _counts() -> Column:
+    return F.col("is_item") & F.coalesce("ordered", F.lit(False))
+
+
 def list_numbering(elements: DataFrame, doc: str = "doc_id", pos: str = "pos") -> DataFrame:
     """Paragraphs and tables with the number of every ordered list item.
 
@@ -52,19 +69,15 @@ def list_numbering(elements: DataFrame, doc: str = "doc_id", pos: str = "pos") -
     The three ordered passes run over a narrow table of flags that is written once; the elements
     themselves are joined with the outcome at the end.
     """
-    blank = (F.col("type") == "paragraph") & (stripped(F.coalesce("text", F.lit(""))) == "")
-    listed = (F.col("type") == "paragraph") & ~blank & F.col("list_id").isNotNull()
-    flagged = elements.filter(F.col("type").isin("paragraph", "table")).withColumns(
-        {"is_blank": blank, "is_item": listed, "nesting": F.coalesce("nesting", F.lit(0))}
-    )
+    flagged = _flagged(elements)
     narrow = durable_cut(
         flagged.select(
             doc,
             pos,
             by_position(pos).alias(CHUNK),
             "is_item",
-            (~F.col("is_blank") & ~F.col("is_item")).alias("is_break"),
-            (F.col("is_item") & F.coalesce("ordered", F.lit(False))).alias("counts"),
+            _is_break().alias("is_break"),
+            _counts().alias("counts"),
             F.coalesce("list_id", F.lit("")).alias("list_key"),
             "nesting",
         )
@@ -88,39 +101,59 @@ def list_numbering(elements: DataFrame, doc: str = "doc_id", pos: str = "pos") -
     return flagged.join(found, [doc, pos], "left").withColumn("resets", F.coalesce("resets", F.lit(False)))
 
 
+def _numbered_together(flagged: DataFrame, doc: str, pos: str) -> DataFrame:
+    """The numbering of ``list_numbering`` with each document in one task, after one shuffle."""
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    order = Window.partitionBy(doc).orderBy(pos)
+    resets = _is_break() & F.coalesce(F.lag("is_item").over(order), F.lit(False))
+    section = F.sum(F.col("resets").cast("bigint")).over(order.rowsBetween(*so_far))
+    same_list = Window.partitionBy(doc, "_section", F.coalesce("list_id", F.lit("")), "nesting")
+    number = F.sum(_counts().cast("bigint")).over(same_list.orderBy(pos).rowsBetween(*so_far))
+    sections = flagged.withColumn("resets", resets).withColumn("_section", section)
+    return sections.withColumn("item_no", F.when(_counts(), number)).drop("_section")
+
+
+def _body() -> Column:
+    """A table, or the text of a paragraph behind the mark of its style."""
+    heading = F.when(F.col("is_item"), "").otherwise(heading_prefix(F.coalesce("style", F.lit("NORMAL_TEXT"))))
+    return F.when(F.col("type") == "table", table_markdown(F.col("table_rows"))).otherwise(F.concat(heading, F.col("text")))
+
+
+def _block() -> Column:
+    """``body`` with its bullet or number, or the line breaks around it."""
+    indent = F.repeat(F.when(F.col("item_no").isNotNull(), F.lit("   ")).otherwise(F.lit("  ")), F.col("nesting"))
+    bullet = F.coalesce(F.concat(F.col("item_no").cast("string"), F.lit(". ")), F.lit("- "))
+    gap = F.when(F.col("resets"), F.lit("\n")).otherwise("")
+    return F.when(F.col("is_item"), F.concat(indent, bullet, F.col("body"))).otherwise(
+        F.concat(gap, F.col("body"), F.lit("\n"))
+    )
+
+
 def markdown_blocks(elements: DataFrame, doc: str = "doc_id", pos: str = "pos") -> DataFrame:
-    """One Markdown block per element that shows: ``(doc, pos, block)``.
+    """One Markdown block per element that shows: ``(doc, pos, block)``, for documents of any size.
 
     Besides the columns of ``list_numbering`` an element has ``runs`` (text runs of a paragraph),
     ``style`` and ``table_rows`` (rows of cells of paragraphs of runs).
     """
-    rendered = elements.withColumn("text", paragraph_markdown(F.col("runs")))
-    numbered = list_numbering(rendered, doc, pos)
-    gap = F.when(F.col("resets"), F.lit("\n")).otherwise("")
-    indent = F.when(F.col("item_no").isNotNull(), F.repeat(F.lit("   "), F.col("nesting"))).otherwise(
-        F.repeat(F.lit("  "), F.col("nesting"))
-    )
-    bullet = F.coalesce(F.concat(F.col("item_no").cast("string"), F.lit(". ")), F.lit("- "))
-    block = (
-        F.when(F.col("type") == "table", F.concat(gap, table_markdown(F.col("table_rows")), F.lit("\n")))
-        .when(F.col("is_item"), F.concat(indent, bullet, F.col("text")))
-        .otherwise(
-            F.concat(
-                gap,
-                heading_prefix(F.coalesce("style", F.lit("NORMAL_TEXT"))),
-                F.col("text"),
-                F.lit("\n"),
-            )
-        )
-    )
-    return numbered.filter(~F.col("is_blank")).select(doc, pos, block.alias("block"))
+    numbered = list_numbering(elements.withColumn("text", paragraph_markdown(F.col("runs"))), doc, pos)
+    shown = numbered.filter(~F.col("is_blank")).withColumn("body", _body())
+    return shown.select(doc, pos, _block().alias("block"))
 
 
 def render_markdown(elements: DataFrame, doc: str = "doc_id", pos: str = "pos") -> DataFrame:
-    """One Markdown text per document. The blocks of one document become one value, as asked."""
+    """One Markdown text per document, from the columns of ``markdown_blocks``.
+
+    As the blocks of a document become one value, they meet in one task anyway: paragraphs and tables
+    are rendered where they lie and shuffled once, for numbering and joining alike.
+    """
+    flagged = _flagged(elements.withColumn("text", paragraph_markdown(F.col("runs"))))
+    rendered = flagged.select(
+        doc, pos, "is_blank", "is_item", "list_id", "nesting", "ordered", _body().alias("body")
+    )
+    shown = _numbered_together(rendered, doc, pos).filter(~F.col("is_blank"))
     whole = F.expr(f"listagg(block, '\\n') WITHIN GROUP (ORDER BY {pos})")
     return (
-        markdown_blocks(elements, doc, pos)
+        shown.select(doc, pos, _block().alias("block"))
         .groupBy(doc)
         .agg(whole.alias("body"))
         .select(doc, F.concat(F.rtrim("body", F.lit("\n")), F.lit("\n")).alias("markdown"))
@@ -139,17 +172,19 @@ def free_busy(
 
     Calendars of ``calendars`` without a busy interval get one row with null bounds (free).
     """
-    clipped = events.select(
+    inside = events.select(
         calendar,
         event,
         F.greatest(F.col("start_ts"), tmin).alias("start_ts"),
         F.least(F.col("end_ts"), tmax).alias("end_ts"),
     ).filter(F.col("start_ts") < F.col("end_ts"))
+    # All events that run at tmin start there, so chunks go by the number of events, not by the day.
+    clipped = ranged(inside, [calendar], ["start_ts", event])
     merged = running(
         clipped,
         [calendar],
         ["start_ts", event],
-        by_time("start_ts"),
+        F.col(CHUNK),
         {
             "reach": Running("max", F.col("end_ts"), before=True),
             "earlier": Running("sum", _one(), before=True),
@@ -159,14 +194,14 @@ def free_busy(
     # belongs to it, so its end and its count are read off there.
     opening = durable_cut(
         merged.filter(F.col("reach").isNull() | (F.col("start_ts") > F.col("reach"))).select(
-            calendar, "start_ts", "reach", F.coalesce("earlier", F.lit(0)).alias("earlier")
+            calendar, CHUNK, "start_ts", "reach", F.coalesce("earlier", F.lit(0)).alias("earlier")
         )
     )
     ends = running(
         opening,
         [calendar],
         ["start_ts"],
-        by_time("start_ts"),
+        F.col(CHUNK),
         {"next_reach": Running("lead", F.col("reach")), "next_earlier": Running("lead", F.col("earlier"))},
     )
     totals = clipped.groupBy(calendar).agg(F.max("end_ts").alias("last"), F.count("*").alias("all"))

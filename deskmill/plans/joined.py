@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from deskmill.functions.addresses import column_letters, range_bounds
 from deskmill.functions.scopes import PREFIX
 from deskmill.operators import intervals, joins
 from deskmill.plans import bindings as b
+from deskmill.plans.shapes import chat_messages
 from deskmill.sources.tables import read_table
 
 
@@ -33,6 +35,44 @@ def _senders(spark, d):
     return joins.resolve_senders(messages, _people(spark, d))
 
 
+def _search_hits(spark, d):
+    turn = F.split_part("name", F.lit("/"), F.lit(2)).cast("bigint")
+    messages = chat_messages(spark, d).select(
+        F.split_part("name", F.lit("/"), F.lit(1)).cast("bigint").alias("space"), turn.alias("message_id"), turn.alias("create_time"),
+        "text", "annotations", "attachment",
+    )
+    named = messages.withColumns(
+        {
+            "sender_id": F.concat(F.lit("users/"), _text("space")),
+            "sender_name": F.when(F.col("message_id") % 2 == 0, F.concat(F.lit("Own "), _text("space"))),
+        }
+    )
+    spaces = messages.select("space", F.concat(F.lit("Space "), _text("space")).alias("space_name")).distinct()
+    return joins.search_hits(named, spaces, _people(spark, d), "LE").select(
+        "space", "space_name", "message_id", "place", "text", "sender",
+        F.array_join("links", " ").alias("links"), F.array_join("attachments", ", ").alias("attachments"),
+    )
+
+
+def _range_bounds(spark, d):
+    """Order keys as texts of ranges: one cell, a rectangle, whole columns, whole rows, and none."""
+    k = F.col("o_orderkey")
+    row, col, kind = k % 1000, k % 800, k % 5
+    label = lambda c, r="": F.concat(column_letters(col + c), (row + r + 1).cast("string") if r != "" else F.lit(""))
+    area = (
+        F.when(kind == 0, label(0, 0))
+        .when(kind == 1, F.concat(label(0, 0), F.lit(":"), label(3, 10)))
+        .when(kind == 2, F.concat(F.lit("$"), label(0), F.lit(":$"), label(2)))
+        .when(kind == 3, F.concat((row + 1).cast("string"), F.lit(":"), (row + 5).cast("string")))
+        .otherwise("A1 B2")
+    )
+    title = F.when(k % 3 == 1, F.concat(F.lit("S_"), k.cast("string"), F.lit("!"))).when(
+        k % 3 == 2, F.concat(F.lit("'It''s "), k.cast("string"), F.lit("'!"))
+    ).otherwise("")
+    ranges = read_table(spark, d, "orders").select(k.alias("range_id"), range_bounds(F.concat(title, area)).alias("b"))
+    return ranges.select("range_id", "b.*")
+
+
 def _shortcuts(spark, d):
     k = F.col("p_partkey")
     files = read_table(spark, d, "part").select(
@@ -326,6 +366,8 @@ QUERIES = {
     "j8_cells_in_ranges": _cell_ranges,
     "j9_element_at_index": _element_at,
     "j10_next_paragraph": _next_paragraph,
+    "l3_search_hits": _search_hits,
+    "j8_range_bounds": _range_bounds,
     "j11_anchor_comments": _anchors,
     "j11_annotate_documents": _annotated,
     "j12_apply_filter_rules": _rules,
@@ -463,6 +505,23 @@ FROM points p LEFT JOIN elements e ON e.doc_id = p.doc_id AND start_index <= p.i
 WITH {b.ELEMENTS_SQL}, {POINTS_SQL}
 SELECT p.doc_id, point_id, p.index, CAST(coalesce(min(start_index) FILTER (WHERE type = 'paragraph' AND start_index > p.index),
   max(end_index) - 1) AS BIGINT) AS next_index FROM points p JOIN elements e USING (doc_id) GROUP BY 1, 2, 3""",
+    "l3_search_hits": """
+WITH s AS (SELECT DISTINCT conv_id FROM conversations ORDER BY conv_id LIMIT 10),
+m AS (SELECT conv_id AS space, turn, CASE WHEN turn % 2 = 0 THEN text || ' http://x.example/' || conv_id ELSE text END AS text
+  FROM conversations JOIN s USING (conv_id)),
+h AS (SELECT *, row_number() OVER (PARTITION BY space ORDER BY turn DESC) AS place FROM m WHERE lower(text) LIKE '%le%')
+SELECT space, 'Space ' || space AS space_name, CAST(turn AS BIGINT) AS message_id, CAST(place AS INTEGER) AS place,
+  CASE WHEN length(text) > 100 THEN left(text, 100) || '...' ELSE text END AS text,
+  CASE WHEN turn % 2 = 0 THEN 'Own ' || space WHEN c_custkey % 3 <> 0 THEN c_name WHEN c_custkey % 6 <> 0 THEN c_custkey || '@example.com'
+    ELSE 'users/' || space END AS sender,
+  concat_ws(' ', CASE WHEN turn % 2 = 1 THEN 'http://x.example/' || space END, CASE WHEN turn % 3 = 0 THEN 'http://z.example/' END) AS links,
+  coalesce(array_to_string(list_transform(range(1, turn + 1), lambda i: CASE WHEN i % 2 = 0 THEN 'file' || i ELSE 'unnamed' END), ', '), '') AS attachments
+FROM h LEFT JOIN customer ON c_custkey = space WHERE place <= 5""",
+    "j8_range_bounds": """
+WITH o AS (SELECT o_orderkey AS k, o_orderkey % 1000 AS r, CAST(o_orderkey % 800 AS INTEGER) AS c, o_orderkey % 5 AS kind FROM orders)
+SELECT k AS range_id, CASE k % 3 WHEN 1 THEN 'S_' || k WHEN 2 THEN 'It''s ' || k END AS sheet,
+  CASE WHEN kind IN (0, 1, 3) THEN r END AS r0, CASE kind WHEN 0 THEN r + 1 WHEN 1 THEN r + 11 WHEN 3 THEN r + 5 END AS r1,
+  CASE WHEN kind < 3 THEN c END AS c0, CASE kind WHEN 0 THEN c + 1 WHEN 1 THEN c + 4 WHEN 2 THEN c + 3 END AS c1, kind <> 4 AS valid FROM o""",
     "j11_anchor_comments": f"WITH {COMMENTS_SQL} SELECT * FROM placed",
     "j11_annotate_documents": f"""
 WITH {COMMENTS_SQL},

@@ -45,6 +45,8 @@ def people(spark, d):
     key = k.cast("string")
     value = lambda v: F.struct(v.alias("value"))
     mail = F.concat(key, F.lit("@example.com"))
+    source = lambda name: F.struct(F.lit(name).alias("type"))
+    sources = F.array_compact(F.array(F.when(k % 2 == 0, source("CONTACT")), F.when(k % 5 != 0, source("PROFILE"))))
     return read_table(spark, d, "customer").select(
         F.concat(F.lit("people/c"), key).alias("resourceName"),
         F.lit("e").alias("etag"),
@@ -75,6 +77,7 @@ def people(spark, d):
         ).alias("birthdays"),
         F.array().cast("array<struct<value:string>>").alias("urls"),
         F.array(value(F.repeat(F.concat("c_name", F.lit(" ")), (k % 16).cast("int")))).alias("biographies"),
+        F.when(k % 9 != 0, F.struct(sources.alias("sources"))).alias("metadata"),
     )
 
 
@@ -457,6 +460,7 @@ QUERIES = {
     "p10_cell_hyperlinks": _hyperlinks,
     "p11_rectangularise": _rectangular,
     "p12_flatten_document": _flat_documents,
+    "p13_table_inventory": lambda s, d: nested.table_inventory(nested_documents(s, d)),
     "p13_document_cells": lambda s, d: nested.document_cells(nested_documents(s, d)),
     "w3_render_nested_documents": lambda s, d: render_markdown(nested.markdown_elements(nested_documents(s, d))),
     "p15_slide_text": lambda s, d: nested.slide_text(slides(s, d)),
@@ -501,7 +505,9 @@ contacts AS (SELECT 'c' || c_custkey AS contact_id, CASE WHEN c_custkey % 10 <>
     || CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_custkey % 28 + 1 AS VARCHAR) ELSE '?' END END AS birthday,
   CAST(NULL AS VARCHAR) AS urls,
   CASE WHEN c_custkey % 16 = 0 THEN NULL WHEN (length(c_name) + 1) * (c_custkey % 16) > 200
-    THEN left(repeat(c_name || ' ', c_custkey % 16), 200) || '...' ELSE repeat(c_name || ' ', c_custkey % 16) END AS notes FROM customer)
+    THEN left(repeat(c_name || ' ', c_custkey % 16), 200) || '...' ELSE repeat(c_name || ' ', c_custkey % 16) END AS notes,
+  CASE WHEN c_custkey % 9 <> 0 THEN nullif(concat_ws(', ', CASE WHEN c_custkey % 2 = 0 THEN 'CONTACT' END,
+    CASE WHEN c_custkey % 5 <> 0 THEN 'PROFILE' END), '') END AS sources FROM customer)
 """
 
 BODIES_SQL = f"""
@@ -618,7 +624,7 @@ FROM events e LEFT JOIN rows_ USING (event_id) GROUP BY 1""",
     "p7_contact_profile": f"WITH {CONTACTS_SQL} "
     + " UNION ALL ".join(
         f"SELECT '{c}' AS field, count({c}) AS n_filled, round(count({c}) / count(*), 6) AS filled_rate FROM contacts"
-        for c in ("name", "email", "phone", "organization", "address", "birthday", "urls", "notes")
+        for c in ("name", "email", "phone", "organization", "address", "birthday", "urls", "notes", "sources")
     ),
     "p8_rich_links": f"WITH {LINKS_SQL} SELECT * FROM links",
     "p8_rich_link_counts": f"WITH {LINKS_SQL} SELECT space, count(*) AS n_links FROM links GROUP BY 1",
@@ -659,6 +665,11 @@ t AS (SELECT doc_id, pos, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY p
 r AS (SELECT doc_id, pos, table_idx, CAST(unnest(range(len(rs))) AS INTEGER) AS row, string_split(unnest(rs), ',') AS cs FROM t)
 SELECT doc_id, table_idx, row, CAST(unnest(range(len(cs))) AS INTEGER) AS col, {_stripped_sql('unnest(cs)')} AS text,
   pos * 1000 + row * 10 + unnest(range(len(cs))) AS start_index, pos * 1000 + row * 10 + unnest(range(len(cs))) + 1 AS end_index FROM r""",
+    "p13_table_inventory": f"""
+WITH {b.LINES_SQL}
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS INTEGER) AS table_idx, pos * 1000 AS start_index,
+  pos * 1000 + 999 AS end_index, CAST(len(string_split(text, '. ')) AS INTEGER) AS n_rows,
+  CAST(len(string_split(string_split(text, '. ')[1], ',')) AS INTEGER) AS n_cols FROM raw_lines WHERE pos % 9 = 5""",
     "w3_render_nested_documents": f"""
 WITH {b.LINES_SQL},
 cells AS (SELECT doc_id, pos, i, len(string_split(s, ',')) AS n,

@@ -195,6 +195,17 @@ def _threads(spark, d):
     return comments, replies
 
 
+def _comment_replies(spark, d):
+    talk = read_table(spark, d, "conversations")
+    comments = _threads(spark, d)[0].withColumn("created", F.lit(None).cast("string"))
+    replies = talk.filter("turn > 0").select(
+        F.col("conv_id").alias("comment_id"), F.col("turn").alias("reply_id"),
+        F.when(F.col("role") != "system", F.col("role")).alias("author"),
+        F.when(F.col("turn") % 3 != 0, F.col("text")).alias("content"), F.col("turn").alias("created"),
+    )
+    return aggregates.comment_replies(comments, replies)
+
+
 def form_responses(spark, d):
     """Conversation turns as form responses; the role is the form."""
     text = F.col("text")
@@ -241,6 +252,7 @@ QUERIES = {
     "g10_execution_status": lambda s, d: aggregates.execution_status(_runs(s, d)),
     "g11_gradient_points": _gradient,
     "g12_comment_threads": lambda s, d: aggregates.comment_threads(*_threads(s, d)),
+    "g12_comment_replies": _comment_replies,
     "g12_comment_share": lambda s, d: aggregates.comment_share(_threads(s, d)[0]),
     "g13_form_response_counts": lambda s, d: aggregates.form_response_counts(form_responses(s, d), form_questions(s, d)),
     "g13_question_rates": lambda s, d: aggregates.question_rates(form_responses(s, d), form_questions(s, d)),
@@ -365,6 +377,12 @@ SELECT conv_id // 10 AS file_id, conv_id AS comment_id, CASE WHEN role <> 'syste
   '' AS anchor, false AS resolved, (SELECT count(*) FROM conversations r WHERE r.conv_id = c.conv_id AND r.turn > 0) AS n_replies,
   (SELECT max(turn) FROM conversations r WHERE r.conv_id = c.conv_id AND r.turn > 0) AS last_reply
 FROM conversations c WHERE turn = 0 AND conv_id % 4 <> 0""",
+    "g12_comment_replies": """
+SELECT c.conv_id // 10 AS file_id, c.conv_id AS comment_id, CASE WHEN c.role <> 'system' THEN c.role ELSE 'Unknown' END AS author,
+  c.text AS content, CAST(NULL AS VARCHAR) AS created, c.conv_id % 4 = 0 AS resolved, r.turn AS reply_id,
+  CASE WHEN r.turn IS NULL THEN NULL WHEN r.role <> 'system' THEN r.role ELSE 'Unknown' END AS reply_author,
+  CASE WHEN r.turn % 3 = 0 THEN '' ELSE r.text END AS reply_content, r.turn AS reply_created
+FROM conversations c LEFT JOIN conversations r ON r.conv_id = c.conv_id AND r.turn > 0 WHERE c.turn = 0""",
     "g12_comment_share": """
 SELECT conv_id // 10 AS file_id, count(*) AS n_comments, count(*) FILTER (WHERE conv_id % 4 <> 0) AS n_open,
   round(count(*) FILTER (WHERE conv_id % 4 <> 0) / count(*), 6) AS open_share FROM conversations WHERE turn = 0 GROUP BY 1""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named:
         return named
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="deskmill-"))
     return sc.getCheckpointDir()
@@ -51,7 +52,8 @@ def durable_cut(df: DataFrame) -> DataFrame:
     that is lost takes nothing with it. The shuffle files of the write are deleted with its end.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    # One folder per application, so that what is left of one can be cleared as a whole.
+    path = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/cut-{uuid.uuid4().hex}"
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:

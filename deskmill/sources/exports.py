@@ -79,7 +79,8 @@ ENTITIES = {
         "names array<struct<displayName:string,givenName:string,familyName:string>>, "
         f"emailAddresses {_VALUE}, phoneNumbers {_VALUE}, organizations array<struct<name:string,title:string>>, "
         "addresses array<struct<formattedValue:string>>, "
-        f"birthdays array<struct<date:struct<year:int,month:int,day:int>>>, urls {_VALUE}, biographies {_VALUE}"
+        f"birthdays array<struct<date:struct<year:int,month:int,day:int>>>, urls {_VALUE}, biographies {_VALUE}, "
+        "metadata struct<sources:array<struct<type:string>>>"
     ),
     "contact_group": "group_id string, name string, group_type string, member_count int, members array<string>",
     "chat_message": (

@@ -44,3 +44,16 @@ def test_top_rows_are_limited_before_the_shuffle(spark):
 def test_bodies_that_need_no_shuffle_have_none(spark):
     for name in ("p12_flatten_document", "p13_document_cells", "p15_slide_text", "p16_form_answers_wide"):
         assert "Exchange" not in plan_of(spark, name)
+
+
+def test_documents_are_rendered_with_one_shuffle(spark):
+    for name in ("w3_render_markdown", "w3_render_nested_documents"):
+        assert plan_of(spark, name).count("Exchange hashpartitioning(doc_id") == 1
+
+
+def test_runs_are_scanned_once_per_grain(spark):
+    assert plan_of(spark, "g9_execution_metrics").count("FileScan parquet") == 2
+
+
+def test_responses_are_not_exploded(spark):
+    assert "Generate explode(answers" not in plan_of(spark, "g13_form_response_counts")

@@ -32,6 +32,18 @@ def test_column_letters(spark):
 def test_labels(spark):
     lit = F.lit
     assert one(spark, addresses.cell_address(lit("Bob's sheet"), lit(2), lit(1))) == "'Bob''s sheet'!B3"
+    for text, want in (
+        ("Sheet1!A1:B2", ("Sheet1", 0, 2, 0, 2, True)),
+        ("'My Sheet'!$A$1:$B$10", ("My Sheet", 0, 10, 0, 2, True)),
+        ("'Bob''s!'!C:D", ("Bob's!", None, None, 2, 4, True)),
+        ("b2", (None, 1, 2, 1, 2, True)),
+        ("2:5", (None, 1, 5, None, None, True)),
+        ("S!", ("S", None, None, None, None, False)),
+        ("A1:", (None, None, None, None, None, False)),
+        ("A1B", (None, None, None, None, None, False)),
+        ("", (None, None, None, None, None, False)),
+    ):
+        assert tuple(one(spark, addresses.range_bounds(lit(text)))) == want, text
     assert one(spark, addresses.cell_address(lit("Data_1"), lit(0), lit(0))) == "Data_1!A1"
     assert one(spark, addresses.range_label(lit(1), lit(1), lit(1), lit(1))) == "B2"
     assert one(spark, addresses.range_label(lit(1), lit(1), lit(9), lit(3))) == "B2:D10"
@@ -171,6 +183,8 @@ def test_contacts(spark):
         assert contact(spark, organizations=[full]).organization == want
     assert contact(spark, birthdays=[{"date": {"year": 1990, "month": 5, "day": 15}}]).birthday == "1990/5/15"
     assert contact(spark, birthdays=[{"date": {"year": None, "month": 5, "day": 15}}]).birthday == "5/15"
+    sources = contact(spark, metadata={"sources": [{"type": "CONTACT"}, {"type": None}, {"type": "PROFILE"}]}).sources
+    assert sources == "CONTACT, , PROFILE" and contact(spark).sources is None
     assert contact(spark, biographies=[{"value": "n" * 300}]).notes == "n" * 200 + "..."
     mails = contact(spark, emailAddresses=[{"value": "a@x"}, {"value": ""}, {"value": "b@x"}])
     assert mails.email == "a@x, b@x" and mails.phone is None

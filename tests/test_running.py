@@ -6,9 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from deskmill.operators import percentiles
 from deskmill.operators.percentiles import percentile_points
-from deskmill.operators.running import Running, by_position, running
+from deskmill.operators.running import CHUNK, Running, by_position, ranged, running
+from deskmill.operators.windows import free_busy
 
 
 @pytest.fixture(scope="module")
@@ -83,15 +83,36 @@ def test_a_hot_group_is_spread(spark):
     assert sum(sizes) == 400_000 and len(sizes) >= 4 and max(sizes) < 200_000
 
 
+def test_a_dense_day_is_spread(spark):
+    """A calendar with a third of the events in one day, most of them running when the window begins."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        n = F.col("id")
+        start = F.when(n % 3 == 0, F.lit(0)).otherwise(n * 3600)
+        events = spark.range(60_000).select(
+            F.when(n % 3 == 0, F.lit(0)).otherwise(n % 50).alias("calendar_id"), n.alias("event_id"),
+            F.timestamp_seconds(start).alias("start_ts"), F.timestamp_seconds(start + F.when(n % 3 == 0, n + 1).otherwise(60)).alias("end_ts"),
+        )
+        spread = ranged(events, ["calendar_id"], ["start_ts", "event_id"])
+        sizes = [r["count"] for r in spread.filter("start_ts < timestamp_seconds(1)").groupBy(CHUNK).count().collect()]
+        assert sum(sizes) == 20_000 and max(sizes) < 12_000
+        busy = free_busy(events, F.timestamp_seconds(F.lit(0)), F.timestamp_seconds(F.lit(3600 * 60_000)))
+        hot = busy.filter("calendar_id = 0").orderBy("start_ts").first()
+        assert hot.n_events == 20_000 and busy.agg(F.sum("n_events")).first()[0] == 60_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_unknown_kind(spark, rows):
     df = spark.createDataFrame(rows, "g string, pos long, v long")
     with pytest.raises(ValueError):
         running(df, ["g"], ["pos"], by_position("pos"), {"x": Running("median", F.col("v"))})
 
 
-@pytest.mark.parametrize("large", [10, 100_000])
-def test_percentiles_are_exact(spark, monkeypatch, large):
-    monkeypatch.setattr(percentiles, "LARGE_GROUP", large)
+@pytest.mark.parametrize("coalesced", ["true", "false"])
+def test_percentiles_are_exact(spark, coalesced, request):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesced)
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true"))
     rng = random.Random(3)
     data = {"hot": [rng.choice([1.0, 2.5, rng.random(), rng.random() * 1e9]) for _ in range(900)], "one": [4.0], "flat": [3.0] * 50}
     df = spark.createDataFrame([(k, v) for k, vs in data.items() for v in [*vs, None]], "k string, v double")

@@ -85,6 +85,11 @@ def _free_gaps(spark, d):
     return windows.free_gaps(busy, *_bounds())
 
 
+def _free_gaps_all(spark, d):
+    """W5 as the complement of W4: a calendar without a busy interval is free over the whole range."""
+    return windows.free_gaps(_free_busy(spark, d), *_bounds())
+
+
 def _first_table(spark, d):
     cells = b.document_lines(spark, d).select("doc_id", F.col("pos").alias("table_idx"), "text")
     return windows.find_first_table(cells, "THE")
@@ -96,6 +101,7 @@ QUERIES = {
     "w3_render_markdown": _markdown,
     "w4_free_busy": _free_busy,
     "w5_free_gaps": _free_gaps,
+    "w5_free_gaps_all_calendars": _free_gaps_all,
     "w6_find_first_table": _first_table,
 }
 
@@ -117,6 +123,14 @@ busy AS (
 """
 )
 
+GAPS_SQL = """
+gaps AS (
+  SELECT calendar_id, coalesce(lag(end_ts) OVER (PARTITION BY calendar_id ORDER BY start_ts),
+           TIMESTAMP '2024-01-05 00:00:00') AS free_from, start_ts AS free_to FROM busy
+  UNION ALL
+  SELECT calendar_id, max(end_ts), TIMESTAMP '2024-01-25 12:00:00' FROM busy GROUP BY calendar_id)
+"""
+
 ORACLES = {
     "w1_assemble_threads": """
 WITH m AS (SELECT conv_id AS thread_id, turn AS pos,
@@ -168,6 +182,13 @@ gaps AS (
   UNION ALL
   SELECT calendar_id, max(end_ts), TIMESTAMP '2024-01-25 12:00:00' FROM busy GROUP BY calendar_id)
 SELECT * FROM gaps WHERE free_from < free_to""",
+    "w5_free_gaps_all_calendars": f"""
+WITH {BUSY_SQL},
+{GAPS_SQL}
+SELECT * FROM gaps WHERE free_from < free_to
+UNION ALL
+SELECT c_custkey, TIMESTAMP '2024-01-05 00:00:00', TIMESTAMP '2024-01-25 12:00:00' FROM customer
+WHERE c_custkey NOT IN (SELECT calendar_id FROM busy)""",
     "w6_find_first_table": f"""
 WITH {b.LINES_SQL}
 SELECT doc_id, min(pos) AS table_idx FROM lines WHERE contains(lower(text), 'the') GROUP BY doc_id""",

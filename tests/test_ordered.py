@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from deskmill.functions.times import literal_instant
 from deskmill.operators import trees, windows
 
@@ -114,3 +115,11 @@ def test_deep_chain_takes_few_rounds(spark, monkeypatch):
     assert len(got) == 300 and all(got[i].depth == i and got[i].root == 0 for i in got)
     assert got[5].path == "0 1 2 3 4 5"
     assert len(cuts) <= 11
+
+
+def test_calendars_without_events_are_free_over_the_whole_range(spark):
+    queries, small = entry.queries(), "/root/testdata/sf0.001"
+    idle = {r.calendar_id for r in queries["w4_free_busy"](spark, small).filter("start_ts IS NULL").collect()}
+    free = {r.calendar_id: r for r in queries["w5_free_gaps_all_calendars"](spark, small).collect() if r.calendar_id in idle}
+    assert idle and free.keys() == idle
+    assert {(r.free_from, r.free_to) for r in free.values()} == {(dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 25, 12))}

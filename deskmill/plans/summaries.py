@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from deskmill.operators import aggregates, filters, trees
 from deskmill.plans import bindings as b
 from deskmill.session import shared_dir
 from deskmill.sources.tables import TABLES, read_table
-from deskmill.streaming.metrics import read_run_stream, stream_execution_metrics, write_metrics
+from deskmill.streaming.metrics import late_rows, read_run_stream, stream_execution_metrics, write_metrics
 
 
 def _document_stats(spark, d):
@@ -148,7 +149,10 @@ def _streamed_metrics(spark, d):
     events = read_run_stream(spark, d, TABLES["events"], "events.parquet")
     runs = events.select("ts", "user_id", (F.col("event_type") == "error").alias("failed"))
     place = f"{shared_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    write_metrics(stream_execution_metrics(runs), f"{place}/out", f"{place}/state").awaitTermination()
+    query = write_metrics(stream_execution_metrics(runs), f"{place}/out", f"{place}/state")
+    query.awaitTermination()
+    if late := late_rows(query):
+        logging.getLogger(__name__).warning("g9_stream_execution_metrics: %d aggregated rows were behind the watermark", late)
     closed = "start_time timestamp_ntz, end_time timestamp_ntz, total_executions bigint, failed_executions bigint"
     return spark.read.schema(closed).parquet(f"{place}/out")
 

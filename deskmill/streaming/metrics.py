@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,8 +14,9 @@ from deskmill.session import configure
 
 def stream_execution_metrics(runs: DataFrame, grain: str = "DAILY", late: str = "1 hour") -> DataFrame:
     """``execution_metrics`` for a streaming table: users are counted approximately, buckets close
-    once the watermark has passed them, and empty buckets are not filled in. Event time must have a
-    zone on a stream, so a timestamp without one is read in the session's, UTC."""
+    once the watermark has passed them, and empty buckets are not filled in. Rows of a closed bucket
+    that arrive after that (a backfill, files out of time order) are left out; ``late_rows`` tells of them.
+    Event time must have a zone on a stream, so a timestamp without one is read in the session's, UTC."""
     kind = runs.schema["ts"].dataType
     return (
         runs.withColumn("ts", F.col("ts").cast("timestamp"))
@@ -50,3 +53,12 @@ def write_metrics(metrics: DataFrame, path: str, checkpoint: str) -> StreamingQu
         .trigger(availableNow=True)
         .start()
     )
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """``numRowsDroppedByWatermark`` of a query's progress: not 0 if rows came too late for their bucket.
+
+    Spark counts rows after partial aggregation, so more runs than that may be missing. It keeps the
+    progress of the last ``spark.sql.streaming.numRecentProgressUpdates`` batches, and of this run only.
+    """
+    return sum(state["numRowsDroppedByWatermark"] for p in query.recentProgress for state in json.loads(p.json)["stateOperators"])

@@ -7,7 +7,7 @@ import pytest
 from deskmill.session import durable_cut, shared_dir
 from deskmill.sources.exports import ENTITIES, entity_schema, read_export, write_export
 from deskmill.sources.tables import TABLES, read_table
-from deskmill.streaming.metrics import stream_execution_metrics, write_metrics
+from deskmill.streaming.metrics import late_rows, stream_execution_metrics, write_metrics
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -72,3 +72,20 @@ def test_streaming_metrics(spark, tmp_path):
         assert row.total_executions == exact[start].total_executions
         assert row.failed_executions == exact[start].failed_executions
         assert abs(row.active_users - exact[start].active_users) <= 0.1 * exact[start].active_users + 1
+
+
+def test_rows_behind_the_watermark_are_reported(spark, tmp_path):
+    landing = tmp_path / "runs"
+
+    def land(day):
+        rows = spark.sql(f"SELECT TIMESTAMP_NTZ '2024-01-{day:02d} 10:00:00' AS ts, id AS user_id, false AS failed FROM range(5)")
+        rows.write.mode("append").parquet(str(landing))
+        stream = spark.readStream.schema(rows.schema).parquet(str(landing))
+        query = write_metrics(stream_execution_metrics(stream), str(tmp_path / "out"), str(tmp_path / "state"))
+        query.awaitTermination()
+        return late_rows(query)
+
+    assert land(5) == 0 and land(9) == 0
+    assert land(2) > 0
+    closed = [(r.start_time.day, r.total_executions) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert closed == [(5, 5)]

@@ -125,3 +125,13 @@ def test_the_stage_drops_near_copies(spark, docs):
     shaped = spark.createDataFrame([(key, text, "en", "s", len(text or "")) for key, text in rows], docs.schema)
     kept = STAGES["simhash_dedup"](spark, shaped, SMALL)
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
+
+
+def test_rows_that_share_an_id_are_told_apart(spark, docs):
+    copy, rows = "a b c d e f g h i j", []
+    for i in range(0, 40, 2):
+        rows += [(i, f"{copy} n{i} m{i} o{i}"), (i + 1, f"{copy} n{i} m{i} o{i}".upper()), (i + 1, " ".join(f"clean{i}x{k}" for k in range(9)))]
+    want = {(i, t) for i, t in rows if i % 2 == 0 or t.startswith("clean")}
+    shaped = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], docs.schema)
+    kept = STAGES["simhash_dedup"](spark, shaped, SMALL)
+    assert {(r.doc_id, r.text) for r in kept.collect()} == want and kept.count() == len(want)

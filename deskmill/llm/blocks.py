@@ -10,10 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
@@ -27,46 +25,78 @@ BLOCK_BYTES = 2 << 20
 # Bytes of keys in one bucket, which is what a sorting task holds.
 BUCKET_BYTES = 8 << 20
 NO_KEY = np.iinfo(np.int64).max
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+# Hashes are sums of powers of a random base modulo this prime: two different sequences of n values agree for at most n of its bases.
+PRIME = (1 << 61) - 1
+_P, _LOW31, _LOW30 = np.uint64(PRIME), np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
+_BASE = int(np.random.default_rng(20240229).integers(1 << 60, PRIME))
+_INVERSE = pow(_BASE, -1, PRIME)
+# Values taken at a time: few enough for the cache, and for sums of products of a byte and half a power below 2 to the 61.
+_SUMS = 1 << 16
 
 
-@lru_cache(maxsize=1)
-def _table() -> np.ndarray:
-    return np.random.default_rng(20240229).integers(0, 2**64, 256, dtype=np.uint64)
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> np.uint64(61))
+    # Below the prime the difference wraps around to a large number.
+    return np.minimum(x, x - _P)
+
+
+def _up31(x: np.ndarray) -> np.ndarray:
+    """``x`` times 2 to the 31, for reduced ``x``."""
+    return ((x & _LOW30) << np.uint64(31)) | (x >> np.uint64(30))
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of reduced numbers."""
+    a_high, a_low, b_high, b_low = a >> np.uint64(31), a & _LOW31, b >> np.uint64(31), b & _LOW31
+    middle = a_high * b_low + a_low * b_high
+    return _reduced(np.uint64(2) * a_high * b_high + (middle >> np.uint64(30)) + ((middle & _LOW30) << np.uint64(31)) + a_low * b_low)
 
 
 _powers_held: dict[int, np.ndarray] = {}
 
 
-def _powers(base: np.uint64, count: int) -> np.ndarray:
+def _powers(base: int, count: int) -> np.ndarray:
     """The first powers of a base; kept, as blocks are of about one size."""
-    held = _powers_held.get(int(base))
-    if held is None or len(held) < count:
-        held = np.full(count + count // 8, base, dtype=np.uint64)
-        held[:1] = 1
-        held = _powers_held[int(base)] = np.cumprod(held, dtype=np.uint64)
+    held = _powers_held.get(base, np.ones(1, dtype=np.uint64))
+    while len(held) < count:
+        held = np.concatenate([held, _times(held, np.full(1, pow(base, len(held), PRIME), dtype=np.uint64))])
+    _powers_held[base] = held
     return held[:count]
 
 
 class Rolling:
-    """Hashes of any slices of a sequence from sums over its prefixes (modulo 2 to the 64)."""
+    """Hashes of any slices of a sequence of numbers below ``PRIME`` and above 0, from sums over its prefixes."""
 
     def __init__(self, values: np.ndarray):
-        self._sums = np.zeros(len(values) + 1, dtype=np.uint64)
-        np.cumsum(values * _powers(_BASE, len(values)), out=self._sums[1:])
-        self._back = _powers(_INVERSE, len(values) + 1)
+        count = len(values)
+        powers = _powers(_BASE, count)
+        self._back = _powers(_INVERSE, count + 1)
+        self._sums = np.zeros(count + 1, dtype=np.uint64)
+        small = values.dtype.itemsize < 8
+        for at in range(0, count, _SUMS):
+            part, here = values[at : at + _SUMS].astype(np.uint64), powers[at : min(at + _SUMS, count)]
+            here, part = (here, part) if small else (_times(part, here), np.uint64(1))
+            low, high = np.cumsum(part * (here & _LOW31)), np.cumsum(part * (here >> np.uint64(31)))
+            self._sums[at + 1 : at + 1 + len(here)] = _reduced(_up31(high) + low + self._sums[at])
 
     def slices(self, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        found = (self._sums[ends] - self._sums[begins]) * self._back[begins]
-        found ^= found >> np.uint64(33)
-        found *= np.uint64(0xFF51AFD7ED558CCD)
-        found ^= found >> np.uint64(29)
+        """Numbers below ``PRIME`` and above 0 that are equal for equal slices."""
+        found = np.empty(len(begins), dtype=np.uint64)
+        for at in range(0, len(begins), _SUMS):
+            lo, hi = begins[at : at + _SUMS], ends[at : at + _SUMS]
+            found[at : at + _SUMS] = np.maximum(_times(_reduced(self._sums[hi] + (_P - self._sums[lo])), self._back[lo]), np.uint64(1))
         return found
 
 
+def spread(hashes: np.ndarray) -> np.ndarray:
+    """Hashes over all 64 bits, one to one."""
+    found = hashes ^ (hashes >> np.uint64(33))
+    found = found * np.uint64(0xFF51AFD7ED558CCD)
+    return found ^ (found >> np.uint64(29))
+
+
 def rolling_bytes(data: np.ndarray) -> Rolling:
-    return Rolling(_table()[data])
+    return Rolling(data.astype(np.uint16) + np.uint16(1))
 
 
 def words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -209,24 +239,46 @@ def ask(blocks: DataFrame, name: str, cut: Cut, emit: Callable[[Block], tuple[np
         ]
         yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "keys", "numbers"])
 
-    def settle(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("block", kind="stable")
-        counts = [len(x) // cut.width for x in rows["keys"]]
-        raw = np.zeros((sum(counts), 8), dtype=np.uint8)
-        raw[:, : cut.width] = np.frombuffer(b"".join(rows["keys"]), dtype=np.uint8).reshape(-1, cut.width)
-        keys = raw.view("<u8").ravel()
-        numbered = len(rows) and rows["numbers"].iloc[0] is not None
-        numbers = np.frombuffer(b"".join(rows["numbers"]), dtype="<i8") if numbered else None
-        # Blocks are in order, so a stable sort puts the first block of a key first; with numbers the smallest is first.
-        order = np.lexsort((numbers, keys)) if numbered else np.argsort(keys, kind="stable")
-        ordered = keys[order]
-        begins = np.concatenate(([True], ordered[1:] != ordered[:-1]))
-        run = np.cumsum(begins) - 1
-        shared = np.bincount(run)[run] > 1
-        first = numbers[order] == numbers[order][np.flatnonzero(begins)][run] if numbered else begins
-        answers = np.zeros(len(keys), dtype=np.uint8)
-        answers[order] = shared * np.uint8(SHARED) + first * np.uint8(FIRST)
-        return pd.DataFrame({"name": name, "block": rows["block"], "bucket": key[0], "bits": [_put(x) for x in np.split(answers, np.cumsum(counts)[:-1])]})
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A partition's buckets come one after the other, and one is held at a time.
+        held, bucket = [], None
+        for batch in batches:
+            marks = batch.column("bucket").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(marks)) + 1).tolist(), len(marks)]
+            for lo, hi in zip(edges, edges[1:], strict=False):
+                if lo == hi:
+                    continue
+                if held and marks[lo] != bucket:
+                    yield _settled(name, int(bucket), held, cut.width)
+                    held = []
+                bucket = marks[lo]
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield _settled(name, int(bucket), held, cut.width)
 
     dealt = each_block(blocks, deal, "bucket long, block long, keys binary, numbers binary")
-    return durable_cut(dealt.groupBy("bucket").applyInPandas(settle, "name string, block long, bucket long, bits binary"))
+    return durable_cut(dealt.repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(settle, "name string, block long, bucket long, bits binary"))
+
+
+def _settled(name: str, bucket: int, parts: list[pa.RecordBatch], width: int) -> pa.RecordBatch:
+    """The answers of one bucket, a row per block."""
+    rows = pa.Table.from_batches(parts)
+    blocks, segments = rows.column("block").to_pylist(), rows.column("keys").to_pylist()
+    counts = [len(x) // width for x in segments]
+    raw = np.zeros((sum(counts), 8), dtype=np.uint8)
+    raw[:, :width] = np.frombuffer(b"".join(segments), dtype=np.uint8).reshape(-1, width)
+    keys = raw.view("<u8").ravel()
+    found = rows.column("numbers").to_pylist()
+    numbers = np.frombuffer(b"".join(found), dtype="<i8") if found[0] is not None else None
+    # Blocks are in order, so a stable sort puts the first block of a key first; with numbers the smallest is first.
+    order = np.lexsort((numbers, keys)) if numbers is not None else np.argsort(keys, kind="stable")
+    ordered = keys[order]
+    begins = np.concatenate(([True], ordered[1:] != ordered[:-1]))
+    run = np.cumsum(begins) - 1
+    shared = np.bincount(run)[run] > 1
+    first = numbers[order] == numbers[order][np.flatnonzero(begins)][run] if numbers is not None else begins
+    answers = np.zeros(len(keys), dtype=np.uint8)
+    answers[order] = shared * np.uint8(SHARED) + first * np.uint8(FIRST)
+    bits = [_put(x) for x in np.split(answers, np.cumsum(counts)[:-1])]
+    columns = [pa.array([name] * len(blocks)), pa.array(blocks, pa.int64()), pa.array([bucket] * len(blocks), pa.int64()), pa.array(bits, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["name", "block", "bucket", "bits"])

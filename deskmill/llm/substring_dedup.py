@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from deskmill.llm.blocks import FIRST, NO_KEY, SHARED, Block, Cut, Rolling, ask, cut_for, each_block, pack, rolling_bytes, with_masks, words_of
+from deskmill.llm.blocks import FIRST, NO_KEY, SHARED, Block, Cut, Rolling, ask, cut_for, each_block, pack, rolling_bytes, spread, with_masks, words_of
 from deskmill.llm.common import total_bytes
 from deskmill.session import durable_cut
 
@@ -60,7 +60,7 @@ class _Words:
             ok &= again
             ok[: len(ok) - shift] &= again[shift:]
         at = np.flatnonzero(ok)
-        keys = self.cuts[f"words{length}"].keys(self.hashes.slices(at, at + length))
+        keys = self.cuts[f"words{length}"].keys(spread(self.hashes.slices(at, at + length)))
         return at, np.unique(keys, return_inverse=True, return_counts=True)
 
     def _answers(self, step: int, counts: np.ndarray) -> np.ndarray:
@@ -113,7 +113,7 @@ def remove_repeated_words(docs: DataFrame, key: str = "doc_id", text: str = "tex
     Gives ``key`` (a whole number), ``n_words``, ``n_removed`` and ``kept`` (the words left, one space between; with ``digests`` its SHA-256 in lower-case
     hex). Words are runs of bytes other than ASCII white space, compared as they are. One row per row: a null text has no words,
     a null key is larger than all others, rows with the same key do not remove each other's words, an empty table gives no rows.
-    Windows are judged on the input. Keys are 64-bit hashes.
+    Windows are judged on the input. Keys are 61-bit hashes with a random base.
     """
     size = total_bytes(docs, text)
     blocks = pack(docs, key, text)

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from deskmill.llm.blocks import FIRST, SHARED, Block, Cut, Rolling, ask, cut_for, each_block, pack, rolling_bytes, with_masks
+from deskmill.llm.blocks import FIRST, SHARED, Block, Cut, Rolling, ask, cut_for, each_block, pack, rolling_bytes, spread, with_masks
 from deskmill.llm.common import total_bytes
 from deskmill.session import durable_cut
 
@@ -62,7 +62,7 @@ class _Work:
         self.hashes: Rolling = rolling_bytes(block.data)
 
     def _keys(self, name: str, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        keys = self.cuts[name].keys(self.hashes.slices(at, at + size))
+        keys = self.cuts[name].keys(spread(self.hashes.slices(at, at + size)))
         return np.unique(keys, return_inverse=True, return_counts=True)
 
     def cover(self) -> tuple[np.ndarray, tuple]:
@@ -136,7 +136,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     Gives ``key``, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept`` (the bytes left; with ``digests`` their SHA-256 in
     lower-case hex). One row per row: a null text is empty, texts shorter than ``length`` stay as they are, repeated rows are
     documents of their own, a null key stays null, an empty table gives no rows. Strings are judged on the input. Keys are
-    64-bit hashes; ``length`` must be over ``PERIOD``.
+    61-bit hashes with a random base; ``length`` must be over ``PERIOD``.
     """
     if length <= PERIOD:
         raise ValueError(f"strings must be longer than {PERIOD} bytes")

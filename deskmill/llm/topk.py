@@ -11,11 +11,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from deskmill.session import durable_cut
+
 CANDIDATE_BLOCK = 4096
 QUERY_BLOCK = 128
 DIMENSION_BLOCK = 16
@@ -66,14 +68,24 @@ def _floor(x: Column) -> Column:
     return F.when(F.abs(x) < 2.0**62, F.floor(x).cast("double")).otherwise(x)
 
 
-def _packed(rows: DataFrame, group: str, schema: str) -> DataFrame:
-    """One row per group: its ids and its vectors as one vertical matrix."""
+def _packed(rows: DataFrame, blocks: int) -> DataFrame:
+    """Rows dealt out in turn to blocks, whatever they hold, and a row per block and length: ids and one vertical matrix. Written."""
 
-    def pack(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        matrix = np.stack([np.asarray(v, dtype=np.float64) for v in frame["vector"]], axis=1)
-        return pd.DataFrame({"dims": [key[1]], "block": [key[0]], "ids": [frame["id"].to_numpy(dtype="<i8").tobytes()], "matrix": [np.ascontiguousarray(matrix, dtype="<f8").tobytes()]})
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[list, list]] = {}
+        for batch in batches:
+            vectors, edges = batch.column("vector").flatten().to_numpy(), batch.column("vector").offsets.to_numpy()
+            for at, key in enumerate(batch.column("id").to_pylist()):
+                vector = vectors[edges[at] - edges[0] : edges[at + 1] - edges[0]]
+                ids, columns = held.setdefault(len(vector), ([], []))
+                ids.append(key)
+                columns.append(vector)
+        for dims, (ids, columns) in held.items():
+            matrix = np.ascontiguousarray(np.stack(columns, axis=1), dtype="<f8")
+            found = [[dims], [TaskContext.get().partitionId()], [np.array(ids, dtype="<i8").tobytes()], [matrix.tobytes()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["dims", "block", "ids", "matrix"])
 
-    return rows.groupBy(group, "dims").applyInPandas(pack, schema)
+    return durable_cut(rows.repartition(blocks).mapInArrow(pack, "dims int, block int, ids binary, matrix binary"))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding", scale: float = 256.0, candidate_block: int = CANDIDATE_BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
@@ -92,12 +104,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
         return df.filter(F.coalesce(usable, F.lit(False))).select(F.col(key).cast("long").alias("id"), scaled.alias("vector"), F.size(vector).alias("dims"))
 
     sides = {"candidate": valid(vectors), "query": valid(queries).dropDuplicates(["id", "vector"])}
-    schema = "dims int, block int, ids binary, matrix binary"
     packed, counts = {}, {}
     for name, rows in sides.items():
         counts[name] = max(1, -(-rows.count() // dims[name]))
-        # Many rows may share an id, but not a vector and an id, so rows are dealt by both.
-        packed[name] = _packed(rows.withColumn("block", F.pmod(F.xxhash64("id", "vector"), F.lit(counts[name])).cast("int")), "block", schema)
+        packed[name] = _packed(rows.select("id", "vector"), counts[name])
     # The stated query set against all rows, in blocks: every block of queries goes to every block of candidates.
     many = packed["query"].select("dims", F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"), F.explode(F.sequence(F.lit(0), F.lit(counts["candidate"] - 1))).alias("block"))
     pairs = packed["candidate"].join(many, ["block", "dims"])

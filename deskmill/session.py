@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,4 +62,37 @@ def durable_cut(df: DataFrame) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    cut = spark.read.schema(df.schema).parquet(path)
+    cut.cut_path = path
+    for made in _collecting:
+        made.append(path)
+    return cut
+
+
+# Lists of the paths written while ``cuts_dropped`` is on.
+_collecting: list[list[str]] = []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system it is; one that is gone already does no harm."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def discard(*cuts: DataFrame) -> None:
+    """Delete tables of ``durable_cut`` from which nothing will be computed any more, not even anew after a loss."""
+    for cut in cuts:
+        delete_folder(cut.sparkSession, cut.cut_path)
+
+
+@contextmanager
+def cuts_dropped(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what ``durable_cut`` writes inside; for work whose result has been written by then."""
+    made: list[str] = []
+    _collecting.append(made)
+    try:
+        yield
+    finally:
+        _collecting.remove(made)
+        for path in made:
+            delete_folder(spark, path)

@@ -26,7 +26,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LEAF = 8192
+LEAF = 512
 FIRST_WINDOW = 64
 SLICE = 256
 _LETTER, _DIGIT, _SPACE, _SIGN = "LNZS"

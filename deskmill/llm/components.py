@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskmill.session import durable_cut
+from deskmill.session import discard, durable_cut
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -28,4 +28,5 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lower, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = durable_cut(small.unionAll(lower.select("a", F.col("m").alias("b"))).distinct())
+        last, edges = edges, durable_cut(small.unionAll(lower.select("a", F.col("m").alias("b"))).distinct())
+        discard(last)

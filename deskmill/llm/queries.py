@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import deskmill
-from deskmill.llm import bpe, langid, mixing, pii, quality, simhash, substring_dedup, suffix_dedup, topk, warc
+from deskmill.llm import bpe, fill_in_middle, importance, langid, minhash, mixing, pii, quality, simhash, substring_dedup, suffix_dedup, topk, warc
 from deskmill.llm.common import table, word_count
 from deskmill.session import configure
 
@@ -84,7 +84,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(ready(spark), sf_dir, "documents"))
 
 
-_QUERIES = (op1_byte_bpe, op2_warc, op3_language_id, op4_pii, op5_quality, op6_suffix_dedup, op7_substring_dedup, op8_mixing, op9_topk, op10_simhash)
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(ready(spark), sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle.fill_in_middle(table(ready(spark), sf_dir, "documents"))
+    digests = {f"{name}_sha256": F.sha2(text.cast("binary"), 256) for name, text in (("output", F.col("output")), ("restored", fill_in_middle.restored(F.col("output"), F.col("form"))))}
+    return cut.withColumns(digests).drop("output")
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(ready(spark), sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+_QUERIES = (op1_byte_bpe, op2_warc, op3_language_id, op4_pii, op5_quality, op6_suffix_dedup, op7_substring_dedup, op8_mixing, op9_topk, op10_simhash, op11_importance_resampling, op12_fill_in_middle, op13_minhash)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -129,6 +145,33 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x
 s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op12_fill_in_middle": """
+WITH h AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+u AS (SELECT *, CAST('0x' || substr(d, 1, 8) AS BIGINT) % (n + 1) AS a, CAST('0x' || substr(d, 9, 8) AS BIGINT) % (n + 1) AS b,
+             CAST('0x' || substr(d, 17, 8) AS BIGINT) % 100 AS x, CAST('0x' || substr(d, 25, 8) AS BIGINT) % 100 AS y FROM h),
+f AS (SELECT *, CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR x >= 90 THEN 'plain' WHEN y < 20 THEN 'spm' ELSE 'psm' END AS form,
+             least(a, b) AS p, greatest(a, b) AS q FROM u),
+o AS (SELECT *, substring(t, 1, p) AS pre, substring(t, p + 1, q - p) AS mid, substring(t, q + 1, n - q) AS suf FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(p AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(q - p AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM o""",
+    "op13_minhash": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) END) AS shingle
+      FROM d WHERE len(w) > 0),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+k AS (SELECT doc_id, md5(string_agg(shingle, chr(10) ORDER BY shingle)) AS name FROM s GROUP BY doc_id),
+g AS (SELECT name, min(doc_id) AS node FROM k GROUP BY name),
+m AS (SELECT doc_id, node FROM k JOIN g USING (name)),
+p AS (SELECT s.doc_id, shingle FROM s JOIN g ON g.node = s.doc_id),
+i AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM p a JOIN p b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM i JOIN c cx ON cx.doc_id = x JOIN c cy ON cy.doc_id = y WHERE 100 * i.n >= 85 * (cx.n + cy.n - i.n)),
+l AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
+r AS (SELECT node AS x, node AS y FROM g UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+t AS (SELECT x AS node, min(y) AS component_id FROM r GROUP BY x)
+SELECT d.doc_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_shingles, coalesce(t.component_id, d.doc_id) AS component_id, coalesce(t.component_id, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id LEFT JOIN t ON t.node = m.node""",
 }
 
 

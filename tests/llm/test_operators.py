@@ -242,6 +242,47 @@ def test_repeated_words(docs, odd, monkeypatch, block_bytes):
         assert rows_of(found, "doc_id", "n_words", "n_removed", "kept") == sorted(repeated_words(texts_of(rows), 13), key=repr)
 
 
+def thue_morse(size, first, second):
+    """Two strings that differ everywhere and that sums of powers modulo 2 to the 64 cannot tell apart."""
+    bits = [0]
+    while len(bits) < size:
+        bits += [1 - b for b in bits]
+    return tuple("".join((x, y)[b] for b in bits) for x, y in ((first, second), (second, first)))
+
+
+def test_structured_strings_stay_apart(spark):
+    queries.ready(spark)
+    one, other = thue_morse(1024, "a", "b")
+    same = [f"w{i}" for i in range(12)]
+    rows = spark.createDataFrame([(1, " ".join([one, *same])), (2, " ".join([other, *same]))], "doc_id long, text string")
+    found = substring_dedup.remove_repeated_words(rows, digests=True)
+    assert rows_of(found, "doc_id", "n_words", "n_removed", "kept") == sorted(repeated_words(texts_of(rows), 13), key=repr)
+    assert found.filter("n_removed > 0").count() == 0
+    texts = spark.createDataFrame([(1, f"{one} x y {other} x y " * 2), (2, f"{one} x y {other} x y")], "doc_id long, text string")
+    rated = quality.rate(texts, spark.createDataFrame([], "doc_id long"))
+    assert rows_of(rated, "doc_id", "n_words", "n_repeat_words") == sorted((k, (c := base_counts(t))[0], c[4]) for k, t in texts_of(texts))
+    strings = spark.createDataFrame([(1, one), (2, other), (3, one[:512] + "c" + other[:300])], "doc_id long, text string")
+    removed = suffix_dedup.remove_repeats(strings, digests=True)
+    assert rows_of(removed, "doc_id", "n_bytes", "n_removed", "n_spans", "kept") == sorted(repeats(texts_of(strings), 200), key=repr)
+
+
+def test_hashes_of_slices_are_those_of_their_numbers():
+    draw = np.random.default_rng(1)
+    for values in (draw.integers(0, 256, 70_000, dtype=np.uint8), draw.integers(1, blocks.PRIME, 70_000, dtype=np.uint64)):
+        own = blocks.rolling_bytes(values) if values.dtype == np.uint8 else blocks.Rolling(values)
+        plus = int(values.dtype == np.uint8)
+        for lo, hi in ((0, 0), (0, 9), (65_500, 65_600), (69_900, 70_000)):
+            want = sum((int(v) + plus) * pow(blocks._BASE, i, blocks.PRIME) for i, v in enumerate(values[lo:hi])) % blocks.PRIME
+            assert int(own.slices(np.array([lo]), np.array([hi]))[0]) == max(1, want)
+
+
+def test_repeated_vectors_are_dealt_out(spark):
+    queries.ready(spark)
+    same = spark.range(900).selectExpr("IF(id < 300, 50, id) AS vec_id", "IF(id < 300, array(1D, 2D), array(id / 9D, 1D)) AS embedding")
+    packed = topk._packed(same.selectExpr("vec_id AS id", "embedding AS vector"), 9)
+    assert max(len(r.ids) // 8 for r in packed.collect()) <= 110
+
+
 def test_levels_double():
     assert substring_dedup.levels(13, 7) == [7, 13] and substring_dedup.levels(26, 3) == [3, 6, 12, 24, 26]
 

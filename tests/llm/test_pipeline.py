@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from deskmill.llm import langid, near_copies, queries, simhash
+from deskmill.llm import langid, minhash, queries
 from deskmill.llm.common import table
+from tests.llm.test_minhash import brute_force, edited
 from tests.oracle import connect, difference
 
 SMALL = "/root/testdata/sf0.001"
@@ -21,7 +22,7 @@ def docs(spark):
 
 def test_every_operator_has_one_query():
     names = queries.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert set(names) | {"pipeline"} <= set(entry.queries())
 
 
@@ -41,7 +42,7 @@ def test_rejected_languages_go(spark, docs):
 def test_one_of_each_group_stays(spark, docs):
     twice = docs.unionByName(docs.limit(20)).unionByName(docs.limit(1).withColumn("doc_id", F.lit(None).cast("long")))
     kept = STAGES["simhash_dedup"](spark, twice, SMALL)
-    groups = simhash.near_duplicates(docs)
+    groups = minhash.near_duplicates(docs, percent=80)
     want = sorted(r.component_id for r in groups.select("component_id").distinct().collect())
     assert sorted(r.doc_id for r in kept.filter("doc_id IS NOT NULL").collect()) == want
     assert kept.filter("doc_id IS NULL").count() == 1 and kept.columns == docs.columns
@@ -57,6 +58,10 @@ def test_the_mix_repeats_rows(spark, docs):
 
 def test_clashing_columns_stay(spark, docs):
     odd = docs.selectExpr("*", "1L AS mix_times", "source AS mix_source", "'x' AS found_lang", "0 AS mix", "2 AS new_text_0")
+    more = docs.selectExpr("*", "doc_id AS kept_id", "xxhash64(text) AS kept_hash", "3 AS kept", "4 AS component", "5 AS text_hash", "map('a', doc_id) AS labels", "6 AS `dotted.name`")
+    found = STAGES["simhash_dedup"](spark, more, SMALL)
+    assert found.columns == more.columns and found.filter("labels['a'] <> doc_id OR kept_id <> doc_id").count() == 0
+    assert found.count() == STAGES["simhash_dedup"](spark, docs, SMALL).count()
     for name, stage in corpus_pipeline.STAGES[:4]:
         found = stage(spark, odd, SMALL)
         assert found.columns == odd.columns and found.count() > 0, name
@@ -76,55 +81,13 @@ def test_an_empty_corpus(spark, docs):
         assert step.count() == 0
 
 
-def _near_copies_of(docs):
-    """Rows of the smallest table, and for some of them rows with words replaced: at similarities on both sides of 0.8."""
-    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
-    edited = []
-    for i, (_, text) in enumerate([r for r in rows if len((r[1] or "").split()) > 60][:40]):
-        words = text.split()
-        places = range(3, len(words), max(6, len(words) // (1 + i % 8)))
-        edited.append((100_000 + i, " ".join(f"new{i}x{p}" if p in places else w for p, w in enumerate(words))))
-    return rows + edited + [(200_000, "  "), (200_001, None), (200_002, "two words"), (200_003, "Two  Words")]
-
-
-def _brute_force(rows):
-    """The smallest key each row reaches over pairs with a Jaccard similarity of 5-word shingles of 0.8 or more."""
-    sets = []
-    for _, text in rows:
-        words = (text or "").encode().lower().split()
-        size = min(5, len(words))
-        sets.append({tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set())
-    least, near = [key for key, _ in rows], 0
-    pairs = []
-    for i, a in enumerate(sets):
-        for j in range(i):
-            b = sets[j]
-            common = len(a & b)
-            if a == b or (common and 5 * common >= 4 * (len(a) + len(b) - common)):
-                pairs.append((i, j))
-                near += a != b
-    while True:
-        before = list(least)
-        for i, j in pairs:
-            least[i] = least[j] = min(least[i], least[j])
-        if least == before:
-            return dict(zip((key for key, _ in rows), least, strict=True)), near
-
-
-def test_near_copies_are_those_of_brute_force(spark, docs):
-    rows = _near_copies_of(docs)
-    want, near = _brute_force(rows)
-    assert near > 20
-    found = near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert {r.doc_id: r.component_id for r in found.collect()} == want
-
-
 def test_the_stage_drops_near_copies(spark, docs):
-    rows = _near_copies_of(docs)
-    want, _ = _brute_force(rows)
+    rows = edited(docs) + [(200_000, "  "), (200_001, None), (200_002, "two words"), (200_003, "Two  Words")]
+    want, near = brute_force(rows, 80)
+    assert near > 20
     shaped = spark.createDataFrame([(key, text, "en", "s", len(text or "")) for key, text in rows], docs.schema)
     kept = STAGES["simhash_dedup"](spark, shaped, SMALL)
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({least for _, _, least in want})
 
 
 def test_rows_that_share_an_id_are_told_apart(spark, docs):

@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskmill.llm import bpe, langid, mixing, near_copies, pii
-from deskmill.llm.common import free_name, table, word_count
+from deskmill.llm import bpe, langid, minhash, mixing, pii, simhash
+from deskmill.llm.common import WORD, free_name, table, word_count
 from deskmill.llm.queries import RANKS, language_model, ready
-from deskmill.session import shared_dir
+from deskmill.session import cuts_dropped, delete_folder, shared_dir
 
 LEAST_SCORE = 0.5
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,16 +26,25 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies (Jaccard similarity of 5-word shingles of 0.8 or more), that with the smallest ``doc_id`` (then by text hash and columns); rows without one are not compared and stay."""
+    """One row of each group of near copies (Jaccard similarity of 5-word shingles of 0.8 or more), that with the smallest ``doc_id`` (then by text hash and columns).
+
+    Candidates are the groups of the SimHash trie join over 5-word shingles, and min-max bands for copies that are further apart than its few
+    bits; the whole sets decide. Rows without a ``doc_id`` or a word are not compared and stay; rows with the same ``doc_id`` and text are one.
+    """
     ready(spark)
-    keyed = docs.filter(F.col("doc_id").isNotNull())
+    compared = F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    keyed = docs.filter(compared)
+    prints = simhash.near_duplicates(keyed.select(F.xxhash64("text").alias("text_hash"), "text"), "text_hash", words_per_shingle=NEAR_WORDS)
+    groups = prints.select("text_hash", F.col("component_id").alias("group")).distinct()
     # A row is told by doc_id and text, as rows may share a doc_id without being copies.
     first = F.min(F.struct("doc_id", "text_hash")).alias("first")
-    kept = near_copies.near_copies(keyed).groupBy("component").agg(first).select("first.*")
-    hashed = F.xxhash64("text") == F.col("kept_hash")
-    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
-    rows = keyed.join(kept, (keyed["doc_id"] == F.col("kept_id")) & hashed).groupBy("kept_id", "kept_hash")
-    return rows.agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*").unionByName(docs.filter(F.col("doc_id").isNull()))
+    found = minhash.near_duplicates(keyed, percent=NEAR_PERCENT, words_per_shingle=NEAR_WORDS, also=groups).groupBy("component").agg(first)
+    name = free_name(docs, "kept")
+    kept = found.select(F.col("first.doc_id").alias(f"{name}_id"), F.col("first.text_hash").alias(f"{name}_hash"))
+    same = (keyed["doc_id"] == F.col(f"{name}_id")) & (F.xxhash64(keyed["text"]) == F.col(f"{name}_hash"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = keyed.join(kept, same).groupBy(f"{name}_id", f"{name}_hash").agg(F.min_by(row, F.to_json(row)).alias(name))
+    return rows.select(f"{name}.*").unionByName(docs.filter(~compared))
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,9 +83,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows over all ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = f"{shared_dir(spark).rstrip('/')}/stage-{name}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with cuts_dropped(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete_folder(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

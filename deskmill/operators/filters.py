@@ -16,6 +16,7 @@ from deskmill.functions.sharing import SHARE_ROLES, SHARE_TYPES, is_public
 from deskmill.functions.text import host, stripped
 from deskmill.functions.times import is_rfc3339, literal_instant
 from deskmill.operators.intervals import cells_in_ranges
+from deskmill.session import durable_cut
 
 COMPARE = {"=": operator.eq, "!=": operator.ne, ">": operator.gt, "<": operator.lt}
 
@@ -203,19 +204,16 @@ def cell_conditions(cells: DataFrame, rules: DataFrame, sheet: str = "sheet_id")
     the value must be one of the values there.
     """
     other = F.col("type") == "ONE_OF_RANGE"
-    direct = (
-        cells_in_ranges(cells, rules.filter(~other), sheet, ("rule_idx", "type", "values"))
-        .filter(condition_holds(F.col("type"), F.col("values"), F.col("value")))
-        .select(*cells.columns, "rule_idx")
-    )
-    lists = rules.filter(other)
-    sources = lists.select(
-        "rule_idx",
-        F.col("src_sheet").alias(sheet),
-        *[F.col(f"src_{c}").alias(c) for c in ("r0", "r1", "c0", "c1")],
-    )
-    allowed = cells_in_ranges(cells, sources, sheet).select("rule_idx", "value").distinct()
-    listed = cells_in_ranges(cells, lists, sheet).join(allowed, ["rule_idx", "value"], "left_semi")
+    bounds = ("r0", "r1", "c0", "c1")
+    carry = ("rule_idx", "type", "values", "is_source")
+    targets = rules.select(sheet, *bounds, "rule_idx", "type", "values", F.lit(False).alias("is_source"))
+    sources = rules.filter(other).select(F.col("src_sheet").alias(sheet), *[F.col(f"src_{c}").alias(c) for c in bounds], "rule_idx", "type", "values", F.lit(True).alias("is_source"))
+    # The ranges that hold the allowed values are looked up together with those the rules apply to, and only cells that count are written.
+    found = cells_in_ranges(cells, targets.unionByName(sources), sheet, carry)
+    found = durable_cut(found.filter(other | condition_holds(F.col("type"), F.col("values"), F.col("value"))).drop("values"))
+    direct = found.filter(~other).select(*cells.columns, "rule_idx")
+    allowed = found.filter(other & F.col("is_source")).select("rule_idx", "value").distinct()
+    listed = found.filter(other & ~F.col("is_source")).join(allowed, ["rule_idx", "value"], "left_semi")
     return direct.unionByName(listed.select(*direct.columns))
 
 

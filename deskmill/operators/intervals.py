@@ -1,48 +1,124 @@
-"""Joins on intervals, by buckets and equality instead of comparing all pairs."""
+"""Joins on intervals, by equality on the nodes of a tree instead of comparing all pairs.
+
+A sheet is cut into tiles, and rows and columns of tiles are the leaves of a tree each, in which a node has 16 children. A
+rectangle is filed at the nodes that cover its rows, times those that cover its columns: a short one at its tiles, a longer one at some
+nodes per level, an open one at the nodes up to the next power of 16 and at a tail, which stands for all that lies beyond. A
+cell looks at its ancestors on the levels that are in use, and meets each rectangle that covers its tile at one of them.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Bucket widths in rows. An interval is filed at the first width it fits in, so that it meets
-# at most two buckets there; longer and open-ended ones are filed once per sheet.
-WIDTHS = (64, 4096, 262144)
-OPEN_LEVEL = len(WIDTHS)
+# Rows and columns of one tile.
+TILE = (1024, 16)
+# A node has 2 ** STEP children; LEVELS of them are enough for 2 ** 32 tiles, and places beyond count as the last tile.
+STEP, LEVELS = 4, 8
+LAST_TILE = (1 << STEP * LEVELS) - 1
+# Rectangles over at most so many tiles are filed at the tiles themselves.
+SHORT = 16
+# The tail of m stands above the nodes, at the level TAIL + m: it covers the tiles with more than m digits to the base 16.
+TAIL = LEVELS + 1
+# Nodes from this level on hold the cells of many tiles, which are dealt to so many parts; rules are in all of them.
+DEALT_LEVEL, PARTS = 2, 8
+
+
+def _shifted(value: Column, by: Column, left: bool = False) -> Column:
+    return F.call_function("shiftleft" if left else "shiftright", value, by.cast("int"))
+
+
+def _digits(tile: Column) -> Column:
+    """Digits of a tile number to the base 16; 0 has none."""
+    return F.when(tile == 0, F.lit(0)).otherwise(F.length(F.hex(tile)))
+
+
+def _tile(place: Column, size: int) -> Column:
+    return F.greatest(F.least(F.floor(place / size), F.lit(LAST_TILE)), F.lit(0)).cast("bigint")
+
+
+def _node(level: Column, node: Column) -> Column:
+    return F.struct(level.cast("int").alias("level"), node.cast("bigint").alias("node"))
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _run(low: Column, end: Column) -> Column:
+    return F.when(low < end, F.sequence(low, end - 1)).otherwise(F.array().cast("array<bigint>"))
+
+
+def cover(low: Column, high: Column, size: int) -> Column:
+    """Nodes (``level``, ``node``) that together cover the tiles of the places from ``low`` (null: 0) to before ``high`` (null: open) once each."""
+
+    def at(first: Column, end: Column, level: Column) -> Column:
+        bits = level * STEP
+        lo = _shifted(first + _shifted(F.lit(1).cast("bigint"), bits, True) - 1, bits)
 
+        def nodes(span: Column) -> Column:
+            lo, hi = span["lo"], span["hi"]
+            # Whole parents are left to the level above, if there is one.
+            up, down = _shifted(_shifted(lo + ((1 << STEP) - 1), F.lit(STEP)), F.lit(STEP), True), _shifted(_shifted(hi, F.lit(STEP)), F.lit(STEP), True)
+            return F.when((up >= down) | (level == LEVELS - 1), _run(lo, hi)).otherwise(F.concat(_run(lo, up), _run(down, hi)))
 
-def _level(length: Column) -> Column:
-    level = F.lit(OPEN_LEVEL)
-    for number in reversed(range(OPEN_LEVEL)):
-        level = F.when(length <= WIDTHS[number], F.lit(number)).otherwise(level)
-    return level
+        return F.transform(_with(F.struct(lo.alias("lo"), _shifted(end, bits).alias("hi")), nodes), lambda n: _node(level, n))
 
+    def nodes(place: Column) -> Column:
+        first, last, digits = place["first"], place["last"], place["digits"]
+        # An open range is closed at the next power of 16; the tail has the rest.
+        end = F.when(last.isNotNull(), last + 1).when(first == 0, F.lit(0).cast("bigint")).otherwise(_shifted(F.lit(1).cast("bigint"), digits * STEP, True))
+        levels = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), lambda level: at(first, end, level)))
+        tail = F.array(_node(TAIL + F.when(first == 0, F.lit(-1)).otherwise(digits), F.lit(0)))
+        short = F.transform(F.sequence(first, F.coalesce(last, first)), lambda n: _node(F.lit(0), n))
+        return F.when(last.isNull(), F.concat(levels, tail)).when(last - first < SHORT, short).otherwise(levels)
 
-def _bucket(row: Column, level: int) -> Column:
-    return F.lit(0) if level == OPEN_LEVEL else F.floor(row / WIDTHS[level]).cast("int")
+    first = _tile(F.coalesce(low, F.lit(0)), size)
+    last = F.when(high.isNotNull(), _tile(high - 1, size))
+    return _with(F.struct(first.alias("first"), last.alias("last"), _digits(first).alias("digits")), nodes)
 
 
-def _filed(ranges: DataFrame, sheet: str, carry: Sequence[str]) -> tuple[DataFrame, list[int]]:
-    """Ranges filed under (sheet, level, bucket), and the levels that occur (at most four)."""
-    bounded = F.col("r1").isNotNull()
+def ancestor(place: Column, size: int, level: Column) -> Column:
+    """The node of a level that holds a place; null where a tail does not."""
+    tile = _tile(place, size)
+    return F.when(level < LEVELS, _shifted(tile, level * STEP)).when(_digits(tile) > level - TAIL, F.lit(0).cast("bigint"))
+
+
+def _filed(ranges: DataFrame, sheet: str, carry: Sequence[str]) -> DataFrame:
+    """Ranges with a row for each key they are filed under: sheet, node of rows, node of columns, part."""
     low = F.coalesce("r0", F.lit(0))
-    levelled = ranges.filter(~bounded | (F.col("r1") > low)).select(
-        F.col(sheet).alias("_sheet"),
-        "r0",
-        "r1",
-        "c0",
-        "c1",
-        *carry,
-        F.when(bounded, _level(F.col("r1") - low)).otherwise(F.lit(OPEN_LEVEL)).alias("_level"),
+    left = F.coalesce("c0", F.lit(0))
+    some = (F.col("r1").isNull() | (F.col("r1") > F.greatest(low, F.lit(0)))) & (F.col("c1").isNull() | (F.col("c1") > F.greatest(left, F.lit(0))))
+    rows = ranges.filter(some).select(F.col(sheet).alias("_sheet"), "r0", "r1", "c0", "c1", *carry, F.explode(cover(F.col("r0"), F.col("r1"), TILE[0])).alias("_rows"))
+    nodes = rows.withColumn("_columns", F.explode(cover(F.col("c0"), F.col("c1"), TILE[1])))
+    parts = F.when(F.col("_rows.level") >= DEALT_LEVEL, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    return nodes.withColumn("_part", F.explode(parts))
+
+
+_KEYS = {"_row_level": "_rows.level", "_row_node": "_rows.node", "_column_level": "_columns.level", "_column_node": "_columns.node", "_part": "_part"}
+
+
+def _looked_up(cells: DataFrame, rules: DataFrame) -> DataFrame:
+    """Each cell with a row for each key it may meet ranges at.
+
+    The levels in use are found while the query runs; there are at most as many as pairs of levels.
+    """
+    used = rules.agg(F.collect_set(F.struct(F.col("_rows.level").alias("rows"), F.col("_columns.level").alias("columns")))).scalar()
+    dealt = F.pmod(F.xxhash64(_tile(F.col("row"), TILE[0]), _tile(F.col("col"), TILE[1])), F.lit(PARTS)).cast("int")
+    levels = cells.withColumn("_used", used).withColumn("_level", F.explode("_used"))
+    row, column = F.col("_level.rows"), F.col("_level.columns")
+    keys = levels.select(
+        *cells.columns,
+        row.alias("_row_level"),
+        ancestor(F.col("row"), TILE[0], row).alias("_row_node"),
+        column.alias("_column_level"),
+        ancestor(F.col("col"), TILE[1], column).alias("_column_node"),
+        F.when(row >= DEALT_LEVEL, dealt).otherwise(F.lit(0)).alias("_part"),
     )
-    used = [r[0] for r in levelled.select("_level").distinct().collect()] or [OPEN_LEVEL]
-    spans = F.lit(None).cast("array<int>")
-    for level in used:
-        first, last = _bucket(low, level), _bucket(F.col("r1") - 1, level)
-        spans = F.when(F.col("_level") == level, F.sequence(first, last)).otherwise(spans)
-    return levelled.withColumn("_bucket", F.explode(spans)), sorted(used)
+    return keys.filter(F.col("_row_node").isNotNull() & F.col("_column_node").isNotNull())
 
 
 def _inside(sheet: str) -> Column:
@@ -57,6 +133,15 @@ def _inside(sheet: str) -> Column:
     )
 
 
+def _met(cells: DataFrame, ranges: DataFrame, sheet: str, carry: Sequence[str], how: str) -> DataFrame:
+    filed = _filed(ranges, sheet, carry)
+    rules = filed.select("_sheet", "r0", "r1", "c0", "c1", *carry, *[F.col(c).alias(k) for k, c in _KEYS.items()])
+    same = _inside(sheet)
+    for k in _KEYS:
+        same = same & (F.col(f"cells.{k}") == F.col(f"rules.{k}"))
+    return _looked_up(cells, filed).alias("cells").join(rules.alias("rules"), same, how)
+
+
 def cells_in_ranges(
     cells: DataFrame,
     ranges: DataFrame,
@@ -65,42 +150,18 @@ def cells_in_ranges(
 ) -> DataFrame:
     """Cells inside half-open rectangles ``[r0, r1) x [c0, c1)``; a null bound is open.
 
-    One row per (cell, range that holds it), with the ``carry`` columns of the range. Both sides
-    are joined on (sheet, level, bucket of the row); only the levels that occur are used.
+    One row per (cell, range that holds it), with the ``carry`` columns of the range. Rows and columns count from 0. Both sides
+    are joined on (sheet, node of the rows, node of the columns), so that a sheet is spread over its tiles.
     """
-    rules, used = _filed(ranges, sheet, carry)
-    row = F.col("row")
-    if len(used) == 1:
-        placed = cells.withColumns({"_level": F.lit(used[0]), "_bucket": _bucket(row, used[0])})
-    else:
-        keys = [F.struct(F.lit(v).alias("_level"), _bucket(row, v).alias("_bucket")) for v in used]
-        placed = cells.withColumn("_key", F.explode(F.array(*keys))).select(
-            *cells.columns, "_key._level", "_key._bucket"
-        )
-    same_place = (F.col("cells._level") == F.col("rules._level")) & (
-        F.col("cells._bucket") == F.col("rules._bucket")
-    )
-    return (
-        placed.alias("cells")
-        .join(rules.alias("rules"), same_place & _inside(sheet), "inner")
-        .select(*[F.col(f"cells.{c}") for c in cells.columns], *[F.col(f"rules.{c}") for c in carry])
-    )
+    met = _met(cells, ranges, sheet, carry, "inner")
+    return met.select(*[F.col(f"cells.{c}") for c in cells.columns], *[F.col(f"rules.{c}") for c in carry])
 
 
 def split_by_ranges(cells: DataFrame, ranges: DataFrame, sheet: str = "sheet_id") -> tuple[DataFrame, DataFrame]:
-    """Cells inside at least one rectangle, and the others; every cell once.
-
-    One semi and one anti join per level that occurs, so no cell is multiplied.
-    """
-    rules, used = _filed(ranges, sheet, ())
-    inside, rest = None, cells
-    for level in used:
-        at_level = rules.filter(F.col("_level") == level).alias("rules")
-        on = _inside(sheet) & (_bucket(F.col("cells.row"), level) == F.col("rules._bucket"))
-        hit = rest.alias("cells").join(at_level, on, "left_semi")
-        inside = hit if inside is None else inside.unionByName(hit)
-        rest = rest.alias("cells").join(at_level, on, "left_anti")
-    return inside, rest
+    """Cells inside at least one rectangle, and the others; every cell once."""
+    places = [sheet, "row", "col"]
+    hits = _met(cells.select(*places), ranges, sheet, (), "left_semi").select(*places).distinct()
+    return cells.join(hits, places, "left_semi"), cells.join(hits, places, "left_anti")
 
 
 def overlap_pairs(

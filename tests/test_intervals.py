@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from deskmill.operators.filters import cell_conditions
-from deskmill.operators.intervals import cells_in_ranges, overlap_pairs, split_by_ranges
+from deskmill.operators import intervals
+from deskmill.operators.intervals import ancestor, cells_in_ranges, cover, overlap_pairs, split_by_ranges
 from deskmill.sources.sheets import write_range
 
 CELL = "sheet_id long, row long, col int, value string"
@@ -125,3 +126,55 @@ def test_write_range(spark, tmp_path):
     assert cells.filter(F.col("value") == "old").count() == 9
     with pytest.raises(ValueError):
         write_range(cells, str(tmp_path / "c"), ranges, mode="append")
+
+
+def test_every_place_has_one_ancestor_in_a_cover(spark):
+    rng = random.Random(3)
+    spots = [0, 1, 15, 16, 17, 255, 256, 300, 4095, 4096, 70_000]
+    spans = [(i, lo, None if i % 4 == 0 else lo + rng.choice([1, 2, 15, 16, 17, 200, 256, 5000, 70_000])) for i, lo in enumerate(rng.choice([*spots, rng.randrange(70_000)]) for _ in range(120))]
+    spans += [(200, None, None), (201, None, 5), (202, 1 << 41, None), (203, 0, 1 << 50)]
+    places = sorted({p + d for p in [*spots, 65_536, 1_000_000, 1 << 41] for d in (-1, 0, 1) if p + d >= 0} | {rng.randrange(150_000) for _ in range(40)})
+    df = spark.createDataFrame(spans, "i int, a long, b long").withColumn("n", F.explode(cover(F.col("a"), F.col("b"), 1)))
+    assert df.groupBy("i").count().agg(F.max("count")).first()[0] <= 2 * 15 * intervals.LEVELS
+    asked = df.crossJoin(spark.createDataFrame([(p,) for p in places], "p long")).filter(ancestor(F.col("p"), 1, F.col("n.level")) == F.col("n.node"))
+    got = {(r.i, r.p): r["count"] for r in asked.groupBy("i", "p").count().collect()}
+    beyond = intervals.LAST_TILE  # places beyond the last tile count as in it
+    want = {(i, p): 1 for i, a, b in spans for p in places if min(p, beyond) >= min(a or 0, beyond) and (b is None or min(p, beyond) <= min(b - 1, beyond))}
+    assert got == want
+
+
+def test_open_rules_of_a_hot_sheet_are_spread(spark):
+    cells = spark.range(400_000).selectExpr("7L AS sheet_id", "id * 5 AS row", "CAST(id % 40 AS INT) AS col", "'x' AS value")
+    rules = spark.range(10_000).selectExpr("id AS rule_idx", "7L AS sheet_id", "IF(id % 3 = 0, 0, pmod(hash(id), 2000000)) AS r0", "CAST(NULL AS LONG) AS r1", "CAST(NULL AS INT) AS c0", "CAST(NULL AS INT) AS c1")
+    spark.sparkContext.setJobGroup("planning", "ranges")
+    cells_in_ranges(cells, rules)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext._jsc.sc().clearJobGroup()
+    filed = intervals._filed(rules, "sheet_id", ("rule_idx",))
+    keys = list(intervals._KEYS)
+    on_rules = filed.select(*[F.col(c).alias(k) for k, c in intervals._KEYS.items()]).groupBy(*keys).agg(F.count("*").alias("rules"))
+    work = intervals._looked_up(cells, filed).groupBy(*keys).agg(F.count("*").alias("cells")).join(on_rules, keys)
+    pairs = [r.cells * r.rules for r in work.collect()]
+    want = spark.range(400_000).selectExpr("id * 5 AS row").count() * (10_000 // 3) + 0
+    assert sum(pairs) > want and len(pairs) > 100 and max(pairs) < 0.1 * sum(pairs)
+    # A rule is filed at some nodes per level, not at all its tiles.
+    assert filed.count() < 10_000 * 150
+
+
+def test_conditions_join_the_cells_once(spark):
+    import __spark_entry__ as entry
+
+    seen = []
+
+    def counted(df):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    from deskmill.operators import filters
+
+    cut, filters.durable_cut = filters.durable_cut, counted
+    try:
+        rest = entry.queries()["f8_cell_conditions"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        filters.durable_cut = cut
+    assert len(seen) == 1 and seen[0].count("_row_node") and "lineitem" not in rest

@@ -19,8 +19,14 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
 
 
+# What a Python worker is given at a time, rows and bytes; texts vary in length, so both are bounded.
+ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
 def ready(spark: SparkSession) -> SparkSession:
     """Set the session up, and let Python workers import this library from where the driver has it."""
+    for key, value in ARROW_CONF.items():
+        spark.conf.set(key, value)
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if (root := str(Path(deskmill.__file__).resolve().parent.parent)) not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])

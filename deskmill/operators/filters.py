@@ -15,6 +15,7 @@ from deskmill.functions.addresses import cell_label
 from deskmill.functions.sharing import SHARE_ROLES, SHARE_TYPES, is_public
 from deskmill.functions.text import host, stripped
 from deskmill.functions.times import is_rfc3339, literal_instant
+from deskmill.operators.grams import Q, candidates, needle_tokens, text_posts
 from deskmill.operators.intervals import cells_in_ranges
 from deskmill.session import durable_cut
 
@@ -44,6 +45,25 @@ def fulltext_contains(df: DataFrame, columns: Sequence[str], phrase: str) -> Dat
     return df.filter(reduce(operator.or_, hits))
 
 
+def fulltext_phrases(df: DataFrame, columns: Sequence[str], phrases: DataFrame, key: str) -> DataFrame:
+    """Pairs of a record and a phrase it holds in any of the columns, whatever the case, for tables of phrases of any size.
+
+    ``phrases`` has ``phrase_id`` and ``phrase``; ``key`` names the records. A phrase is filed under its rarest q-gram and held against the records that
+    have it. Blank phrases find nothing. The result has the columns of ``df``, ``phrase_id`` and ``phrase``.
+    """
+    needle = F.lower("phrase")
+    wanted = phrases.filter(F.coalesce(needle, F.lit("")) != "").select("phrase_id", "phrase", F.lit(0).alias("part"), needle_tokens("", needle).alias("tokens"), (F.length(needle) < Q).alias("is_short"))
+    text = F.concat_ws("\n", *[F.lower(c) for c in columns])
+
+    def posts(short: Column) -> DataFrame:
+        return text_posts(df, [key], "", text, short)
+
+    pairs = candidates(posts, wanted, [], key, "phrase_id")
+    joined = df.join(pairs, key).join(phrases.select("phrase_id", "phrase"), "phrase_id")
+    hits = [F.coalesce(F.contains(F.lower(c), needle), F.lit(False)) for c in columns]
+    return joined.filter(reduce(operator.or_, hits)).select(*df.columns, "phrase_id", "phrase")
+
+
 def time_range(
     df: DataFrame, ts: str, now: str, tmin: str | None = None, tmax: str | None = None
 ) -> DataFrame:

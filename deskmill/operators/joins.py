@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from deskmill.functions.scopes import HIERARCHY, expanded
 from deskmill.functions.sharing import is_public
-from deskmill.operators.intervals import overlap_pairs
+from deskmill.operators import grams as grams_
+from deskmill.operators.intervals import LEVELS, TAIL, ancestor, cover, overlap_pairs
 from deskmill.operators.nested import hit_details
 from deskmill.operators.paging import top_per_group
 from deskmill.operators.running import Running, by_position, running
+from deskmill.session import durable_cut
 
 # The kinds of a shortcut and of a folder, and the longest chain that is followed.
 SHORTCUT_TYPE = "application/vnd.google-apps.shortcut"
@@ -458,13 +460,67 @@ def apply_filter_rules(messages: DataFrame, rules: Sequence[dict[str, Any]]) ->
     ).drop("_hits")
 
 
-def apply_rule_table(messages: DataFrame, rules: DataFrame, mailbox: str = "mailbox") -> DataFrame:
+# Text criteria of a rule, and the text that must hold them; a query may stand in the subject or in the text.
+_RULE_TEXTS = {"from": "sender", "to": "recipients", "subject": "subject", "query": "any"}
+
+
+def _told(criterion: str) -> Column:
+    return F.coalesce(F.col(f"rule.{criterion}"), F.lit("")) != ""
+
+
+def _by_query() -> Column:
+    """Whether a rule is filed by its query: whole texts are looked through only where no address or subject is asked for."""
+    return _told("query") & ~(_told("from") | _told("to") | _told("subject"))
+
+
+def _rule_tokens(own: DataFrame) -> DataFrame:
+    """``tokens`` of each rule: q-grams of its texts, else the nodes of its sizes, else what is marked or all."""
+    size, larger = F.col("rule.size"), F.coalesce(F.lower("rule.size_comparison") != "smaller", F.lit(True))
+    low, high = F.when(larger, size + 1), F.when(~larger, F.greatest(size, F.lit(0)))
+    sizes = F.transform(cover(low, high, 1), _size_token)
+    needles = {c: F.lower(F.col(f"rule.{c}")) for c in _RULE_TEXTS}
+    told = {c: _by_query() if c == "query" else _told(c) for c in needles}
+    none = F.array().cast("array<string>")
+    grams = F.concat(*[F.when(told[c], grams_.needle_tokens(_RULE_TEXTS[c], needles[c])).otherwise(none) for c in _RULE_TEXTS])
+    plain = F.when(F.coalesce(F.col("rule.has_attachment"), F.lit(False)), F.lit("attachment")).otherwise(F.lit("all"))
+    # A rule with sizes only must meet each of their nodes, so it is looked for in several parts.
+    some_text = reduce(operator.or_, told.values())
+    is_short = reduce(operator.or_, [told[c] & (F.length(needles[c]) < grams_.Q) for c in needles])
+    texts = own.filter(some_text).select("*", F.lit(0).alias("part"), grams.alias("tokens"), is_short.alias("is_short"))
+    others = own.filter(~some_text).select("*", F.posexplode(F.when(size.isNotNull(), sizes).otherwise(F.array(plain))).alias("part", "token"))
+    return texts.unionByName(others.select(*own.columns, "part", F.array("token").alias("tokens"), F.lit(False).alias("is_short")))
+
+
+def _size_token(node: Column) -> Column:
+    return F.concat(F.lit("size|"), node["level"].cast("string"), F.lit("|"), node["node"].cast("string"))
+
+
+def _mail_posts(messages: DataFrame, mailbox: str, key: str, short: Column, queried: Column) -> DataFrame:
+    """The tokens of each message: q-grams of its texts, nodes of its size, and marks."""
+    whole = F.when(queried, F.concat_ws("\n", "_subject", "_text"))
+    fields = {"sender": F.col("_sender"), "recipients": F.col("_recipients"), "subject": F.col("_subject"), "any": whole}
+    texts = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.coalesce(t, F.lit("")).alias("text")) for f, t in fields.items()]))
+    told = messages.select(mailbox, key, texts.alias("t"))
+    grams = grams_.text_posts(told, [mailbox, key], F.col("t.field"), F.col("t.text"), short)
+    levels = [*range(LEVELS), *range(TAIL - 1, TAIL + LEVELS + 1)]
+    nodes = F.transform(F.array(*[F.lit(x) for x in levels]), lambda level: F.struct(level.alias("level"), ancestor(F.col("size"), 1, level).alias("node")))
+    marks = F.array(F.lit("all"), F.when(F.col("has_attachment"), F.lit("attachment")))
+    plain = F.array_compact(F.concat(marks, F.transform(nodes, _size_token)))
+    return grams.unionAll(messages.select(mailbox, key, F.explode(plain).alias("token")))
+
+
+def apply_rule_table(messages: DataFrame, rules: DataFrame, mailbox: str = "mailbox", key: str = "message_id") -> DataFrame:
     """Pairs of message and rule of the same mailbox where the rule holds, for rule tables of any size.
 
-    Every mailbox has its own rules, so the join is on the mailbox and the criteria filter it.
+    ``key`` names the messages. A rule is filed under the rarest q-gram of its texts in the mailbox, one without texts under the nodes of its sizes
+    or a mark; only the messages with that token are held against it.
     """
-    own = rules.select(mailbox, F.struct(*RULE_COLUMNS).alias("rule"))
-    joined = _with_folded_text(messages).join(own, mailbox).alias("m")
+    folded = _with_folded_text(messages)
+    number = durable_cut(rules.select(mailbox, F.struct(*RULE_COLUMNS).alias("rule")).withColumn("rule_no", F.monotonically_increasing_id()))
+    queried = number.agg(F.coalesce(F.bool_or(_by_query()), F.lit(False))).scalar()
+    pairs = grams_.candidates(lambda short: _mail_posts(folded, mailbox, key, short, queried), _rule_tokens(number), [mailbox], key, "rule_no")
+    met = pairs.join(number, [mailbox, "rule_no"])
+    joined = folded.join(met, [mailbox, key]).alias("m")
     criteria = {c: F.col(f"rule.{c}") for c in RULE_COLUMNS}
     return joined.filter(_rule_holds(criteria)).select(
         *[F.col(f"m.{c}") for c in messages.columns], "rule.rule_id", "rule.add_labels", "rule.remove_labels", "rule.forward"

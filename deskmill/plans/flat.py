@@ -33,6 +33,19 @@ def _fulltext(spark, d):
     return filters.fulltext_contains(docs, ["text", "source"], "THE the").select("doc_id", "lang")
 
 
+def _phrases(spark, d):
+    """Beginnings of benchmark items, names of nations, and sources."""
+
+    def named(rows, mark, key, phrase):
+        return rows.select(F.concat(F.lit(mark), F.col(key).cast("string")).alias("phrase_id"), phrase.alias("phrase"))
+
+    docs = read_table(spark, d, "documents").select("doc_id", "text", "source")
+    phrases = named(read_table(spark, d, "benchmark"), "start ", "item_id", F.substring("text", 1, 25))
+    phrases = phrases.unionByName(named(read_table(spark, d, "nation"), "name ", "n_nationkey", F.col("n_name")))
+    phrases = phrases.unionByName(named(docs.select("source").distinct(), "source ", "source", F.upper("source")))
+    return filters.fulltext_phrases(docs, ["text", "source"], phrases, "doc_id").select("doc_id", "phrase_id")
+
+
 def _time_range(spark, d):
     events = read_table(spark, d, "events")
     bounded = filters.time_range(events, "ts", NOW, "2024-01-10", "2024-01-20T06:30:00+02:00")
@@ -171,6 +184,7 @@ def _preview(spark, d):
 QUERIES = {
     "f1_filter_files": _filter_files,
     "f2_fulltext_contains": _fulltext,
+    "f2_fulltext_phrases": _phrases,
     "f3_time_range": _time_range,
     "f4_filter_tasks": _filter_tasks,
     "f5_relative_date": _relative_date,
@@ -193,6 +207,10 @@ ORACLES = {
 SELECT doc_id, source, n_chars FROM documents WHERE lang = 'en' AND source <> 'src3' AND n_chars > 300
   AND n_chars < 9000 AND contains(text, 'the') AND NOT n_chars > 1000""",
     "f2_fulltext_contains": "SELECT doc_id, lang FROM documents WHERE lower(text) LIKE '%the the%' OR lower(source) LIKE '%the the%'",
+    "f2_fulltext_phrases": """
+WITH p AS (SELECT 'start ' || item_id AS phrase_id, substr(text, 1, 25) AS phrase FROM benchmark
+           UNION ALL SELECT 'name ' || n_nationkey, n_name FROM nation UNION ALL SELECT 'source ' || source, upper(source) FROM (SELECT DISTINCT source FROM documents))
+SELECT doc_id, phrase_id FROM documents d JOIN p ON phrase <> '' AND (contains(lower(d.text), lower(phrase)) OR contains(lower(d.source), lower(phrase)))""",
     "f3_time_range": """
 SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-20 04:30:00'
 UNION ALL SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-30 00:00:00'""",

@@ -106,7 +106,7 @@ def task_rows(spark, d):
 
 def _task_tree(spark, d):
     return trees.task_tree(task_rows(spark, d)).select(
-        "id", "parent", "depth", "root", "path", "is_placeholder", "in_cycle"
+        "id", "parent", "depth", "root", "place", "n_below", "is_placeholder", "in_cycle", "below_cycle", "cycle_id"
     )
 
 
@@ -273,8 +273,8 @@ nodes AS (SELECT *, false AS is_placeholder FROM tasks
   WHERE parent IS NOT NULL AND parent NOT IN (SELECT id FROM tasks)),
 keyed AS (SELECT *, CASE WHEN position IS NULL THEN '1' ELSE '0' || lpad(CAST(position AS VARCHAR), 20, '0') END || ':'
   || lpad(CAST(id AS VARCHAR), 20, '0') AS seg FROM nodes),
-walk AS (SELECT id, id AS root, 0 AS depth, seg AS path FROM keyed WHERE parent IS NULL
-  UNION ALL SELECT k.id, w.root, w.depth + 1, w.path || ' ' || k.seg FROM keyed k JOIN walk w ON k.parent = w.id)
+walk AS (SELECT id, id AS root, 0 AS depth, seg AS path, CAST([] AS BIGINT[]) AS above FROM keyed WHERE parent IS NULL
+  UNION ALL SELECT k.id, w.root, w.depth + 1, w.path || ' ' || k.seg, list_append(w.above, w.id) FROM keyed k JOIN walk w ON k.parent = w.id)
 """
 
 RUNS_SQL = """
@@ -403,8 +403,11 @@ SELECT form_id, question_id, question_id <> 'opening' AS required,
   round((SELECT count(*) FROM answers a WHERE a.form_id = q.form_id AND a.question_id = q.question_id AND given)
     / (SELECT count(*) FROM conversations WHERE role = form_id), 6) AS answered_rate FROM q""",
     "t1_task_tree": f"""
-WITH RECURSIVE {TASKS_SQL}
-SELECT k.id, parent, depth, root, path, is_placeholder, path IS NULL AS in_cycle FROM keyed k LEFT JOIN walk USING (id)""",
+WITH RECURSIVE {TASKS_SQL}, n AS (SELECT id, depth, root, row_number() OVER (ORDER BY path) AS place FROM walk),
+b AS (SELECT id, count(*) AS n_below FROM (SELECT unnest(above) AS id FROM walk) GROUP BY 1),
+c AS (SELECT id, id AS cycle_id FROM keyed WHERE parent = id UNION ALL SELECT k.id, c.cycle_id FROM keyed k JOIN c ON k.parent = c.id AND k.parent <> k.id)
+SELECT k.id, parent, depth, root, place, CASE WHEN place IS NOT NULL THEN coalesce(n_below, 0) END AS n_below, is_placeholder, coalesce(c.id IS NOT NULL AND parent = k.id, false) AS in_cycle, coalesce(c.id IS NOT NULL AND parent <> k.id, false) AS below_cycle, cycle_id
+FROM keyed k LEFT JOIN n ON n.id = k.id LEFT JOIN c ON c.id = k.id LEFT JOIN b ON b.id = k.id""",
     "p14_document_tabs_text": f"""
 WITH RECURSIVE {b.LINES_SQL},
 tabs AS (SELECT doc_id, pos AS tab_id, CASE WHEN pos > 0 THEN (pos - 1) // 2 END AS parent_id, text,

@@ -36,9 +36,10 @@ def test_documents_without_known_elements_have_zeros(spark):
 
 
 def test_nodes_below_an_unknown_parent_are_unreached(spark):
-    nodes = spark.createDataFrame([("a", None, "1"), ("b", "a", "2"), ("c", "zz", "3"), ("d", "c", "4")], "id string, parent string, segment string")
-    found = {r.id: (r.root, r.depth) for r in trees.resolve_paths(nodes).collect()}
+    nodes = spark.createDataFrame([("a", None, "1"), ("b", "a", "2"), ("c", "zz", "3"), ("d", "c", "4")], "id string, parent string, sibling string")
+    found = {r.id: (r.root, r.depth) for r in trees.resolve_roots(nodes).collect()}
     assert found == {"a": ("a", 0), "b": ("a", 1), "c": (None, None), "d": (None, None)}
+    assert {r.id: (r.place, r.n_below) for r in trees.tour(nodes).collect()} == {"a": (1, 1), "b": (2, 0), "c": (None, None), "d": (None, None)}
 
 
 def test_tabs_of_an_unknown_parent_come_last(spark):

@@ -85,13 +85,14 @@ def test_task_order(spark):
         ("b2", "b", 9, None, None), ("b1", "b", 1, None, None), ("b1x", "b1", "99999999999999999999", None, None),
         ("orphan", "gone", 1, None, None), ("c1", "c2", 1, None, None), ("c2", "c1", 1, None, None), ("under", "c1", 1, None, None),
     )
-    rows = trees.ordered_tree(tasks).filter("NOT in_cycle").collect()
+    rows = trees.ordered_tree(tasks).filter("root IS NOT NULL").collect()
     assert [(r.id, r.depth) for r in rows] == [
         ("b", 0), ("b1", 1), ("b1x", 2), ("b2", 1), ("a", 0), ("gone", 0), ("orphan", 1), ("late", 0),
     ]
     assert [r.id for r in rows if r.is_placeholder] == ["gone"]
-    cyclic = {r.id for r in trees.task_tree(tasks).filter("in_cycle").collect()}
-    assert cyclic == {"c1", "c2", "under"}
+    assert [(r.place, r.n_below) for r in rows] == [(1, 3), (2, 1), (3, 0), (4, 0), (5, 0), (6, 1), (7, 0), (8, 0)]
+    cyclic = {r.id: (r.in_cycle, r.below_cycle, r.cycle_id) for r in trees.task_tree(tasks).filter("root IS NULL").collect()}
+    assert cyclic == {"c1": (True, False, "c1"), "c2": (True, False, "c1"), "under": (False, True, "c1")}
 
 
 def test_rollup(spark):
@@ -108,13 +109,65 @@ def test_deep_chain_takes_few_rounds(spark, monkeypatch):
     cuts = []
     real = trees.durable_cut
     monkeypatch.setattr(trees, "durable_cut", lambda df: cuts.append(1) or real(df))
-    chain = spark.range(300).select(
-        "id", F.when(F.col("id") > 0, F.col("id") - 1).alias("parent"), F.col("id").cast("string").alias("segment")
-    )
-    got = {r.id: r for r in trees.resolve_paths(chain).collect()}
-    assert len(got) == 300 and all(got[i].depth == i and got[i].root == 0 for i in got)
-    assert got[5].path == "0 1 2 3 4 5"
-    assert len(cuts) <= 11
+    chain = spark.range(100_000).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("parent"), F.lit("same").alias("sibling"))
+    got = trees.tour(chain)
+    # Two walks of 17 rounds; a row holds numbers only, however deep it lies.
+    assert len(cuts) <= 40 and dict(got.dtypes).keys() == {"id", "root", "depth", "place", "n_below"} and "string" not in dict(got.dtypes).values()
+    assert got.filter("depth <> id OR place <> id + 1 OR n_below <> 99999 - id OR root <> 0").count() == 0 and got.count() == 100_000
+
+
+def _forest(rng, n):
+    """Random parents: trees, some chains, and some cycles with trails that lead to them."""
+    parents = {}
+    for i in range(n):
+        parents[i] = rng.choice([None, rng.randrange(n), rng.randrange(i + 1), max(0, i - 1), max(0, i - 1)])
+    parents |= {0: None, n - 1: n - 2, n - 2: n - 3, n - 3: n - 1, n - 4: n - 4, n - 5: n - 1, n - 6: n - 5}
+    return parents
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_tours_and_cycles_of_random_links(spark, seed):
+    rng = random.Random(seed)
+    n = 160
+    parents, keys = _forest(rng, n), {i: rng.choice("abc") for i in range(n)}
+    children = {}
+    for i, p in parents.items():
+        children.setdefault(p, []).append(i)
+    place, want = 0, {}
+
+    def go(i, root, depth):
+        nonlocal place
+        place += 1
+        own = place
+        for c in sorted(children.get(i, []), key=lambda c: (keys[c], c)):
+            go(c, root, depth + 1)
+        want[i] = (root, depth, own, place - own)
+
+    for top in sorted(children.get(None, []), key=lambda c: (keys[c], c)):
+        go(top, top, 0)
+    on = {}
+    for i in range(n):
+        seen, at = [], i
+        while at is not None and at not in seen:
+            seen.append(at)
+            at = parents[at]
+        if at is not None:
+            ring = seen[seen.index(at) :]
+            on[i] = (min(ring), i in ring)
+    assert on and want and len(on) + len(want) == n
+    nodes = spark.createDataFrame([(i, p, keys[i]) for i, p in parents.items()], "id long, parent long, sibling string")
+    got = {r.id: (r.root, r.depth, r.place, r.n_below) for r in trees.tour(nodes).collect()}
+    assert got == want | {i: (None,) * 4 for i in on}
+    lost = nodes.filter(F.col("id").isin(*on)).select("id", "parent")
+    assert {r.id: (r.cycle_id, r.on_cycle) for r in trees.cycles(lost).collect()} == on
+    assert trees.cycles(lost.limit(0)).count() == 0 and trees.tour(nodes.limit(0)).count() == 0
+
+
+def test_a_parent_with_most_nodes(spark):
+    nodes = spark.range(20_000).selectExpr("id", "IF(id = 0, NULL, IF(id < 15000, 0, id - 14000)) AS parent", "lpad(id, 9, '0') AS sibling")
+    found = trees.tour(nodes)
+    assert found.agg(F.count_distinct("place"), F.min("place"), F.max("place")).first() == (20_000, 1, 20_000)
+    assert found.filter("id = 0").first().n_below == 19_999 and found.filter("id BETWEEN 1000 AND 5999 AND n_below <> 1").count() == 0
 
 
 def test_calendars_without_events_are_free_over_the_whole_range(spark):

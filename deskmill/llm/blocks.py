@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from deskmill.llm.common import bytes_of
 from deskmill.session import durable_cut
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 # Bytes of keys in one bucket, which is what a sorting task holds.
 BUCKET_BYTES = 8 << 20
 NO_KEY = np.iinfo(np.int64).max

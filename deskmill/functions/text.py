@@ -18,13 +18,18 @@ WHITE_CHARACTERS = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# What is dropped from a page before its text is read.
-HIDDEN_PATTERNS = [
-    r"(?is)<script\b.*?</script\s*>",
-    r"(?is)<style\b.*?</style\s*>",
-    r"(?s)<!--.*?-->",
-    r"<[^>]+>",
-]
+# One scan from left to right, as a parser reads: at each place the first kind of mark-up that begins there is dropped as a whole. A ``>``
+# inside a quoted attribute ends no tag; scripts, styles and comments reach to their own end, or to that of the page.
+_ATTRIBUTES = r"""(?:[^"'>]++|"[^"]*+"|'[^']*+')*+"""
+MARKUP = "(?is)" + "|".join(
+    [
+        r"<!--.*?(?:-->|\z)",
+        rf"<(script|style)(?=[\s/>]){_ATTRIBUTES}(?<!/)>.*?(?:</\1\s*>|\z)",
+        rf"</?[a-z]{_ATTRIBUTES}>",
+        r"<[!?/a-z][^>]*+>",
+        r"<[!?/a-z].*\z",
+    ]
+)
 
 
 def shortened(text: Column, limit: int) -> Column:
@@ -79,17 +84,19 @@ def _character(entity: Column) -> Column:
 
 def without_entities(text: Column) -> Column:
     """Named and numeric entities decoded, each once; unknown ones stay."""
-    found = F.transform(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)), _character)
-    pieces = F.zip_with(F.split(text, ENTITY, -1), found, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-    return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
+
+    def decoded(t: Column) -> Column:
+        found = F.transform(F.regexp_extract_all(t, F.lit(ENTITY), F.lit(0)), _character)
+        pieces = F.zip_with(F.split(t, ENTITY, -1), found, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+        return F.when(F.contains(t, F.lit("&")), F.array_join(pieces, "")).otherwise(t)
+
+    # In a list of one, so that what makes the text is computed once.
+    return F.element_at(F.transform(F.array(text), decoded), 1)
 
 
 def visible_text(html: Column) -> Column:
     """Text of a page: no scripts, styles, comments or tags; entities decoded; blanks collapsed."""
-    text = html
-    for pattern in HIDDEN_PATTERNS:
-        text = F.regexp_replace(text, pattern, "")
-    text = without_entities(text)
+    text = without_entities(F.regexp_replace(html, MARKUP, ""))
     return F.trim(F.regexp_replace(text, f"{WHITE}+", " "))
 
 

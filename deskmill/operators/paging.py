@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskmill.functions.text import shortened
@@ -34,9 +34,60 @@ def page_after(df: DataFrame, key: str, token: Any, n: int) -> DataFrame:
     return counted.filter(F.col("_place") <= n).select(*df.columns, (F.col("_seen") > n).alias("has_more"))
 
 
+# Ranges that a directory divides keys into, keys drawn for each border, and the rows of a range that is sorted as a whole.
+RANGES, DRAWN, RANGE_ROWS = 64, 16, 1 << 14
+
+
+def _borders(rows: DataFrame, key: str) -> list[Any]:
+    """Keys that part the rows into at most ``RANGES`` ranges of about equal size, from as many keys whatever the table's size."""
+    drawn = rows.select(key).orderBy(F.xxhash64(key), key).limit(RANGES * DRAWN)
+    found = [r[0] for r in drawn.distinct().orderBy(key).collect()]
+    return found[DRAWN::DRAWN] if len(found) > 2 * DRAWN else found[1:]
+
+
+def _range_number(key: Column, borders: list[Any], low: int, high: int) -> Column:
+    """How many borders are not above the key, by halving."""
+    if low == high:
+        return F.lit(low)
+    middle = (low + high) // 2
+    return F.when(key < F.lit(borders[middle]), _range_number(key, borders, low, middle)).otherwise(_range_number(key, borders, middle + 1, high))
+
+
+def key_at(df: DataFrame, key: str, position: int) -> Any:
+    """The key at a position, counted from 1 in the order of a unique key; null beyond the end.
+
+    Rows are counted per range of keys, and then only inside the range that holds the position, until that is small enough to be sorted. A
+    count of ranges is a few rows; a range is a filter that reaches the scan.
+    """
+    rows, size = df.filter(F.col(key).isNotNull()), None
+    while size is None or size > RANGE_ROWS:
+        borders = _borders(rows, key)
+        counts = dict(rows.select(_range_number(F.col(key), borders, 0, len(borders)).alias("n")).groupBy("n").count().collect())
+        if size is None and position > sum(counts.values()):
+            return None
+        number = 0
+        while position > counts.get(number, 0):
+            position -= counts.get(number, 0)
+            number += 1
+        if number:
+            rows = rows.filter(F.col(key) >= F.lit(borders[number - 1]))
+        if number < len(borders):
+            rows = rows.filter(F.col(key) < F.lit(borders[number]))
+        if size == counts[number]:
+            break
+        size = counts[number]
+    return rows.select(key).orderBy(key).limit(position).agg(F.max(key)).first()[0]
+
+
 def page_positions(df: DataFrame, key: str, start: int, n: int) -> DataFrame:
-    """Records ``start … start + n - 1`` (counted from 1) in the order of ``key``."""
-    return df.orderBy(key).limit(start + n - 1).orderBy(key).offset(start - 1)
+    """Records ``start … start + n - 1`` (counted from 1) in the order of ``key``, which is unique; rows without a key are left out."""
+    first = key_at(df, key, start)
+    if first is None or n < 1:
+        return df.limit(0)
+    page = df.filter(F.col(key) >= F.lit(first))
+    if n > RANGE_ROWS and (last := key_at(df, key, start + n - 1)) is not None:
+        return page.filter(F.col(key) <= F.lit(last)).orderBy(key)
+    return page.orderBy(key).limit(n) if n <= RANGE_ROWS else page.orderBy(key)
 
 
 def top_per_group(

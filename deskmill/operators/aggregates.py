@@ -206,6 +206,11 @@ def execution_metrics(runs: DataFrame, grain: str = "DAILY") -> DataFrame:
         )
         .select("w.start", "active_users", "total_executions", "failed_executions")
     )
+    return fill_buckets(counts, grain)
+
+
+def fill_buckets(counts: DataFrame, grain: str) -> DataFrame:
+    """Buckets (``start`` and counts) with empty ones in between, as ``start_time``, ``end_time`` and the counts."""
     step = F.expr(f"INTERVAL {GRAINS[grain][0]}")
     following = F.coalesce(F.lead("start").over(Window.orderBy("start")), F.col("start") + step)
     names = ("active_users", "total_executions", "failed_executions")

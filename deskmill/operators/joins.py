@@ -193,32 +193,35 @@ def patch_merge(base: DataFrame, patch: DataFrame, key: str, columns: Sequence[s
 
 
 def masked_batch_update(
-    base: DataFrame, updates: DataFrame, key: str, version: str, columns: Sequence[str]
+    base: DataFrame, updates: DataFrame, key: str, version: str, columns: Sequence[str], latest: str | None = None
 ) -> DataFrame:
     """Batch update under one mask, the union of the fields of all usable updates.
 
     Updates for unknown keys, for records without a version, or without any field are skipped. A
-    masked field an update does not give becomes null in its record.
+    masked field an update does not give becomes null in its record. Of several updates to a key the latest by the column ``latest`` counts, field by
+    field; without that column they are an error.
     """
     current = base.filter(F.col(version).isNotNull()).select(key)
     given = reduce(operator.or_, [F.col(c).isNotNull() for c in columns])
-    usable = updates.filter(given).join(current, key, "left_semi").select(key, *columns)
-    mask = usable.agg(*[F.bool_or(F.col(c).isNotNull()).alias(c) for c in columns]).first()  # one row
-    masked = [c for c in columns if mask[c]]
-    fresh = usable.select(key, *[F.col(c).alias(f"_new_{c}") for c in masked], F.lit(True).alias("updated"))
+    usable = updates.filter(given).join(current, key, "left_semi")
+    # One row, found while the update runs.
+    mask = usable.agg(F.struct(*[F.coalesce(F.bool_or(F.col(c).isNotNull()), F.lit(False)).alias(c) for c in columns])).scalar()
+    fresh = _one_per_key(usable, key, columns, latest)
+    fresh = fresh.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("updated"), mask.alias("_mask"))
     merged = base.join(fresh, key, "left").withColumn("updated", F.coalesce("updated", F.lit(False)))
     return merged.withColumns(
-        {c: F.when(F.col("updated"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in masked}
+        {c: F.when(F.col("updated") & F.col("_mask")[c], F.col(f"_new_{c}")).otherwise(F.col(c)) for c in columns}
     ).select(*base.columns, "updated")
 
 
 def apply_label_changes(items: DataFrame, changes: DataFrame, key: str = "id") -> DataFrame:
     """Labels after ``(labels ∪ add) \\ remove`` for the items listed; removal wins.
 
-    ``changes`` has one row per key with lists ``add`` and ``remove``.
+    ``changes`` has lists ``add`` and ``remove``; those of several rows of one key are put together.
     """
     none = F.array().cast("array<string>")
-    joined = items.join(changes.select(key, "add", "remove"), key, "left")
+    lists = [F.array_distinct(F.flatten(F.collect_set(c))).alias(c) for c in ("add", "remove")]
+    joined = items.join(changes.groupBy(key).agg(*lists), key, "left")
     labels = F.array_except(
         F.array_union(F.coalesce("labels", none), F.coalesce("add", none)), F.coalesce("remove", none)
     )
@@ -540,15 +543,27 @@ def rule_hits(messages: DataFrame, rules: Sequence[dict[str, Any]]) -> DataFrame
 def missing_scopes(
     grants: DataFrame, required: DataFrame, hierarchy: dict[str, list[str]] | None = None
 ) -> DataFrame:
-    """Rows of ``required (user, scope)`` that no grant of the user covers, broad grants included."""
+    """Rows of ``required (user, scope)`` that no grant of the user covers, broad grants included.
+
+    A user's grants and needs are bits of a few words, and what is lacking is one minus the other. A null scope is never covered.
+    """
     covers = HIERARCHY if hierarchy is None else hierarchy
-    held = (
-        grants.select("user", "scope")
-        .distinct()
-        .select("user", F.explode(expanded(F.col("scope"), covers)).alias("scope"))
-        .distinct()
-    )
-    return required.select("user", "scope").distinct().join(held, ["user", "scope"], "left_anti")
+    # Each scope that is asked for is a bit of a word of 64; there are few scopes, however many users.
+    asked = required.select("scope").distinct()
+    place = F.row_number().over(Window.orderBy("scope")) - 1
+    numbers = asked.select("scope", F.floor(place / 64).cast("int").alias("word"), (place % 64).alias("bit"))
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))
+    broad = grants.select("scope").distinct()
+    covered = broad.select(F.col("scope").alias("grant"), F.explode(expanded(F.col("scope"), covers)).alias("scope")).join(numbers, "scope")
+    words = covered.groupBy("grant", "word").agg(F.bit_or(one).alias("bits"))
+    held = grants.join(words, F.col("scope") == F.col("grant")).groupBy(F.col("user").alias("_user"), F.col("word").alias("_word")).agg(F.bit_or("bits").alias("_held"))
+    named = numbers.withColumnRenamed("scope", "_scope")
+    needed = required.join(named, F.col("scope").eqNullSafe(F.col("_scope"))).groupBy("user", "word").agg(F.bit_or(one).alias("needed"))
+    # What is needed and not held; only that becomes rows again.
+    lacking = needed.join(held, (F.col("user") == F.col("_user")) & (F.col("word") == F.col("_word")), "left")
+    lacking = lacking.withColumn("lacking", F.col("needed").bitwiseAND(F.bitwise_not(F.coalesce("_held", F.lit(0).cast("bigint")))))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.call_function("shiftright", F.col("lacking"), i).bitwiseAND(1) == 1)
+    return lacking.filter("lacking <> 0").select("user", "word", F.explode(bits).alias("bit")).join(numbers, ["word", "bit"]).select("user", "scope")
 
 
 def scope_check(
@@ -588,12 +603,12 @@ def files_by_name(files: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def change_report(
-    current: DataFrame, requested: DataFrame, key: str, columns: Sequence[str], blank_is_null: Sequence[str] = ()
+    current: DataFrame, requested: DataFrame, key: str, columns: Sequence[str], blank_is_null: Sequence[str] = (), latest: str | None = None
 ) -> DataFrame:
     """One row per field that really changes: ``key, field, old, new`` (as text).
 
     A field that is not requested (null) is no change; for ``blank_is_null`` columns empty text and
-    null are the same.
+    null are the same. Of several requests for a key the latest by the column ``latest`` counts, field by field; without that column they are an error.
     """
 
     def entry(c: str) -> Column:
@@ -605,7 +620,7 @@ def change_report(
         return F.when(new.isNotNull() & ~same, F.struct(F.lit(c).alias("field"), old.alias("old"), new.alias("new")))
 
     before = current.select(key, *[F.col(c).alias(f"_old_{c}") for c in columns])
-    after = requested.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns])
+    after = _one_per_key(requested, key, columns, latest).select(key, *[F.col(c).alias(f"_new_{c}") for c in columns])
     changes = F.array_compact(F.array(*[entry(c) for c in columns]))
     return (
         before.join(after, key)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from deskmill.functions.addresses import column_letters, range_bounds
 from deskmill.functions.scopes import PREFIX
-from deskmill.operators import intervals, joins
+from deskmill.operators import intervals, joins, snapshots
 from deskmill.plans import bindings as b
 from deskmill.plans.shapes import chat_messages
 from deskmill.sources.tables import read_table
@@ -335,6 +335,18 @@ def _by_name(spark, d):
     return joins.files_by_name(files, names)
 
 
+def _snapshots(spark, d):
+    """Customers as they are, and with some added, removed and changed."""
+    k, nation = F.col("c_custkey"), F.col("c_nationkey")
+    old = read_table(spark, d, "customer").select(k.alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("folder"), nation.alias("owner"))
+    i = F.col("id")
+    new = old.filter(i % 97 != 5).withColumns({
+        "name": F.when(i % 101 == 7, F.lit(None)).when(i % 103 == 8, F.upper("name")).otherwise(F.col("name")),
+        "owner": F.when(i % 107 == 9, F.col("owner") + 1).otherwise(F.col("owner")),
+    }).unionByName(old.filter(i % 109 == 10).withColumn("id", i + 10_000_000))
+    return snapshots.snapshot_changes(old, new, "id", ["name", "folder", "owner"])
+
+
 def _changes(spark, d):
     c = read_table(spark, d, "customer")
     k = F.col("c_custkey")
@@ -378,6 +390,7 @@ QUERIES = {
     "j14_files_by_name": _by_name,
     "j15_paragraphs_in_ranges": _paragraph_ranges,
     "j16_change_report": lambda s, d: _changes(s, d)[0],
+    "j16_snapshot_changes": _snapshots,
     "j16_change_counts": lambda s, d: joins.change_counts(*_changes(s, d), "id"),
 }
 
@@ -579,6 +592,14 @@ r AS (SELECT doc_id, CAST(unnest([0, 1, 2, 3, 4]) AS INTEGER) AS range_id,
 SELECT r.doc_id, range_id, coalesce(start_index, s) AS paragraph_start FROM r LEFT JOIN elements x
   ON x.doc_id = r.doc_id AND type = 'paragraph' AND end_index > s AND start_index < e""",
     "j16_change_report": f"WITH {CHANGES_SQL} SELECT * FROM changes",
+    "j16_snapshot_changes": """
+WITH o AS (SELECT c_custkey AS id, c_name AS name, CAST(c_nationkey AS VARCHAR) AS owner, c_nationkey FROM customer),
+n AS (SELECT id, CASE WHEN id % 101 = 7 THEN NULL WHEN id % 103 = 8 THEN upper(name) ELSE name END AS name,
+  CASE WHEN id % 107 = 9 THEN CAST(c_nationkey + 1 AS VARCHAR) ELSE owner END AS owner FROM o WHERE id % 97 <> 5)
+SELECT id, 'changed' AS kind, 'name' AS field, o.name AS old, n.name AS new FROM o JOIN n USING (id) WHERE o.name IS DISTINCT FROM n.name
+UNION ALL SELECT id, 'changed', 'owner', o.owner, n.owner FROM o JOIN n USING (id) WHERE o.owner IS DISTINCT FROM n.owner
+UNION ALL SELECT id, 'removed', NULL, NULL, NULL FROM o WHERE id % 97 = 5
+UNION ALL SELECT id + 10000000, 'added', NULL, NULL, NULL FROM o WHERE id % 109 = 10""",
     "j16_change_counts": f"""
 WITH {CHANGES_SQL} SELECT field, count(*) AS n_changes FROM changes GROUP BY 1
 UNION ALL SELECT '(none)', count(*) FROM req WHERE id NOT IN (SELECT id FROM changes)""",

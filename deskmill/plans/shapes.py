@@ -423,6 +423,24 @@ PAGE_PATTERNS = {
 }
 
 
+def marked_pages(spark, d):
+    """Pages with quoted signs, open ends and page properties put in by their number."""
+    k, html = F.col("page_id"), F.col("html")
+    # Attributes in any order and quotes.
+    head = F.concat(
+        F.when(k % 3 == 0, F.lit('<meta property="og:type" content="article">')).when(k % 3 == 1, F.lit("<META content='web site' property='og:type'>")).otherwise(F.lit("")),
+        F.when(k % 4 < 2, F.concat(F.lit('<meta name="x" property="article:published_time" content="2024-0'), (k % 9 + 1).cast("string"), F.lit('-11T10:00:00Z">'))).otherwise(F.lit("")),
+    )
+    tail = (
+        F.when(k % 5 == 0, F.lit("<p title='a>b' data-x=\"c > 'd'\">quoted</p>"))
+        .when(k % 5 == 1, F.lit("shown<style media=print>.x > y { } never closed <p>hidden"))
+        .when(k % 5 == 2, F.lit("<script>if (a < b) { s = '</p>' }</script >1 < 2 <b>and</b> 3"))
+        .when(k % 5 == 3, F.lit("kept <!-- open <p>hidden</p>"))
+        .otherwise(F.lit("<p title=\"odd>text</p><i class='"))
+    )
+    return read_table(spark, d, "pages").select("page_id", "url", F.concat(head, html, tail).alias("html"))
+
+
 def _named_files(spark, d):
     doc = F.col("doc_id")
     ending = (
@@ -447,6 +465,7 @@ QUERIES = {
     "p3_body_choices": lambda s, d: nested.body_choices(_bodies(s, d)),
     "p4_page_text": lambda s, d: nested.page_text(read_table(s, d, "pages")),
     "p4_page_text_corpus": lambda s, d: nested.page_text_corpus(read_table(s, d, "pages")),
+    "p4_marked_page_text": lambda s, d: nested.page_text(marked_pages(s, d)),
     "p5_attachments_inventory": lambda s, d: nested.attachments_inventory(_attachments(s, d)),
     "p5_attachment_totals": lambda s, d: nested.attachment_totals(_attachments(s, d)),
     "p6_attendee_rows": lambda s, d: nested.attendee_rows(_attendees(s, d)),
@@ -468,6 +487,7 @@ QUERIES = {
     "p16_form_answers_long": lambda s, d: nested.form_answers_long(form_responses(s, d)),
     "p16_form_answers_wide": lambda s, d: nested.form_answers_wide(form_responses(s, d), ["role", "opening", "long", "even"]),
     "p17_page_metadata": lambda s, d: nested.page_metadata(read_table(s, d, "pages"), PAGE_PATTERNS),
+    "p17_page_properties": lambda s, d: nested.page_metadata(marked_pages(s, d)),
     "p17_metadata_coverage": lambda s, d: nested.metadata_coverage(read_table(s, d, "pages"), PAGE_PATTERNS),
     "p18_classify_files": lambda s, d: nested.classify_files(_named_files(s, d)).select("doc_id", "name", "mime_type"),
     "p18_file_type_counts": lambda s, d: nested.file_type_counts(_named_files(s, d)),
@@ -476,9 +496,9 @@ QUERIES = {
 BLANK = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
 
 
-def _visible_sql(column: str) -> str:
+def _visible_sql(column: str, markup: tuple[str, ...] = (r"(?is)<script\b.*?</script\s*>", r"(?is)<style\b.*?</style\s*>", r"(?s)<!--.*?-->", "<[^>]+>")) -> str:
     sql = column
-    for pattern in (r"(?is)<script\b.*?</script\s*>", r"(?is)<style\b.*?</style\s*>", r"(?s)<!--.*?-->", "<[^>]+>"):
+    for pattern in markup:
         sql = f"regexp_replace({sql}, '{pattern}', '', 'g')"
     for entity, char in (
         ("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("copy", "©"), ("middot", "·"),
@@ -488,6 +508,25 @@ def _visible_sql(column: str) -> str:
     return f"trim(regexp_replace({sql}, '{BLANK}+', ' ', 'g'))"
 
 
+# The same scan with what this engine's patterns can say: no look-around, and a script's end without a reference.
+_ATTRIBUTES_SQL = """(?:[^"''>]|"[^"]*"|''[^'']*'')*"""
+_MARKUP_SQL = "(?is)" + "|".join(
+    [
+        r"<!--.*?(?:-->|\z)",
+        *[rf"<{t}(?:[\s/]{_ATTRIBUTES_SQL})?>.*?(?:</{t}\s*>|\z)" for t in ("script", "style")],
+        f"</?[a-z]{_ATTRIBUTES_SQL}>",
+        "<[!?/a-z][^>]*>",
+        r"<[!?/a-z].*\z",
+    ]
+)
+# The pages of marked_pages.
+_MARKED_SQL = """
+marked AS (SELECT page_id, url, html || CASE page_id % 5 WHEN 0 THEN '<p title=''a>b'' data-x="c > ''d''">quoted</p>'
+  WHEN 1 THEN 'shown<style media=print>.x > y { } never closed <p>hidden' WHEN 2 THEN '<script>if (a < b) { s = ''</p>'' }</script >1 < 2 <b>and</b> 3'
+  WHEN 3 THEN 'kept <!-- open <p>hidden</p>' ELSE '<p title="odd>text</p><i class=''' END AS html FROM pages)
+"""
+
+
 def _stripped_sql(column: str) -> str:
     return f"regexp_replace({column}, '^{BLANK}+|{BLANK}+$', '', 'g')"
 
@@ -604,6 +643,7 @@ SELECT doc_id AS msg_id, CASE WHEN doc_id % 4 = 0 THEN 'first ' || text WHEN doc
     "p3_body_choices": f"""
 WITH {BODIES_SQL} SELECT choice, count(*) AS n_messages, CAST(sum(length(content)) AS BIGINT) AS n_chars FROM final GROUP BY 1""",
     "p4_page_text": f"SELECT page_id, {HOST_SQL} AS host, {_visible_sql('html')} AS text FROM pages",
+    "p4_marked_page_text": f"WITH {_MARKED_SQL} SELECT page_id, {HOST_SQL} AS host, {_visible_sql('html', (_MARKUP_SQL,))} AS text FROM marked",
     "p4_page_text_corpus": f"""
 SELECT {HOST_SQL} AS host, count(*) AS n_pages, CAST(sum(length({_visible_sql('html')})) AS BIGINT) AS n_chars FROM pages GROUP BY 1""",
     "p5_attachments_inventory": """
@@ -697,6 +737,9 @@ UNION ALL SELECT 'unknown', count(*) FILTER (WHERE doc_id % 2 = 0) FROM document
 WITH {ANSWERS_SQL} SELECT form_id, response_id, """
     + ", ".join(f"max(answer) FILTER (WHERE question_id = '{q}') AS \"{q}\"" for q in ("role", "opening", "long", "even"))
     + " FROM answers GROUP BY 1, 2",
+    "p17_page_properties": f"""
+SELECT page_id, {HOST_SQL} AS host, CASE page_id % 3 WHEN 0 THEN 'article' WHEN 1 THEN 'web site' END AS og_type,
+  CASE WHEN page_id % 4 < 2 THEN '2024-0' || (page_id % 9 + 1) || '-11' END AS published FROM pages""",
     "p17_page_metadata": f"WITH {META_SQL} SELECT * FROM meta",
     "p17_metadata_coverage": f"""
 WITH {META_SQL} SELECT host, count(*) AS n_pages, count(charset) AS n_charset, count(title) AS n_title, count(lang) AS n_lang,

@@ -11,6 +11,7 @@ from deskmill.operators import aggregates, filters, trees
 from deskmill.plans import bindings as b
 from deskmill.session import shared_dir
 from deskmill.sources.tables import TABLES, read_table
+from deskmill.streaming.buckets import read_buckets, stream_buckets
 from deskmill.streaming.metrics import late_rows, read_run_stream, stream_execution_metrics, write_metrics
 
 
@@ -157,6 +158,19 @@ def _streamed_metrics(spark, d):
     return spark.read.schema(closed).parquet(f"{place}/out")
 
 
+def _stream_buckets(spark, d):
+    """Days and weeks of the events read as a stream; estimated users against the exact ones, as they are in the batch form."""
+    events = read_run_stream(spark, d, TABLES["events"], "events.parquet")
+    runs = events.select("ts", "user_id", (F.col("event_type") == "error").alias("failed"))
+    place = f"{shared_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    stream_buckets(runs, f"{place}/table", f"{place}/state").awaitTermination()
+    parts = [read_buckets(spark, f"{place}/table", grain).withColumn("grain", F.lit(grain)) for grain in ("DAILY", "WEEKLY")]
+    exact = _metrics(spark, d).select("grain", "start_time", F.col("active_users").alias("exact"))
+    found = parts[0].unionByName(parts[1]).join(exact, ["grain", "start_time"])
+    near = F.abs(F.col("active_users") - F.col("exact")) <= 0.04 * F.col("exact")
+    return found.select("grain", "start_time", "end_time", near.alias("users_near"), "total_executions", "failed_executions")
+
+
 def _gradient(spark, d):
     cells = read_table(spark, d, "lineitem").select(
         F.col("l_suppkey").alias("sheet_id"),
@@ -253,6 +267,7 @@ QUERIES = {
     "g8_facet_counts": lambda s, d: aggregates.facet_counts(read_table(s, d, "documents"), ["lang", "source"]),
     "g9_execution_metrics": _metrics,
     "g9_stream_execution_metrics": _streamed_metrics,
+    "g9_stream_buckets": _stream_buckets,
     "g10_execution_status": lambda s, d: aggregates.execution_status(_runs(s, d)),
     "g11_gradient_points": _gradient,
     "g12_comment_threads": lambda s, d: aggregates.comment_threads(*_threads(s, d)),
@@ -356,6 +371,12 @@ WITH {RUNS_SQL}
 SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS start_time, CAST(date_trunc('day', ts) + INTERVAL 1 DAY AS TIMESTAMP) AS end_time,
   count(*) AS total_executions, count(*) FILTER (WHERE failed) AS failed_executions FROM runs
 WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM runs) - INTERVAL 1 HOUR GROUP BY 1, 2""",
+    "g9_stream_buckets": f"""
+WITH {RUNS_SQL},
+d AS (SELECT 'DAILY' AS grain, date_trunc('day', ts) AS start_time, date_trunc('day', ts) + INTERVAL 1 DAY AS end_time, * FROM runs
+  UNION ALL SELECT 'WEEKLY', date_trunc('week', ts), date_trunc('week', ts) + INTERVAL 7 DAY, * FROM runs)
+SELECT grain, CAST(start_time AS TIMESTAMP) AS start_time, CAST(end_time AS TIMESTAMP) AS end_time, true AS users_near,
+  count(*) AS total_executions, count(*) FILTER (WHERE failed) AS failed_executions FROM d GROUP BY 1, 2, 3""",
     "g10_execution_status": f"""
 WITH {RUNS_SQL}
 SELECT f AS function_name, s AS status, count(*) AS n_runs, round(avg(secs), 6) AS avg_seconds,

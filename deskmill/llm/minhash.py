@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskmill.llm.common import bytes_of, chunks
+from deskmill.llm.common import bytes_of, chunks, total_bytes
 from deskmill.llm.components import components
 from deskmill.session import discard, durable_cut
 
@@ -29,8 +29,8 @@ PERCENT = 85
 # Chance that a pair that is just similar enough shares no band.
 MISSED = 1e-6
 SLICE = 1 << 12
-# Nodes and bytes of shingles in one block.
-BLOCK_NODES, BLOCK_BYTES = 1024, 2 << 20
+# Nodes and bytes of shingles in one block, and bytes of texts that one task lays out in blocks.
+BLOCK_NODES, BLOCK_BYTES, LAID_BYTES = 1024, 2 << 20, 8 << 20
 # Bytes of a hash.
 _WORD = 8
 
@@ -164,7 +164,9 @@ def _blocks(met: DataFrame, words_per_shingle: int) -> DataFrame:
         if nodes:
             yield row()
 
-    laid = met.repartitionByRange("cluster", "node").sortWithinPartitions("cluster", "node").select("node", "text")
+    # Ranges of a small table are put together again, so that blocks are full.
+    tasks = max(1, -(-total_bytes(met, "text") // LAID_BYTES))
+    laid = met.repartitionByRange("cluster", "node").sortWithinPartitions("cluster", "node").select("node", "text").coalesce(tasks)
     return durable_cut(laid.mapInArrow(cut, "block long, nodes array<long>, sizes array<long>, data binary"))
 
 
@@ -188,7 +190,8 @@ def _linked(rows: DataFrame, percent: int) -> DataFrame:
                 names = np.array(nodes, dtype=np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(names[x]) for x in forest(len(names), alike(sets, others, percent))], names=["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long")
+    # A task finds few links, so they are written together.
+    return rows.mapInArrow(run, "a long, b long").hint("rebalance")
 
 
 def similar_links(docs: DataFrame, nodes: DataFrame, text: str, percent: int, words_per_shingle: int, also: DataFrame | None = None) -> DataFrame:

@@ -66,39 +66,43 @@ def list_numbering(elements: DataFrame, doc: str = "doc_id", pos: str = "pos") -
     table that directly follows a list item. A blank paragraph, bulleted or not, ends the list
     without starting the counts again; other element kinds are passed over.
 
-    The three ordered passes run over a narrow table of flags that is written once; the elements
-    themselves are joined with the outcome at the end.
+    One scan in chunks of positions: elements are numbered inside their chunk and written. What a chunk hands on is whether it starts the counts
+    again, and its counts since it last did; a chunk that does so forgets what came before. That is put together over the chunks and
+    joined once.
     """
-    flagged = _flagged(elements)
-    narrow = durable_cut(
-        flagged.select(
-            doc,
-            pos,
-            by_position(pos).alias(CHUNK),
-            "is_item",
-            _is_break().alias("is_break"),
-            _counts().alias("counts"),
-            F.coalesce("list_id", F.lit("")).alias("list_key"),
-            "nesting",
-        )
-    )
-    chunk = F.col(CHUNK)
-    after = running(narrow, [doc], [pos], chunk, {"prev_item": Running("lag", F.col("is_item"))})
-    marked = after.withColumn("resets", F.col("is_break") & F.coalesce("prev_item", F.lit(False)))
-    sections = running(
-        marked, [doc], [pos], chunk, {"section": Running("sum", F.col("resets").cast("bigint"))}
-    )
-    numbered = running(
-        sections,
-        [doc, "section", "list_key", "nesting"],
-        [pos],
-        chunk,
-        {"running_no": Running("sum", F.col("counts").cast("bigint"))},
-    )
-    found = numbered.filter("resets OR counts").select(
-        doc, pos, "resets", F.when(F.col("counts"), F.col("running_no")).alias("item_no")
-    )
-    return flagged.join(found, [doc, pos], "left").withColumn("resets", F.coalesce("resets", F.lit(False)))
+    placed = _flagged(elements).withColumns({CHUNK: by_position(pos), "_list": F.coalesce("list_id", F.lit("")), "_break": _is_break(), "_count": _counts()})
+    here = Window.partitionBy(doc, CHUNK)
+    so_far = here.orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # The element before the first one of a chunk is known to the chunk before.
+    inside = placed.withColumns({"_first": F.lag(F.lit(False), 1, True).over(here.orderBy(pos)), "resets": F.col("_break") & F.lag("is_item", 1, False).over(here.orderBy(pos))})
+    inside = inside.withColumn("_section", F.sum(F.col("resets").cast("int")).over(so_far))
+    same = Window.partitionBy(doc, CHUNK, "_section", "_list", "nesting").orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = inside.withColumns({"_last": F.max("_section").over(here), "_no": F.sum(F.col("_count").cast("bigint")).over(same)})
+    local = durable_cut(inside)
+
+    order = F.col(pos)
+    ends = local.groupBy(doc, CHUNK).agg(F.min_by("_break", order).alias("_opens"), F.max_by("is_item", order).alias("_closes"), F.max("_last").alias("_last"))
+    chunks = Window.partitionBy(doc).orderBy(CHUNK)
+    starts = ends.withColumn("_starts", F.col("_opens") & F.lag("_closes", 1, False).over(chunks))
+    again = (F.col("_starts") | (F.col("_last") > 0)).cast("int")
+    before = F.sum(again).over(chunks.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - again
+    epochs = starts.select(doc, CHUNK, "_starts", before.alias("_before"), (before + again).alias("_after"))
+
+    counted = F.sum(F.when((F.col("_section") == F.col("_last")) & F.col("_count"), 1).otherwise(0)).cast("bigint")
+    tails = local.groupBy(doc, CHUNK, "_list", "nesting").agg(counted.alias("_tail")).join(epochs, [doc, CHUNK])
+    # A chunk takes over the counts of its epoch so far, and then adds its own to the epoch it ends in.
+    taken = F.struct(F.col("_before").alias("epoch"), F.lit(0).alias("turn"), F.lit(0).cast("bigint").alias("n"))
+    given = F.struct(F.col("_after").alias("epoch"), F.lit(1).alias("turn"), F.col("_tail").alias("n"))
+    turns = tails.select(doc, CHUNK, "_list", "nesting", "_starts", F.explode(F.array(taken, given)).alias("_turn"))
+    running_sum = Window.partitionBy(doc, "_list", "nesting", "_turn.epoch").orderBy(CHUNK, "_turn.turn")
+    summed = turns.withColumn("_carry", F.sum("_turn.n").over(running_sum.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    carry = summed.filter("_turn.turn = 0").select(doc, CHUNK, "_list", "nesting", "_starts", "_carry")
+
+    joined = local.join(carry, [doc, CHUNK, "_list", "nesting"])
+    carried = F.when((F.col("_section") == 0) & ~F.col("_starts"), F.col("_carry")).otherwise(0)
+    number = F.when(F.col("_count"), F.col("_no") + carried)
+    names = [*elements.columns, *[c for c in ("is_blank", "is_item", "nesting") if c not in elements.columns]]
+    return joined.select(*names, (F.col("resets") | (F.col("_first") & F.col("_starts"))).alias("resets"), number.alias("item_no"))
 
 
 def _numbered_together(flagged: DataFrame, doc: str, pos: str) -> DataFrame:

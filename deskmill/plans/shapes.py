@@ -15,6 +15,7 @@ from deskmill.plans.summaries import form_responses
 from deskmill.session import configure, shared_dir
 from deskmill.sources import exports, sheets
 from deskmill.sources.tables import TABLES, read_table
+from deskmill.streaming import landing
 
 
 def _text(value):
@@ -86,6 +87,27 @@ def _read_export(spark, d):
     return nested.flatten_contacts(exports.read_export(spark, where, "person"))
 
 
+def _text_field(entity: str) -> str:
+    return next(f.name for f in exports.entity_schema(entity) if f.dataType.simpleString() == "string")
+
+
+def _landed(spark, d):
+    """A line per supplier and entity, some of them broken off, landed by a stream and then once more without anything new."""
+    names, key = sorted(exports.ENTITIES), F.col("s_suppkey")
+    where = _scratch(spark)
+    for number, entity in enumerate(names):
+        broken = (key + number) % 7 == 0
+        line = F.concat(F.lit(f'{{"{_text_field(entity)}": "'), F.col("s_name"), F.when(broken, F.lit("")).otherwise(F.lit('"}')))
+        read_table(spark, d, "supplier").select(line.alias("value")).write.text(f"{where}/in/{entity}")
+    for _ in range(2):
+        for query in [landing.land_export(spark, f"{where}/in", entity, f"{where}/out") for entity in names]:
+            query.awaitTermination()
+    return landing.landing_counts(spark, f"{where}/out", names)
+
+
+_ENTITY_SQL = ", ".join(f"({i}, '{e}')" for i, e in enumerate(sorted(exports.ENTITIES)))
+
+
 def _delimited(spark, d):
     doc = F.col("doc_id")
     blobs = read_table(spark, d, "documents").select(
@@ -454,6 +476,7 @@ def _named_files(spark, d):
 QUERIES = {
     "s1_read_tables": _tables,
     "s1_read_export": _read_export,
+    "s1_landed_entities": _landed,
     "s2_read_delimited_tables": _delimited,
     "s3_flatten_grid": _grid,
     "s4_write_range": lambda s, d: _written(s, d)[0],
@@ -604,6 +627,9 @@ LETTERS_SQL = """CASE WHEN {c} < 26 THEN chr(CAST(65 + {c} AS INTEGER)) WHEN {c}
 
 ORACLES = {
     "s1_read_tables": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in TABLES),
+    "s1_landed_entities": f"""
+SELECT entity, count(*) AS n_read, count(*) FILTER (WHERE (s_suppkey + k) % 7 = 0) AS n_rejected, count(*) FILTER (WHERE (s_suppkey + k) % 7 <> 0) AS n_kept
+FROM supplier, (VALUES {_ENTITY_SQL}) e(k, entity) GROUP BY 1""",
     "s1_read_export": f"WITH {CONTACTS_SQL} SELECT * FROM contacts",
     "s2_read_delimited_tables": f"""
 WITH blobs AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN replace(text, '. ', chr(9)) WHEN 1 THEN replace(text, ',', '') ELSE text END AS text FROM documents),

@@ -47,7 +47,8 @@ ENTITIES = {
     ),
     "file": (
         "id string, name string, mime_type string, modified_time string, size string, parents array<string>, "
-        f"trashed boolean, starred boolean, target_id string, permissions array<{_PERMISSION}>"
+        f"trashed boolean, starred boolean, target_id string, permissions array<{_PERMISSION}>, "
+        "owners array<struct<displayName:string,emailAddress:string>>"
     ),
     "share_request": (
         "batch_id bigint, request_id bigint, email string, domain string, role string, share_type string, "
@@ -148,6 +149,11 @@ def read_export(
         df = spark.read.schema(schema).parquet(path)
     else:
         raise ValueError(f"unknown format {file_format!r}")
+    return with_defaults(df, entity)
+
+
+def with_defaults(df: DataFrame, entity: str) -> DataFrame:
+    """Missing fields of an entity filled in."""
     defaults = DEFAULTS.get(entity, {})
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()}) if defaults else df
 

@@ -1,6 +1,7 @@
 """Documents: structure, numbering, Markdown, positions, comments, tables, slides, tabs."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -352,3 +353,33 @@ def test_gradient(spark):
     assert colors(("MIN", None, "#000000"), ("PERCENTILE", "50", "#0000FF"), ("MAX", None, "#FFFFFF")) == ["#000000", "#0000FF", "#FFFFFF"]
     assert colors(("NUMBER", "10", "#000000"), ("PERCENT", "60", "#0A0A0A")) == ["#000000", "#080808", "#0A0A0A"]
     assert colors(("NUMBER", "50", "#000000"), ("NUMBER", "50", "#FFFFFF")) == ["#000000", "#000000", "#FFFFFF"]
+
+
+@pytest.mark.parametrize("rows", [1, 2, 3, 7, 1000])
+def test_numbers_do_not_depend_on_the_chunks(spark, monkeypatch, rows):
+    rng = random.Random(rows)
+    kinds, data = ["item", "item", "item", "plain", "blank", "table", "other"], []
+    for doc in range(6):
+        for pos in range(60):
+            kind = rng.choice(kinds)
+            data.append((doc, pos, {"table": "table", "other": "sectionBreak"}.get(kind, "paragraph"), "" if kind == "blank" else "x", rng.choice(["a", "b"]) if kind == "item" else None, rng.choice([0, 1, None]), rng.random() < 0.8))
+    want = {}
+    for doc in range(6):
+        counts, previous = {}, False
+        for d, pos, kind, text, list_id, nesting, ordered in data:
+            if d != doc or kind == "sectionBreak":
+                continue
+            blank = kind == "paragraph" and text == ""
+            item = kind == "paragraph" and not blank and list_id is not None
+            resets = not blank and not item and previous
+            if resets:
+                counts = {}
+            key = (list_id, nesting or 0)
+            if item and ordered:
+                counts[key] = counts.get(key, 0) + 1
+            want[doc, pos] = (resets, counts[key] if item and ordered else None)
+            previous = item
+    df = spark.createDataFrame(data, "doc_id int, pos long, type string, text string, list_id string, nesting int, ordered boolean")
+    monkeypatch.setattr(windows, "by_position", lambda column: F.floor(F.col(column) / rows))
+    got = {(r.doc_id, r.pos): (r.resets, r.item_no) for r in windows.list_numbering(df).collect()}
+    assert got == want

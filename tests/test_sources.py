@@ -7,6 +7,7 @@ import pytest
 from deskmill.session import durable_cut, shared_dir
 from deskmill.sources.exports import ENTITIES, entity_schema, read_export, write_export
 from deskmill.sources.tables import TABLES, read_table
+from deskmill.streaming import landing
 from deskmill.streaming.metrics import late_rows, stream_execution_metrics, write_metrics
 
 SMALL = "/root/testdata/sf0.001"
@@ -89,3 +90,39 @@ def test_rows_behind_the_watermark_are_reported(spark, tmp_path):
     assert land(2) > 0
     closed = [(r.start_time.day, r.total_executions) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
     assert closed == [(5, 5)]
+
+
+def test_exports_land_once(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def arrive(name, *lines):
+        (tmp_path / "in" / "task").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / "task" / name).write_text("\n".join(lines))
+
+    def land():
+        landing.land_export(spark, source, "task", target).awaitTermination()
+        (row,) = landing.landing_counts(spark, target, ["task"]).collect()
+        return tuple(row)
+
+    arrive("a.json", '{"id": "1", "title": "one"}', '{"id": "2", "title": ', "no json", '{"other": 1}')
+    assert land() == ("task", 4, 2, 2)
+    assert land() == ("task", 4, 2, 2)
+    arrive("b.json", '{"id": "3"}')
+    arrive("c.json", "broken}")
+    assert land() == ("task", 6, 3, 3)
+    kept = landing.read_landed(spark, target, "task")
+    assert sorted((r.id or "", r.title) for r in kept.collect()) == [("", None), ("1", "one"), ("3", None)]
+    turned = landing.read_landed(spark, target, "task", landing.REJECTS).collect()
+    assert sorted(r.record for r in turned) == ["broken}", "no json", '{"id": "2", "title": '] and all(r.file.endswith(".json") for r in turned)
+
+
+def test_defaults_are_filled_in_on_landing(spark, tmp_path):
+    (tmp_path / "in" / "comment").mkdir(parents=True)
+    (tmp_path / "in" / "comment" / "x.json").write_text('{"comment_id": "c"}')
+    landing.land_export(spark, str(tmp_path / "in"), "comment", str(tmp_path / "out")).awaitTermination()
+    (row,) = landing.read_landed(spark, str(tmp_path / "out"), "comment").collect()
+    assert (row.comment_id, row.author, row.resolved, row.batch) == ("c", "Unknown", False, 0)
+
+
+def test_files_have_owners():
+    assert "owners" in entity_schema("file").names

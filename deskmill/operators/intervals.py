@@ -70,11 +70,11 @@ def cover(low: Column, high: Column, size: int) -> Column:
     def nodes(place: Column) -> Column:
         first, last, digits = place["first"], place["last"], place["digits"]
         # An open range is closed at the next power of 16; the tail has the rest.
-        end = F.when(last.isNotNull(), last + 1).when(first == 0, F.lit(0).cast("bigint")).otherwise(_shifted(F.lit(1).cast("bigint"), digits * STEP, True))
+        end = F.when(last.isNotNull(), last + 1).otherwise(_shifted(F.lit(1).cast("bigint"), digits * STEP, True))
         levels = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), lambda level: at(first, end, level)))
         tail = F.array(_node(TAIL + F.when(first == 0, F.lit(-1)).otherwise(digits), F.lit(0)))
         short = F.transform(F.sequence(first, F.coalesce(last, first)), lambda n: _node(F.lit(0), n))
-        return F.when(last.isNull(), F.concat(levels, tail)).when(last - first < SHORT, short).otherwise(levels)
+        return F.when(last.isNull(), F.when(first == 0, tail).otherwise(F.concat(levels, tail))).when(last - first < SHORT, short).otherwise(levels)
 
     first = _tile(F.coalesce(low, F.lit(0)), size)
     last = F.when(high.isNotNull(), _tile(high - 1, size))
@@ -98,7 +98,11 @@ def _filed(ranges: DataFrame, sheet: str, carry: Sequence[str]) -> DataFrame:
     return nodes.withColumn("_part", F.explode(parts))
 
 
-_KEYS = {"_row_level": "_rows.level", "_row_node": "_rows.node", "_column_level": "_columns.level", "_column_node": "_columns.node", "_part": "_part"}
+# A node and its part as one number: the level above the node's 32 bits, and those of the part below.
+_KEYS = {
+    "_row_key": f"(_rows.level * {1 << STEP * LEVELS} + _rows.node) * {PARTS} + _part",
+    "_column_key": f"_columns.level * {1 << STEP * LEVELS} + _columns.node",
+}
 
 
 def _looked_up(cells: DataFrame, rules: DataFrame) -> DataFrame:
@@ -110,15 +114,14 @@ def _looked_up(cells: DataFrame, rules: DataFrame) -> DataFrame:
     dealt = F.pmod(F.xxhash64(_tile(F.col("row"), TILE[0]), _tile(F.col("col"), TILE[1])), F.lit(PARTS)).cast("int")
     levels = cells.withColumn("_used", used).withColumn("_level", F.explode("_used"))
     row, column = F.col("_level.rows"), F.col("_level.columns")
-    keys = levels.select(
+    nodes = levels.select(
         *cells.columns,
-        row.alias("_row_level"),
-        ancestor(F.col("row"), TILE[0], row).alias("_row_node"),
-        column.alias("_column_level"),
-        ancestor(F.col("col"), TILE[1], column).alias("_column_node"),
+        F.struct(row.alias("level"), ancestor(F.col("row"), TILE[0], row).alias("node")).alias("_rows"),
+        F.struct(column.alias("level"), ancestor(F.col("col"), TILE[1], column).alias("node")).alias("_columns"),
         F.when(row >= DEALT_LEVEL, dealt).otherwise(F.lit(0)).alias("_part"),
     )
-    return keys.filter(F.col("_row_node").isNotNull() & F.col("_column_node").isNotNull())
+    keys = nodes.select(*cells.columns, *[F.expr(c).alias(k) for k, c in _KEYS.items()])
+    return keys.filter(F.col("_row_key").isNotNull() & F.col("_column_key").isNotNull())
 
 
 def _inside(sheet: str) -> Column:
@@ -135,7 +138,7 @@ def _inside(sheet: str) -> Column:
 
 def _met(cells: DataFrame, ranges: DataFrame, sheet: str, carry: Sequence[str], how: str) -> DataFrame:
     filed = _filed(ranges, sheet, carry)
-    rules = filed.select("_sheet", "r0", "r1", "c0", "c1", *carry, *[F.col(c).alias(k) for k, c in _KEYS.items()])
+    rules = filed.select("_sheet", "r0", "r1", "c0", "c1", *carry, *[F.expr(c).alias(k) for k, c in _KEYS.items()])
     same = _inside(sheet)
     for k in _KEYS:
         same = same & (F.col(f"cells.{k}") == F.col(f"rules.{k}"))

@@ -152,7 +152,7 @@ def test_open_rules_of_a_hot_sheet_are_spread(spark):
     spark.sparkContext._jsc.sc().clearJobGroup()
     filed = intervals._filed(rules, "sheet_id", ("rule_idx",))
     keys = list(intervals._KEYS)
-    on_rules = filed.select(*[F.col(c).alias(k) for k, c in intervals._KEYS.items()]).groupBy(*keys).agg(F.count("*").alias("rules"))
+    on_rules = filed.select(*[F.expr(c).alias(k) for k, c in intervals._KEYS.items()]).groupBy(*keys).agg(F.count("*").alias("rules"))
     work = intervals._looked_up(cells, filed).groupBy(*keys).agg(F.count("*").alias("cells")).join(on_rules, keys)
     pairs = [r.cells * r.rules for r in work.collect()]
     want = spark.range(400_000).selectExpr("id * 5 AS row").count() * (10_000 // 3) + 0
@@ -177,4 +177,4 @@ def test_conditions_join_the_cells_once(spark):
         rest = entry.queries()["f8_cell_conditions"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     finally:
         filters.durable_cut = cut
-    assert len(seen) == 1 and seen[0].count("_row_node") and "lineitem" not in rest
+    assert len(seen) == 1 and seen[0].count("_row_key") and "lineitem" not in rest

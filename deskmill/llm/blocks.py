@@ -29,7 +29,8 @@ NO_KEY = np.iinfo(np.int64).max
 PRIME = (1 << 61) - 1
 _P, _LOW31, _LOW30 = np.uint64(PRIME), np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
 _BASE = int(np.random.default_rng(20240229).integers(1 << 60, PRIME))
-_INVERSE = pow(_BASE, -1, PRIME)
+# Sequences of such hashes have a base of their own: with the same one, "x, yz, w" and "x, yw, z" would add up to the same sum.
+_SEQUENCE_BASE = int(np.random.default_rng(20240301).integers(1 << 60, PRIME))
 # Values taken at a time: few enough for the cache, and for sums of products of a byte and half a power below 2 to the 61.
 _SUMS = 1 << 16
 
@@ -67,10 +68,10 @@ def _powers(base: int, count: int) -> np.ndarray:
 class Rolling:
     """Hashes of any slices of a sequence of numbers below ``PRIME`` and above 0, from sums over its prefixes."""
 
-    def __init__(self, values: np.ndarray):
+    def __init__(self, values: np.ndarray, base: int = _BASE):
         count = len(values)
-        powers = _powers(_BASE, count)
-        self._back = _powers(_INVERSE, count + 1)
+        powers = _powers(base, count)
+        self._back = _powers(pow(base, -1, PRIME), count + 1)
         self._sums = np.zeros(count + 1, dtype=np.uint64)
         small = values.dtype.itemsize < 8
         for at in range(0, count, _SUMS):
@@ -99,6 +100,11 @@ def rolling_bytes(data: np.ndarray) -> Rolling:
     return Rolling(data.astype(np.uint16) + np.uint16(1))
 
 
+def rolling_words(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> Rolling:
+    """Hashes of runs of words, from the hashes of the words."""
+    return Rolling(rolling_bytes(data).slices(begins, ends), _SEQUENCE_BASE)
+
+
 def words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin, end and document of each word in texts that lie end to end."""
     space = (data == 32) | ((data >= 9) & (data <= 13))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskmill.llm.blocks import Rolling, rolling_bytes, words_of
+from deskmill.llm.blocks import Rolling, rolling_words, words_of
 from deskmill.llm.common import bytes_of, chunks
 
 NGRAM = 4
@@ -80,7 +80,7 @@ def _measured(texts: list[bytes], model: np.ndarray, size: int, bits: int) -> di
         return sums[bounds[1:]] - sums[bounds[:-1]]
 
     space = (data == 32) | ((data >= 9) & (data <= 13))
-    windows = Rolling(rolling_bytes(data).slices(begins, ends))
+    windows = rolling_words(data, begins, ends)
     repeated, scores, doubled = [], [], []
     for i, text in enumerate(texts):
         repeated.append(_repeated(windows, int(first[i]), int(n_words[i])))

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from deskmill.llm.blocks import FIRST, NO_KEY, SHARED, Block, Cut, Rolling, ask, cut_for, each_block, pack, rolling_bytes, spread, with_masks, words_of
+from deskmill.llm.blocks import FIRST, NO_KEY, SHARED, Block, Cut, Rolling, ask, cut_for, each_block, pack, rolling_words, spread, with_masks, words_of
 from deskmill.llm.common import total_bytes
 from deskmill.session import durable_cut
 
@@ -37,7 +37,7 @@ class _Words:
     def __init__(self, block: Block, cuts: dict[str, Cut], lengths: list[int]):
         self.block, self.cuts, self.lengths = block, cuts, lengths
         self.begins, self.ends, self.doc = words_of(block.data, block.bounds)
-        self.hashes: Rolling = Rolling(rolling_bytes(block.data).slices(self.begins, self.ends))
+        self.hashes: Rolling = rolling_words(block.data, self.begins, self.ends)
         # A null key is no smaller than any other.
         self.order = np.array([NO_KEY if k is None else k for k in block.keys], dtype=np.int64)
 

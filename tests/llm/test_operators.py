@@ -266,6 +266,19 @@ def test_structured_strings_stay_apart(spark):
     assert rows_of(removed, "doc_id", "n_bytes", "n_removed", "n_spans", "kept") == sorted(repeats(texts_of(strings), 200), key=repr)
 
 
+def test_words_that_trade_letters_make_other_windows(spark):
+    queries.ready(spark)
+    one, other = "x yz w", "x yw z"
+    rows = spark.createDataFrame([(1, f"{one} a b c {other} d e f"), (2, "aa ba ba c ab aa ba c")], "doc_id long, text string")
+    rated = quality.rate(rows, spark.createDataFrame([], "doc_id long"))
+    assert rows_of(rated, "doc_id", "n_words", "n_repeat_words") == [(1, 12, 0), (2, 8, 0)]
+    same = " ".join(f"w{i}" for i in range(10))
+    texts = spark.createDataFrame([(1, f"{same} {one}"), (2, f"{same} {other}"), (3, f"{same} {one}")], "doc_id long, text string")
+    found = substring_dedup.remove_repeated_words(texts, digests=True)
+    assert rows_of(found, "doc_id", "n_words", "n_removed", "kept") == sorted(repeated_words(texts_of(texts), 13), key=repr)
+    assert rows_of(found, "doc_id", "n_removed") == [(1, 0), (2, 0), (3, 13)]
+
+
 def test_hashes_of_slices_are_those_of_their_numbers():
     draw = np.random.default_rng(1)
     for values in (draw.integers(0, 256, 70_000, dtype=np.uint8), draw.integers(1, blocks.PRIME, 70_000, dtype=np.uint64)):

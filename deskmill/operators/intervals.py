@@ -2,8 +2,9 @@
 
 A sheet is cut into tiles, and rows and columns of tiles are the leaves of a tree each, in which a node has 16 children. A
 rectangle is filed at the nodes that cover its rows, times those that cover its columns: a short one at its tiles, a longer one at some
-nodes per level, an open one at the nodes up to the next power of 16 and at a tail, which stands for all that lies beyond. A
-cell looks at its ancestors on the levels that are in use, and meets each rectangle that covers its tile at one of them.
+nodes per level, an open one at the nodes up to the next power of 16 and at a tail, which stands for all that lies beyond. A tile
+that holds cells looks at its ancestors on the levels that are in use, and meets each rectangle that covers it at one of them; the
+cells then meet the rectangles of their tile.
 """
 
 from __future__ import annotations
@@ -124,11 +125,30 @@ def _looked_up(cells: DataFrame, rules: DataFrame) -> DataFrame:
     return keys.filter(F.col("_row_key").isNotNull() & F.col("_column_key").isNotNull())
 
 
+def _tiles_of(cells: DataFrame, sheet: str) -> DataFrame:
+    """The tiles that hold cells, once each: their numbers, and their first place as ``row`` and ``col``."""
+    tiles = cells.select(sheet, _tile(F.col("row"), TILE[0]).alias("_tile_row"), _tile(F.col("col"), TILE[1]).alias("_tile_col")).distinct()
+    return tiles.withColumns({"row": F.col("_tile_row") * TILE[0], "col": F.col("_tile_col") * TILE[1]})
+
+
+def _on_tiles(cells: DataFrame, ranges: DataFrame, sheet: str, carry: Sequence[str]) -> DataFrame:
+    """Each range with each tile that it covers in whole or in part and that holds cells."""
+    filed = _filed(ranges, sheet, carry)
+    rules = filed.select("_sheet", "r0", "r1", "c0", "c1", *carry, *[F.expr(c).alias(k) for k, c in _KEYS.items()])
+    same = F.col(f"tiles.{sheet}") == F.col("rules._sheet")
+    for k in _KEYS:
+        same = same & (F.col(f"tiles.{k}") == F.col(f"rules.{k}"))
+    tiles = _looked_up(_tiles_of(cells, sheet), filed).alias("tiles")
+    return tiles.join(rules.alias("rules"), same).select("_sheet", "_tile_row", "_tile_col", "r0", "r1", "c0", "c1", *carry)
+
+
 def _inside(sheet: str) -> Column:
-    """A cell of ``cells`` lies in a range of ``rules``."""
+    """A cell of ``cells`` lies in a range of ``rules``, which come by tile; a cell has one tile, so that it travels once."""
     row, col = F.col("cells.row"), F.col("cells.col")
     return (
         (F.col(f"cells.{sheet}") == F.col("rules._sheet"))
+        & (_tile(row, TILE[0]) == F.col("rules._tile_row"))
+        & (_tile(col, TILE[1]) == F.col("rules._tile_col"))
         & (F.col("rules.r0").isNull() | (row >= F.col("rules.r0")))
         & (F.col("rules.r1").isNull() | (row < F.col("rules.r1")))
         & (F.col("rules.c0").isNull() | (col >= F.col("rules.c0")))
@@ -136,15 +156,6 @@ def _inside(sheet: str) -> Column:
     )
 
 
-def _met(cells: DataFrame, ranges: DataFrame, sheet: str, carry: Sequence[str], how: str) -> DataFrame:
-    filed = _filed(ranges, sheet, carry)
-    rules = filed.select("_sheet", "r0", "r1", "c0", "c1", *carry, *[F.expr(c).alias(k) for k, c in _KEYS.items()])
-    same = _inside(sheet)
-    for k in _KEYS:
-        same = same & (F.col(f"cells.{k}") == F.col(f"rules.{k}"))
-    return _looked_up(cells, filed).alias("cells").join(rules.alias("rules"), same, how)
-
-
 def cells_in_ranges(
     cells: DataFrame,
     ranges: DataFrame,
@@ -153,18 +164,23 @@ def cells_in_ranges(
 ) -> DataFrame:
     """Cells inside half-open rectangles ``[r0, r1) x [c0, c1)``; a null bound is open.
 
-    One row per (cell, range that holds it), with the ``carry`` columns of the range. Rows and columns count from 0. Both sides
-    are joined on (sheet, node of the rows, node of the columns), so that a sheet is spread over its tiles.
+    One row per (cell, range that holds it), with the ``carry`` columns of the range. Rows and columns count from 0. The tiles that hold
+    cells meet the ranges on (sheet, node of the rows, node of the columns), and the cells meet them on their tile, so that a sheet is
+    spread over its tiles and a cell is shuffled once, however many levels are in use. ``cells`` is read twice.
     """
-    met = _met(cells, ranges, sheet, carry, "inner")
+    rules = _on_tiles(cells, ranges, sheet, carry).alias("rules")
+    met = cells.alias("cells").join(rules, _inside(sheet))
     return met.select(*[F.col(f"cells.{c}") for c in cells.columns], *[F.col(f"rules.{c}") for c in carry])
 
 
 def split_by_ranges(cells: DataFrame, ranges: DataFrame, sheet: str = "sheet_id") -> tuple[DataFrame, DataFrame]:
     """Cells inside at least one rectangle, and the others; every cell once."""
-    places = [sheet, "row", "col"]
-    hits = _met(cells.select(*places), ranges, sheet, (), "left_semi").select(*places).distinct()
-    return cells.join(hits, places, "left_semi"), cells.join(hits, places, "left_anti")
+    # Ranges that hold the same part of a tile count once there.
+    lo = {c: F.greatest(F.col(c), F.col(tile) * size) for c, tile, size in (("r0", "_tile_row", TILE[0]), ("c0", "_tile_col", TILE[1]))}
+    hi = {c: F.when(F.col(c) < (F.col(tile) + 1) * size, F.col(c)) for c, tile, size in (("r1", "_tile_row", TILE[0]), ("c1", "_tile_col", TILE[1]))}
+    rules = _on_tiles(cells, ranges, sheet, ()).withColumns(lo | hi).distinct().alias("rules")
+    held = _inside(sheet) & F.col("cells.row").isNotNull() & F.col("cells.col").isNotNull()
+    return cells.alias("cells").join(rules, held, "left_semi"), cells.alias("cells").join(rules, held, "left_anti")
 
 
 def overlap_pairs(

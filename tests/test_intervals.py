@@ -161,6 +161,23 @@ def test_open_rules_of_a_hot_sheet_are_spread(spark):
     assert filed.count() < 10_000 * 150
 
 
+def test_cells_are_not_repeated_for_levels(spark, sheet):
+    cells, ranges = spark.createDataFrame(sheet[0], CELL), spark.createDataFrame(sheet[1], RANGE)
+    inside, rest = split_by_ranges(cells, ranges)
+    for found in (cells_in_ranges(cells, ranges), inside, rest):
+        plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+        by_level = [line for line in plan if "Generate explode(_used" in line]
+        # Only tiles look at the levels; a cell has one row up to the join on its tile.
+        assert by_level and all("_tile_row" in line and "value" not in line for line in by_level)
+
+
+def test_split_keeps_cells_without_a_place(spark):
+    cells = spark.createDataFrame([(1, None, 0, "a"), (1, 0, None, "b"), (None, 0, 0, "c"), (1, 5, 5, "d"), (1, 5, 5, "d")], CELL)
+    inside, rest = split_by_ranges(cells, spark.createDataFrame([(0, 1, None, None, None, None), (1, 1, 2000, 3000, 0, 40), (2, 1, 0, 9, 0, 9)], RANGE))
+    assert sorted(r.value for r in inside.collect()) == ["d", "d"]
+    assert sorted(r.value for r in rest.collect()) == ["a", "b", "c"]
+
+
 def test_conditions_join_the_cells_once(spark):
     import __spark_entry__ as entry
 

@@ -195,3 +195,15 @@ def test_conditions_join_the_cells_once(spark):
     finally:
         filters.durable_cut = cut
     assert len(seen) == 1 and seen[0].count("_row_key") and "lineitem" not in rest
+
+
+def test_conditions_do_not_repeat_cells_for_levels(spark, monkeypatch):
+    import __spark_entry__ as entry
+    from deskmill.operators import filters
+
+    seen = []
+    cut = filters.durable_cut
+    monkeypatch.setattr(filters, "durable_cut", lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    entry.queries()["f8_cell_conditions"](spark, "/root/testdata/sf0.001")
+    by_level = [line for line in seen[0].splitlines() if "Generate explode(_used" in line]
+    assert by_level and all("_tile_row" in line and "value" not in line for line in by_level)

@@ -106,12 +106,14 @@ _KEYS = {
 }
 
 
-def _looked_up(cells: DataFrame, rules: DataFrame) -> DataFrame:
-    """Each cell with a row for each key it may meet ranges at.
+def _used(rules: DataFrame) -> Column:
+    """The pairs of levels in use, found while the query runs; there are at most as many as pairs of levels."""
+    return rules.agg(F.collect_set(F.struct(F.col("_rows.level").alias("rows"), F.col("_columns.level").alias("columns")))).scalar()
 
-    The levels in use are found while the query runs; there are at most as many as pairs of levels.
-    """
-    used = rules.agg(F.collect_set(F.struct(F.col("_rows.level").alias("rows"), F.col("_columns.level").alias("columns")))).scalar()
+
+def _looked_up(cells: DataFrame, rules: DataFrame) -> DataFrame:
+    """Each cell with a row for each key it may meet ranges at."""
+    used = _used(rules)
     dealt = F.pmod(F.xxhash64(_tile(F.col("row"), TILE[0]), _tile(F.col("col"), TILE[1])), F.lit(PARTS)).cast("int")
     levels = cells.withColumn("_used", used).withColumn("_level", F.explode("_used"))
     row, column = F.col("_level.rows"), F.col("_level.columns")
@@ -131,9 +133,8 @@ def _tiles_of(cells: DataFrame, sheet: str) -> DataFrame:
     return tiles.withColumns({"row": F.col("_tile_row") * TILE[0], "col": F.col("_tile_col") * TILE[1]})
 
 
-def _on_tiles(cells: DataFrame, ranges: DataFrame, sheet: str, carry: Sequence[str]) -> DataFrame:
+def _on_tiles(cells: DataFrame, filed: DataFrame, sheet: str, carry: Sequence[str]) -> DataFrame:
     """Each range with each tile that it covers in whole or in part and that holds cells."""
-    filed = _filed(ranges, sheet, carry)
     rules = filed.select("_sheet", "r0", "r1", "c0", "c1", *carry, *[F.expr(c).alias(k) for k, c in _KEYS.items()])
     same = F.col(f"tiles.{sheet}") == F.col("rules._sheet")
     for k in _KEYS:
@@ -168,17 +169,26 @@ def cells_in_ranges(
     cells meet the ranges on (sheet, node of the rows, node of the columns), and the cells meet them on their tile, so that a sheet is
     spread over its tiles and a cell is shuffled once, however many levels are in use. ``cells`` is read twice.
     """
-    rules = _on_tiles(cells, ranges, sheet, carry).alias("rules")
+    rules = _on_tiles(cells, _filed(ranges, sheet, carry), sheet, carry).alias("rules")
     met = cells.alias("cells").join(rules, _inside(sheet))
     return met.select(*[F.col(f"cells.{c}") for c in cells.columns], *[F.col(f"rules.{c}") for c in carry])
 
 
 def split_by_ranges(cells: DataFrame, ranges: DataFrame, sheet: str = "sheet_id") -> tuple[DataFrame, DataFrame]:
-    """Cells inside at least one rectangle, and the others; every cell once."""
+    """Cells inside at least one rectangle, and the others; every cell once.
+
+    Ranges filed at single tiles need no look at the tiles that hold cells; without others, ``cells`` go before their first shuffle there.
+    """
+    filed = _filed(ranges, sheet, ())
+    single = (F.col("_rows.level") == 0) & (F.col("_columns.level") == 0)
+    others = filed.filter(~single)
+    wide = _on_tiles(cells.filter(F.when(F.col(sheet).isNotNull(), F.size(_used(others))) > 0), others, sheet, ())
+    places = (F.col("_rows.node").alias("_tile_row"), F.col("_columns.node").alias("_tile_col"))
+    on_tiles = filed.filter(single).select("_sheet", *places, "r0", "r1", "c0", "c1").unionByName(wide)
     # Ranges that hold the same part of a tile count once there.
     lo = {c: F.greatest(F.col(c), F.col(tile) * size) for c, tile, size in (("r0", "_tile_row", TILE[0]), ("c0", "_tile_col", TILE[1]))}
     hi = {c: F.when(F.col(c) < (F.col(tile) + 1) * size, F.col(c)) for c, tile, size in (("r1", "_tile_row", TILE[0]), ("c1", "_tile_col", TILE[1]))}
-    rules = _on_tiles(cells, ranges, sheet, ()).withColumns(lo | hi).distinct().alias("rules")
+    rules = on_tiles.withColumns(lo | hi).distinct().alias("rules")
     held = _inside(sheet) & F.col("cells.row").isNotNull() & F.col("cells.col").isNotNull()
     return cells.alias("cells").join(rules, held, "left_semi"), cells.alias("cells").join(rules, held, "left_anti")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from deskmill.functions.addresses import cell_address
 from deskmill.functions.text import stripped
 from deskmill.operators.intervals import split_by_ranges
+from deskmill.session import durable_cut
 
 
 def read_delimited_tables(df: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -70,8 +71,9 @@ def write_range(
         raise ValueError("updates are given with mode 'update' and only then")
     changed, kept = split_by_ranges(cells, ranges)
     if mode == "update":
-        changed, _ = split_by_ranges(updates, ranges)
-        kept = kept.unionByName(changed.select(*cells.columns))
+        # Read for the snapshot and for the counts.
+        changed = durable_cut(split_by_ranges(updates, ranges)[0].select(*cells.columns))
+        kept = kept.unionByName(changed)
     kept.write.mode("errorifexists").parquet(path)
     snapshot = cells.sparkSession.read.schema(cells.schema).parquet(path)
     counts = changed.groupBy("sheet_id").agg(

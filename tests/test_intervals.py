@@ -207,3 +207,10 @@ def test_conditions_do_not_repeat_cells_for_levels(spark, monkeypatch):
     entry.queries()["f8_cell_conditions"](spark, "/root/testdata/sf0.001")
     by_level = [line for line in seen[0].splitlines() if "Generate explode(_used" in line]
     assert by_level and all("_tile_row" in line and "value" not in line for line in by_level)
+
+
+def test_counts_of_a_write_do_not_compute_the_cells_again(spark):
+    import __spark_entry__ as entry
+
+    counts = entry.queries()["s4_write_counts"](spark, "/root/testdata/sf0.001")
+    assert "lineitem" not in counts._jdf.queryExecution().executedPlan().toString()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import operator
 import re
 from collections.abc import Iterable, Sequence
+from decimal import Decimal
 from functools import reduce
 from typing import Any
 
@@ -171,15 +172,19 @@ def error_cells(cells: DataFrame) -> DataFrame:
 
 
 def rows_with_error_tokens(cells: DataFrame, sheet: str = "sheet_id") -> DataFrame:
-    """Per sheet: any error, how many, and the first one (by row, then column)."""
+    """Per sheet: any error, how many, and the first one (by row, then column; a cell without a place is first and has no label)."""
+    # A place as one number, which a hash table can hold where a text or a pair would be sorted for.
+    width = F.lit(Decimal(1 << 63))
+    number = [(F.coalesce(F.col(c).cast("decimal(38,0)"), F.lit(Decimal(-1))) + 1).cast("decimal(38,0)") for c in ("row", "col")]
     bad = is_error_token(F.col("value"))
-    place = F.when(bad, F.struct("row", "col"))
-    label = cell_label(F.col("row"), F.col("col"))
-    return cells.groupBy(sheet).agg(
+    found = cells.groupBy(sheet).agg(
         F.bool_or(bad).alias("has_errors"),
         F.count_if(bad).alias("n_errors"),
-        F.min_by(label, place).alias("first_error"),
+        F.min(F.when(bad, (number[0] * width).cast("decimal(38,0)") + number[1])).alias("_place"),
     )
+    row, col = F.expr(f"_place div {1 << 63}BD") - 1, (F.col("_place") % width).cast("decimal(38,0)").cast("bigint") - 1
+    label = F.when((row >= 0) & (col >= 0), cell_label(row, col))
+    return found.select(sheet, "has_errors", "n_errors", label.alias("first_error"))
 
 
 def condition_holds(kind: Column, values: Column, value: Column) -> Column:

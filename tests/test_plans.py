@@ -66,3 +66,21 @@ def test_runs_are_scanned_once_per_grain(spark):
 
 def test_responses_are_not_exploded(spark):
     assert "Generate explode(answers" not in plan_of(spark, "g13_form_response_counts")
+
+
+def test_error_tokens_are_counted_without_sorting_cells(spark):
+    from deskmill.operators.filters import rows_with_error_tokens
+
+    cells = [(1, 5, 1, "#REF!"), (1, 5, 0, " #n/a "), (1, 7, 0, "#NAME?"), (1, 0, 0, "#"), (2, 0, 0, "x"), (3, 2**62, 30, "#N/A"), (3, None, 2, "#N/A"), (4, 2**40, 27, "#N/A"), (4, 2**41, 0, "#N/A"), (5, 1, None, "#N/A"), (5, 1, 3, "#N/A"), (6, None, 0, None)]
+    found = rows_with_error_tokens(spark.createDataFrame(cells, "sheet_id long, row long, col int, value string"))
+    want = {1: (True, 3, "A6"), 2: (False, 0, None), 3: (True, 2, None), 4: (True, 2, f"AB{2**40 + 1}"), 5: (True, 2, None), 6: (False, 0, None)}
+    assert {r[0]: tuple(r)[1:] for r in found.collect()} == want
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_order_lines_are_sorted_after_they_are_dealt_out(spark):
+    from deskmill.plans import bindings
+
+    plan = bindings.order_lines(spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    # Nothing is sorted in a task of the scan: both halves of the aggregation stand above the one shuffle.
+    assert plan.count("Exchange") == 1 and plan.rindex("SortAggregate") < plan.index("Exchange")

@@ -60,9 +60,11 @@ def fulltext_phrases(df: DataFrame, columns: Sequence[str], phrases: DataFrame,
         return text_posts(df, [key], "", text, short)
 
     pairs = candidates(posts, wanted, [], key, "phrase_id")
-    joined = df.join(pairs, key).join(phrases.select("phrase_id", "phrase"), "phrase_id")
-    hits = [F.coalesce(F.contains(F.lower(c), needle), F.lit(False)) for c in columns]
-    return joined.filter(reduce(operator.or_, hits)).select(*df.columns, "phrase_id", "phrase")
+    # Phrases join the narrow side, and a text is folded once, however many phrases are held against it.
+    asked = pairs.join(phrases.select("phrase_id", "phrase"), "phrase_id").withColumn("_needle", needle)
+    folded = df.repartition(key).withColumns({f"_folded{i}": F.lower(c) for i, c in enumerate(columns)})
+    hits = [F.coalesce(F.contains(F.col(f"_folded{i}"), F.col("_needle")), F.lit(False)) for i in range(len(columns))]
+    return folded.join(asked, key).filter(reduce(operator.or_, hits)).select(*df.columns, "phrase_id", "phrase")
 
 
 def time_range(

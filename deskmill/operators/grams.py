@@ -44,22 +44,20 @@ def text_posts(texts: DataFrame, keep: Sequence[str], field: str | Column, text:
 
 
 def _place(on: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*on, "token"), F.lit(PLACES)).cast("int")
+    return F.xxhash64(*on, "token").bitwiseAND(PLACES - 1).cast("int")
 
 
 def _marked(tokens: DataFrame, on: Sequence[str]) -> Column:
-    """A bit for each place, set where a token in use lies: numbers of 64 bits, as many for any table, found while the query runs."""
-    place = _place(on)
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place % 64)
-    words = tokens.groupBy(F.floor(place / 64).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits"))
-    held = words.agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("held"))
-    return held.select(F.transform(F.sequence(F.lit(0), F.lit(PLACES // 64 - 1)), lambda i: F.coalesce(F.try_element_at("held", i), F.lit(0).cast("bigint")))).scalar()
+    """For each place whether a token in use lies there: as many marks for any table, found while the query runs."""
+    used = tokens.select(_place(on).alias("place")).distinct().withColumn("used", F.lit(True))
+    places = tokens.sparkSession.range(0, PLACES, 1, 1).select(F.col("id").cast("int").alias("place"))
+    marks = places.join(used, "place", "left").agg(F.sort_array(F.collect_list(F.struct("place", F.coalesce("used", F.lit(False)).alias("used")))).alias("marks"))
+    return marks.select("marks.used").scalar()
 
 
 def _in_use(posts: DataFrame, tokens: DataFrame, on: Sequence[str]) -> DataFrame:
-    place = _place(on)
-    word = F.get(_marked(tokens, on), F.floor(place / 64).cast("int"))
-    return posts.filter(F.call_function("shiftright", word, place % 64).bitwiseAND(1) == 1)
+    # The filter names the place once: it would be computed anew each time.
+    return posts.filter(F.get(_marked(tokens, on), _place(on)))
 
 
 def candidates(posts: Callable[[Column], DataFrame], wanted: DataFrame, on: Sequence[str], key: str, wanted_key: str) -> DataFrame:

@@ -101,3 +101,15 @@ def test_every_text_with_a_needle_has_its_tokens(spark):
     posts = grams.text_posts(rows, ["w"], "f", F.col("t"), F.lit(True)).distinct()
     missing = tokens.select("w", F.explode("tokens").alias("token")).join(posts, ["w", "token"], "left_anti")
     assert missing.count() == 0 and tokens.filter("size(tokens) = 0").count() == 0
+
+
+def test_a_post_is_hashed_once_and_texts_meet_phrases_last(spark, mail):
+    df = spark.createDataFrame(mail[0], MAIL)
+    tokens = spark.createDataFrame([("|abc",)], "token string")
+    posts = grams.text_posts(df, ["message_id"], "", F.col("text"), F.lit(True))
+    plan = grams._in_use(posts, tokens, [])._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert [line.count("xxhash64") for line in plan if "Filter" in line and "xxhash64" in line] == [1]
+    found = fulltext_phrases(df, ["sender", "text"], spark.createDataFrame([(1, "a")], "phrase_id long, phrase string"), "message_id")
+    # Each text is folded below the join with what is asked, not once per pair.
+    joins_ = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert joins_ and not any("lower(" in line for line in joins_)

@@ -4,7 +4,7 @@ A sheet is cut into tiles, and rows and columns of tiles are the leaves of a tre
 rectangle is filed at the nodes that cover its rows, times those that cover its columns: a short one at its tiles, a longer one at some
 nodes per level, an open one at the nodes up to the next power of 16 and at a tail, which stands for all that lies beyond. A tile
 that holds cells looks at its ancestors on the levels that are in use, and meets each rectangle that covers it at one of them; the
-cells then meet the rectangles of their tile.
+cells then meet the rectangles of their tile. On a sheet of few tiles any rectangle is short once it is cut to the sheet, and needs no tree.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ TILE = (1024, 16)
 # A node has 2 ** STEP children; LEVELS of them are enough for 2 ** 32 tiles, and places beyond count as the last tile.
 STEP, LEVELS = 4, 8
 LAST_TILE = (1 << STEP * LEVELS) - 1
-# Rectangles over at most so many tiles are filed at the tiles themselves.
+# Rectangles over at most so many tiles are filed at the tiles themselves, and so are all on a sheet of at most so many tiles.
 SHORT = 16
 # The tail of m stands above the nodes, at the level TAIL + m: it covers the tiles with more than m digits to the base 16.
 TAIL = LEVELS + 1
@@ -88,12 +88,16 @@ def ancestor(place: Column, size: int, level: Column) -> Column:
     return F.when(level < LEVELS, _shifted(tile, level * STEP)).when(_digits(tile) > level - TAIL, F.lit(0).cast("bigint"))
 
 
-def _filed(ranges: DataFrame, sheet: str, carry: Sequence[str]) -> DataFrame:
-    """Ranges with a row for each key they are filed under: sheet, node of rows, node of columns, part."""
+def _some() -> Column:
+    """A range holds a place."""
     low = F.coalesce("r0", F.lit(0))
     left = F.coalesce("c0", F.lit(0))
-    some = (F.col("r1").isNull() | (F.col("r1") > F.greatest(low, F.lit(0)))) & (F.col("c1").isNull() | (F.col("c1") > F.greatest(left, F.lit(0))))
-    rows = ranges.filter(some).select(F.col(sheet).alias("_sheet"), "r0", "r1", "c0", "c1", *carry, F.explode(cover(F.col("r0"), F.col("r1"), TILE[0])).alias("_rows"))
+    return (F.col("r1").isNull() | (F.col("r1") > F.greatest(low, F.lit(0)))) & (F.col("c1").isNull() | (F.col("c1") > F.greatest(left, F.lit(0))))
+
+
+def _filed(ranges: DataFrame, sheet: str, carry: Sequence[str]) -> DataFrame:
+    """Ranges with a row for each key they are filed under: sheet, node of rows, node of columns, part."""
+    rows = ranges.filter(_some()).select(F.col(sheet).alias("_sheet"), "r0", "r1", "c0", "c1", *carry, F.explode(cover(F.col("r0"), F.col("r1"), TILE[0])).alias("_rows"))
     nodes = rows.withColumn("_columns", F.explode(cover(F.col("c0"), F.col("c1"), TILE[1])))
     parts = F.when(F.col("_rows.level") >= DEALT_LEVEL, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
     return nodes.withColumn("_part", F.explode(parts))
@@ -143,6 +147,45 @@ def _on_tiles(cells: DataFrame, filed: DataFrame, sheet: str, carry: Sequence[st
     return tiles.join(rules.alias("rules"), same).select("_sheet", "_tile_row", "_tile_col", "r0", "r1", "c0", "c1", *carry)
 
 
+def _extents(cells: DataFrame, sheet: str) -> DataFrame:
+    """Per sheet, its first and last tile of rows and of columns, and whether these are the bounds of few tiles."""
+    row, col = _tile(F.col("row"), TILE[0]), _tile(F.col("col"), TILE[1])
+    bounds = (F.min(row).alias("_top"), F.max(row).alias("_bottom"), F.min(col).alias("_left"), F.max(col).alias("_right"))
+    found = cells.filter(F.col(sheet).isNotNull()).groupBy(F.col(sheet).alias("_sheet")).agg(*bounds)
+    tiles = F.expr("cast(_bottom - _top + 1 as double) * (_right - _left + 1)")
+    return found.withColumn("_few", tiles <= SHORT)
+
+
+def _spread(spans: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """Each range with each tile from ``_row0`` and ``_col0`` to ``_row1`` and ``_col1``."""
+    kept = ("_sheet", "r0", "r1", "c0", "c1", *carry)
+    rows = spans.select(*kept, "_col0", "_col1", F.explode(_run(F.col("_row0"), F.col("_row1") + 1)).alias("_tile_row"))
+    return rows.select("_sheet", "_tile_row", F.explode(_run(F.col("_col0"), F.col("_col1") + 1)).alias("_tile_col"), *kept[1:])
+
+
+def _ranges_by_tile(cells: DataFrame, ranges: DataFrame, sheet: str, carry: Sequence[str]) -> DataFrame:
+    """Each range with the tiles that it covers in whole or in part: short ones with all of them, others with those of their sheet.
+
+    A range that is long or open is cut to its sheet where that has few tiles; only on larger sheets it is filed in the tree, for which
+    ``cells`` are read once more.
+    """
+    firsts = {"_row0": _tile(F.coalesce("r0", F.lit(0)), TILE[0]), "_col0": _tile(F.coalesce("c0", F.lit(0)), TILE[1])}
+    lasts = {"_row1": F.when(F.col("r1").isNotNull(), _tile(F.col("r1") - 1, TILE[0])), "_col1": F.when(F.col("c1").isNotNull(), _tile(F.col("c1") - 1, TILE[1]))}
+    spans = ranges.filter(_some()).select(F.col(sheet).alias("_sheet"), "r0", "r1", "c0", "c1", *carry).withColumns(firsts | lasts)
+    short = F.coalesce((F.col("_row1") - F.col("_row0") < SHORT) & (F.col("_col1") - F.col("_col0") < SHORT), F.lit(False))
+    others, extents = spans.filter(~short), _extents(cells, sheet)
+    # ``least`` and ``greatest`` leave out nulls, which are open ends here.
+    low = {"_row0": F.greatest("_row0", "_top"), "_col0": F.greatest("_col0", "_left")}
+    high = {"_row1": F.least("_row1", "_bottom"), "_col1": F.least("_col1", "_right")}
+    cut = others.join(extents.filter("_few"), "_sheet").withColumns(low | high)
+    # Without such ranges on a large sheet nothing is read or shuffled for the tree. They are counted by the join above, so that it shares its exchanges.
+    large = extents.filter(~F.col("_few")).select("_sheet")
+    found = others.join(extents.filter(~F.col("_few")), "_sheet").agg(F.count("*")).scalar()
+    on_large = others.filter(F.when(F.col("_sheet").isNotNull(), found) > 0).join(large, "_sheet", "left_semi")
+    tree = _on_tiles(cells.filter(F.when(F.col(sheet).isNotNull(), found) > 0), _filed(on_large, "_sheet", carry), sheet, carry)
+    return _spread(spans.filter(short), carry).unionByName(_spread(cut, carry)).unionByName(tree)
+
+
 def _inside(sheet: str) -> Column:
     """A cell of ``cells`` lies in a range of ``rules``, which come by tile; a cell has one tile, so that it travels once."""
     row, col = F.col("cells.row"), F.col("cells.col")
@@ -165,11 +208,12 @@ def cells_in_ranges(
 ) -> DataFrame:
     """Cells inside half-open rectangles ``[r0, r1) x [c0, c1)``; a null bound is open.
 
-    One row per (cell, range that holds it), with the ``carry`` columns of the range. Rows and columns count from 0. The tiles that hold
-    cells meet the ranges on (sheet, node of the rows, node of the columns), and the cells meet them on their tile, so that a sheet is
-    spread over its tiles and a cell is shuffled once, however many levels are in use. ``cells`` is read twice.
+    One row per (cell, range that holds it), with the ``carry`` columns of the range. Rows and columns count from 0. Cells meet the
+    ranges on their tile, so that a sheet is spread over its tiles and a cell is shuffled once. The tiles of a range are its own if they are
+    few, or those of its sheet if these are few; on larger sheets the tiles that hold cells meet the ranges on (sheet, node of the rows,
+    node of the columns), however many levels are in use. ``cells`` is read twice, and a third time if there are larger sheets.
     """
-    rules = _on_tiles(cells, _filed(ranges, sheet, carry), sheet, carry).alias("rules")
+    rules = _ranges_by_tile(cells, ranges, sheet, carry).alias("rules")
     met = cells.alias("cells").join(rules, _inside(sheet))
     return met.select(*[F.col(f"cells.{c}") for c in cells.columns], *[F.col(f"rules.{c}") for c in carry])
 

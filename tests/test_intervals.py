@@ -214,3 +214,56 @@ def test_counts_of_a_write_do_not_compute_the_cells_again(spark):
 
     counts = entry.queries()["s4_write_counts"](spark, "/root/testdata/sf0.001")
     assert "lineitem" not in counts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranges_on_sheets_of_all_sizes(spark):
+    # Sheets of one tile, of a few, of just more than those filed at their tiles, of a far corner, and one with a cell without a row.
+    rng = random.Random(8)
+    tops = {1: (700, 9), 2: (4000, 40), 3: (2000, 200), 4: (16_384, 10), 5: (17_000, 40), 6: (300, 7)}
+    cells = [(s, rng.randrange(rows), rng.randrange(cols), None) for s, (rows, cols) in tops.items() for _ in range(60)]
+    cells += [(7, 5_000_000 + r, 1600 + c, None) for r in (0, 1, 1030) for c in (0, 20)] + [(8, 1023, 15, None), (8, 1024, 16, None)]
+    cells = [(s, r, c, f"{i}") for i, (s, r, c, _) in enumerate(cells)]
+
+    def bound(low, size):
+        return rng.choice([None, None, low, low + rng.randrange(1, size)])
+
+    ranges = []
+    for i in range(240):
+        s = rng.choice([*tops, *tops, 7, 8, 9])
+        r0, c0 = rng.choice([None, 0, 5, 1023, 1024, 3000]), rng.choice([None, 0, 3, 15, 16, 30])
+        ranges.append((i, s, r0, bound((r0 or 0) + 1, rng.choice([50, 3000, 6_000_000])), c0, bound((c0 or 0) + 1, rng.choice([9, 60, 2000]))))
+    odd = [(6, None, 0, "no row")]
+    got = cells_in_ranges(spark.createDataFrame(cells + odd, CELL), spark.createDataFrame(ranges, RANGE)).collect()
+    want = sorted((c[3], g[0]) for c in cells for g in ranges if holds(c, g))
+    assert sorted((r.value, r.rule_idx) for r in got if r.value != "no row") == want
+    assert len({rule for _, rule in want}) > 50
+    # A cell without a row lies in ranges that are open to both ends of the rows.
+    everywhere = [g[0] for g in ranges if g[1] == 6 and g[2] is g[3] is None and not g[4] and (g[5] is None or g[5] > 0)]
+    assert everywhere and sorted(r.rule_idx for r in got if r.value == "no row") == everywhere
+
+
+def _records_shuffled(node):
+    """What each exchange of a plan that has run has written."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return _records_shuffled(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return _records_shuffled(node.plan())
+    own = [node.metrics().apply("shuffleRecordsWritten").value()] if kind == "ShuffleExchangeExec" else []
+    return own + [n for i in range(node.children().size()) for n in _records_shuffled(node.children().apply(i))]
+
+
+def test_open_ranges_of_small_sheets_are_not_copied(spark):
+    cells = spark.range(3000).selectExpr("id % 1000 AS sheet_id", "id % 3 AS row", "0 AS col", "'x' AS value")
+    rules = spark.range(1000).selectExpr("id AS rule_idx", "id AS sheet_id", "1L AS r0", "CAST(NULL AS LONG) AS r1", "0 AS c0", "CAST(NULL AS INT) AS c1")
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    try:
+        found = cells_in_ranges(cells, rules)
+        assert len(found.collect()) == 2000
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    written = _records_shuffled(found._jdf.queryExecution().executedPlan())
+    assert max(written) == 3000 and sum(written) <= 3000 + 3000 + 2 * 1000

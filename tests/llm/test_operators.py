@@ -345,6 +345,60 @@ def test_best_vectors(spark):
     assert topk.top_k(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_no_matrix_is_broadcast_or_joined(spark):
+    # The plan of a table whose packed queries are small enough to be broadcast: each would go there once per block of candidates.
+    queries.ready(spark)
+    vectors = spark.range(3000).selectExpr("id AS vec_id", "transform(sequence(1, 20), i -> pmod(id * i, 31) / 31D) AS embedding")
+    found = topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), candidate_block=40)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Join" not in plan
+    shares = found.select("query_id", "vec_id").groupBy("query_id").count().collect()
+    assert len(shares) == 60 and {r["count"] for r in shares} == {5}
+
+
+@pytest.mark.parametrize("width", [4, 16, 64])
+def test_best_of_a_chunk(monkeypatch, width):
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 70)
+    draw = np.random.default_rng(width)
+    near = draw.integers(-60, 60, (6, 40))
+    kinds = {
+        "spread": draw.integers(-60, 60, (900, 40)),
+        "grouped": near[draw.integers(0, 6, 900)] + draw.integers(-2, 3, (900, 40)),
+        "few": near[draw.integers(0, 6, 900)] // 40,
+        "same": np.full((900, 40), 7),
+        "rising": draw.integers(0, 9, (900, 40)) * np.arange(900)[:, None],
+        "zero": np.zeros((900, 40), int),
+        "sizes": draw.integers(-60, 60, (900, 40)) * (1 << draw.choice([0, 0, 0, 9, 18, 22, 30], 900))[:, None],
+        "one dimension": draw.integers(-9, 9, (900, 1)),
+    }
+    for name, made in kinds.items():
+        rows = made.astype(np.float64)
+        ids = draw.permutation(900).astype(np.int64) // (2 if name == "few" else 1)
+        asked = np.concatenate([np.arange(0, 900, 30), [0, 0]])
+        order = draw.permutation(rows.shape[1])
+        pieces = [(ids[at : at + 333], rows[at : at + 333].T) for at in range(0, 900, 333)]
+        best = topk.search(rows[asked][:, order], ids[asked], topk.chunk_of(pieces, order, width), 5, width)
+        exact = np.array([[int(x) for x in row] for row in made], dtype=object)
+        for place, query in enumerate(asked):
+            scores = exact @ exact[query]
+            want = sorted((-max(topk.LONG * -1 - 1, min(topk.LONG, s)), i) for s, i in zip(scores, ids.tolist(), strict=True) if i != ids[query])[:5]
+            assert list(zip((-best.scores[place]).tolist(), best.ids[place].tolist(), strict=True)) == want, name
+    empty = topk.search(rows[:3], ids[:3], topk.chunk_of([(ids[:1], rows[:1].T)], np.arange(1), width), 5, width)
+    assert empty.have.tolist() == [0, 1, 1]
+
+
+def test_packed_blocks_hold_every_row(spark):
+    queries.ready(spark)
+    rows = spark.range(5000).selectExpr("id", "IF(id % 7 = 0, array(id * 1e5, 1D, 2D), array(id % 100D, -3D)) AS vector")
+    held = {}
+    for row in topk._packed(rows, 125, 40).collect():
+        ids, matrix = topk._unpacked(row.asDict())
+        assert len(ids) <= 40 and matrix.shape == (row.dims, len(ids))
+        assert not held.keys() & set(ids.tolist())
+        held |= dict(zip(ids.tolist(), matrix.T.tolist(), strict=True))
+    assert held == {i: [i * 1e5, 1, 2] if i % 7 == 0 else [i % 100, -3] for i in range(5000)}
+
+
 def test_fingerprints_are_majorities():
     import xxhash
 
